@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -105,14 +106,18 @@ class Choice:
 
 
 def choose_k(prepared: DataFrame, ks: Sequence[int] = K_VALUES, seed: int = 42) -> Choice:
-    """Fit every k and keep the best silhouette; a tie keeps the smaller k."""
-    best, scores = None, {}
-    for k in sorted(ks):
+    """Fit every k, side by side, and keep the best silhouette; a tie keeps the smaller k."""
+    @inheritable_thread_target(prepared.sparkSession)
+    def attempt(k: int) -> tuple[KMeansModel, float]:
         model = kmeans_fit(prepared, k, seed)
-        scores[k] = silhouette_score(model.transform(prepared))
-        if best is None or scores[k] > best.score:
-            best = Choice(model, k, scores[k], scores)
-    return best
+        return model, silhouette_score(model.transform(prepared))
+
+    order = sorted(ks)
+    with ThreadPoolExecutor(len(order)) as pool:
+        tried = dict(zip(order, pool.map(attempt, order)))
+    scores = {k: s for k, (_, s) in tried.items()}
+    best = max(order, key=lambda k: (scores[k], -k))
+    return Choice(tried[best][0], best, scores[best], scores)
 
 
 def centroid_distance(df: DataFrame, centroids: Sequence[Sequence[float]], point: Column | str,
@@ -154,10 +159,10 @@ def cluster_and_label(features: DataFrame, ks: Sequence[int] = K_VALUES, q: floa
                       exact: bool = True, seed: int = 42) -> tuple[DataFrame, Choice] | None:
     """Feature table to labelled table, or None with fewer than 20 complete rows.
 
-    The prepared vectors are cached over the sweep of k and released whatever happens; the
-    distances are settled once, because both the threshold and the labels read them.
+    Features and distances are settled, because every later step reads them again; the prepared
+    vectors are cached over the sweep of k and released whatever happens.
     """
-    clean = features.dropna(subset=FEATURES)
+    clean = settle(features.dropna(subset=FEATURES), "features")
     if not check_trainable(clean).trainable:
         return None
     _, prepared = prepare(clean)

@@ -10,16 +10,7 @@ from pyspark.sql import functions as F
 
 from tapewatch.functions.frames import recent
 from tapewatch.functions.scalars import squared_distance_to
-from tapewatch.session import settle
-
-
-def lookup(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join a per-key summary to a table that may hold very many rows of one key.
-
-    The summary is settled first, so its true size decides: under the broadcast threshold ``big``
-    is not shuffled at all, above it adaptive execution splits the skewed partitions of ``big``.
-    """
-    return big.join(settle(small, "lookup"), list(on), how)
+from tapewatch.operators.lookup import lookup
 
 
 def _literal(points: Sequence[Sequence[float]]) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tapewatch.operators.lookup import lookup
 from tapewatch.session import parallelism, settle
 
 _IN_PARTITION = (1 << 33) - 1
@@ -56,7 +57,7 @@ class ArrivalOrder:
             return F.struct(self.time, *self.tiebreak)
         since = F.unix_micros(F.col(self.time)) - F.unix_micros(window_start)
         packed = since if self.tick_us == 1 else F.floor(since / F.lit(self.tick_us)).cast("long")
-        fits = F.unix_micros(F.col(self.time)) % F.lit(self.tick_us) == 0
+        fits = F.lit(True) if self.tick_us == 1 else F.unix_micros(F.col(self.time)) % F.lit(self.tick_us) == 0
         for c, bits in zip(self.tiebreak, self.widths):
             value = F.col(c).cast("long")
             packed = F.shiftleft(packed, bits).bitwiseOR(value)
@@ -90,9 +91,9 @@ def global_index(df: DataFrame, order: Sequence[Column | str], name: str = "row_
 def keyed_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "row_index",
                 partitions: int | None = None) -> DataFrame:
     """Number the rows of each key 0, 1, 2, …; a dense row_number without per-key tasks."""
-    indexed = settle(global_index(df, [*keys, *order], "_global", partitions), "indexed")
-    firsts = settle(indexed.groupBy(*keys).agg(F.min("_global").alias("_first")), "firsts")
-    return (indexed.join(firsts, list(keys))
+    indexed = global_index(df, [*keys, *order], "_global", partitions)
+    firsts = indexed.groupBy(*keys).agg(F.min("_global").alias("_first"))
+    return (lookup(indexed, firsts, keys)
             .withColumn(name, F.col("_global") - F.col("_first"))
             .drop("_global", "_first"))
 
@@ -135,18 +136,28 @@ def running_total(df: DataFrame, order: Sequence[str], values: Sequence[str],
     return out.drop("_part", "_slot", *[f"_o_{v}" for v in values])
 
 
-def last_n(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, salts: int = 64) -> DataFrame:
+def last_n(df: DataFrame, keys: Sequence[str], order: ArrivalOrder, n: int, salts: int = 64) -> DataFrame:
     """The newest n rows of each key.
 
-    Two rounds: the newest n of every (key, salt), then the newest n of those, so the last round
-    sees at most salts * n rows of a key however many it has.
+    Hourly counts give each key the hour from which on its newest n rows lie, and only rows from
+    there are ranked. Ranking takes two rounds, first within (key, salt), then across salts, so
+    even an hour holding most of the data is spread out and the last round sees at most salts * n
+    rows of a key.
     """
-    newest_first = [F.col(c).desc() for c in order]
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
+    at = F.coalesce(F.col(order.time), F.timestamp_micros(F.lit(-(1 << 55))))
+    hour = F.date_trunc("hour", at)
+    counted = df.groupBy(*keys, hour.alias("_hour")).agg(F.count(F.lit(1)).alias("_n"))
+    later = Window.partitionBy(*keys).orderBy(F.desc("_hour")).rowsBetween(Window.unboundedPreceding, -1)
+    needed = counted.withColumn("_later", F.coalesce(F.sum("_n").over(later), F.lit(0))).filter(F.col("_later") < n)
+    since = needed.groupBy(*keys).agg(F.min("_hour").alias("_since"))
+    ranked = lookup(df, since, keys).filter(at >= F.col("_since")).drop("_since")
+    columns = [order.time, *order.tiebreak]
+    newest_first = [F.col(c).desc() for c in columns]
+    ranked = ranked.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(salts)))
     for scope in ([*keys, "_salt"], list(keys)):
         rank = F.row_number().over(Window.partitionBy(*scope).orderBy(*newest_first))
-        salted = salted.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
-    return salted.drop("_salt")
+        ranked = ranked.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+    return ranked.drop("_salt")
 
 
 def extreme_by(df: DataFrame, keys: Sequence[str], value: str, order: ArrivalOrder,

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapewatch.functions.frames import recent
-from tapewatch.operators.joins import lookup
+from tapewatch.operators.lookup import lookup
 from tapewatch.operators.ordering import ArrivalOrder, extreme_by, last_n, trailing_rows
 from tapewatch.schema import KEPT_TRADES_PER_SYMBOL
 
@@ -50,7 +50,7 @@ def pct_change_from_start(trades: DataFrame, order: ArrivalOrder = ArrivalOrder(
 
 def last_n_per_symbol(trades: DataFrame, n: int = KEPT_TRADES_PER_SYMBOL,
                       order: ArrivalOrder = ArrivalOrder()) -> DataFrame:
-    return last_n(trades, ["symbol"], [order.time, *order.tiebreak], n)
+    return last_n(trades, ["symbol"], order, n)
 
 
 def volume_ratio(stats: DataFrame, n: int) -> DataFrame:

@@ -180,12 +180,12 @@ def throughput_reports(trades: DataFrame, order: Sequence[str], every_n: int = 5
 
     The clock starts with the first message. Zero elapsed time gives rate 0.
     """
-    indexed = settle(global_index(trades.select(*order), order, "_i"), "numbered")
+    indexed = global_index(trades.select(*order), order, "_i")
     number = F.col("_i") + 1
     due = indexed.filter((number % every_n == 0) | (F.col("_i") == 0))
     at = F.unix_micros(F.col(order[0]))
-    marks = due.select(F.floor(number / every_n).cast("long").alias("report"), number.alias("messages"),
-                       at.alias("at"))
+    marks = settle(due.select(F.floor(number / every_n).cast("long").alias("report"), number.alias("messages"),
+                              at.alias("at")), "marks")
     start = marks.filter("messages = 1").select("at").scalar()
     reports = marks.filter(F.col("messages") % every_n == 0)
     previous = reports.select((F.col("report") + 1).alias("report"), F.col("at").alias("before"))

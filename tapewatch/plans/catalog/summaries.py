@@ -33,12 +33,12 @@ def _(spark, sf):
 
 def grouped_lineitem(spark, sf):
     base = table(spark, sf, "lineitem").select(
-        (F.col("l_orderkey") % 1000).alias("g"), (F.col("l_extendedprice") * 1.5).alias("v"))
+        (F.col("l_orderkey") % 1000).alias("g"), (F.col("l_quantity") * 1.5).alias("v"))
     return summaries.group_mean_sum(base, "g", "v").withColumn("sum_v", F.round("sum_v", 3))
 
 
-@query("group_mean_sum", """SELECT l_orderkey % 1000 AS g, round(avg(l_extendedprice * 1.5), 6) AS avg_v,
-  round(sum(l_extendedprice * 1.5), 3) AS sum_v FROM lineitem GROUP BY 1""")
+@query("group_mean_sum", """SELECT l_orderkey % 1000 AS g, round(avg(l_quantity * 1.5), 6) AS avg_v,
+  round(sum(l_quantity * 1.5), 3) AS sum_v FROM lineitem GROUP BY 1""")
 def _(spark, sf):
     return grouped_lineitem(spark, sf)
 

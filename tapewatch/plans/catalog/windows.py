@@ -37,6 +37,11 @@ def _(spark, sf):
     return pane_window_stats(events_trades(spark, sf), SIZE, SLIDE, order=EVENTS_ORDER)
 
 
+@query("window_stats_short_panes", f"WITH {EVENT_STATS} SELECT {STAT_COLUMNS} FROM stats")
+def _(spark, sf):
+    return pane_window_stats(events_trades(spark, sf), SIZE, SLIDE, order=EVENTS_ORDER, pane="5 minutes")
+
+
 # Prices are cents over quantities up to 50: at most 7 decimals, so 8 digits never round a half.
 @query("window_stats_lineitem", f"""WITH {LINE_STATS} SELECT symbol, window_start, window_end,
   {r('price_min', 'price_max', 'price_first', 'price_last', digits=8)}, {r('price_avg', digits=6)},
@@ -182,8 +187,8 @@ def _(spark, sf):
     return newest(events_trades(spark, sf), "event_time", 1, ["event_id"]).select("event_id", "symbol", "price")
 
 
-@query("top_by_key", """SELECT l_orderkey % 1000 AS g, round(avg(l_extendedprice * 1.5), 6) AS avg_v,
-  round(sum(l_extendedprice * 1.5), 3) AS sum_v FROM lineitem GROUP BY 1 ORDER BY g LIMIT 3""")
+@query("top_by_key", """SELECT l_orderkey % 1000 AS g, round(avg(l_quantity * 1.5), 6) AS avg_v,
+  round(sum(l_quantity * 1.5), 3) AS sum_v FROM lineitem GROUP BY 1 ORDER BY g LIMIT 3""")
 def _(spark, sf):
     from tapewatch.plans.catalog.summaries import grouped_lineitem
     return top_by_key(grouped_lineitem(spark, sf), "g", 3)
