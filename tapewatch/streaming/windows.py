@@ -26,8 +26,8 @@ def stream_window_stats(trades: DataFrame, size: str = WINDOW_SIZE, slide: str =
                         delay: str = WATERMARK_DELAY, order: ArrivalOrder = ArrivalOrder()) -> DataFrame:
     """One final row per (symbol, window), emitted when the watermark passes the window's end.
 
-    A trade behind the watermark is left out only of windows that are already closed. Windows
-    still open when the stream stops stay in the state and come out after a restart.
+    A trade is late for the windows that end before the watermark of the batch before its own; it
+    still counts in the windows that overlap them and end later. Windows still open when the stream stops stay in the state and come out after a restart.
     """
     return window_stats(with_watermark(trades, delay), size, slide, order=order)
 

@@ -1,6 +1,8 @@
 """Streams over a folder of JSON files, one file per micro-batch, against batch results."""
 
 import json
+import os
+import time
 from datetime import datetime, timezone
 
 import pytest
@@ -19,13 +21,16 @@ COLUMNS = ["symbol", "window_start", "window_end", "price_min", "price_max", "pr
 
 class Folder:
     def __init__(self, path):
-        self.path, self.n = path, 0
+        self.path, self.n, self.start = path, 0, time.time() - 1000
         path.mkdir()
 
     def add(self, *trades):
         lines = [json.dumps({"symbol": s, "price": p, "quantity": 1.0, "timestamp": BASE + t * 1000,
                              "is_buyer_maker": True}) for s, p, t in trades]
-        (self.path / f"{self.n:04d}.txt").write_text("\n".join(lines) + "\n")
+        file = self.path / f"{self.n:04d}.txt"
+        file.write_text("\n".join(lines) + "\n")
+        # the file source takes files by age; distinct times keep the batches in order
+        os.utime(file, (self.start + self.n, self.start + self.n))
         self.n += 1
         return self
 
@@ -82,13 +87,21 @@ def test_restart_continues_without_duplicates(spark, folder, tmp_path):
 
 def test_late_trade_counts_only_for_the_window_still_open(spark, folder, tmp_path):
     # Watermark after file 2 is 125 - 30 = 95: window [30, 90) is closed, [60, 120) still open.
-    folder.add(("A", 1.0, 70)).add(("A", 2.0, 125)).add(("A", 9.0, 75)).add(("A", 3.0, 300))
+    # Lateness is judged by the watermark of one batch earlier, hence the third file.
+    folder.add(("A", 1.0, 70)).add(("A", 2.0, 125)).add(("A", 2.0, 126)).add(("A", 9.0, 75)).add(("A", 3.0, 300))
     streamed, q = exact(spark, folder, tmp_path)
     counts = {seconds(r): r.trade_count for r in streamed.collect()}
     assert counts[30] == 1 and counts[60] == 2
     assert run.late_rows(q) >= 1
 
 
+def test_late_trade_in_the_next_batch_still_counts(spark, folder, tmp_path):
+    folder.add(("A", 1.0, 70)).add(("A", 2.0, 125)).add(("A", 9.0, 75)).add(("A", 3.0, 300))
+    streamed, _ = exact(spark, folder, tmp_path)
+    counts = {seconds(r): r.trade_count for r in streamed.collect()}
+    assert counts[30] == 2 and counts[60] == 2
+
+
 def test_fragments_keep_late_trades_and_merge_to_exact(spark, folder, tmp_path):
     folder.add(("A", 1.0, 10), ("A", 2.0, 20)).add(("A", 5.0, 40)).add(("A", 3.0, 200)).add(("A", 4.0, 15))
     out = str(tmp_path / "frag")
