@@ -16,6 +16,15 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def once(c: Column) -> Column:
+    """Use as a select item for a costly expression that later columns and filters refer to.
+
+    Catalyst would copy the expression into every filter it pushes down; it does not push filters
+    on a generated column through its generator.
+    """
+    return F.explode(F.array(c))
+
+
 def safe_div(num: Column | str, den: Column | str) -> Column:
     """num / den, and 0.0 when the denominator is zero or null."""
     num, den = _col(num), _col(den)

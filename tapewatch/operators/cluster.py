@@ -149,9 +149,7 @@ def check_trainable(df: DataFrame, label: str | None = None, features: Sequence[
     """Enough complete rows, and both classes present? One aggregate."""
     clean = df.dropna(subset=[*features, *([label] if label else [])])
     positives = F.count_if(F.col(label) == 1) if label else F.lit(0)
-    row = clean.agg(F.count(F.lit(1)).alias("rows"), F.max(F.lit(0)).alias("_"),
-                    positives.alias("positives") if label else F.max(F.lit(0)).alias("positives")).first()
-    rows, hits = row["rows"], row["positives"] or 0
+    rows, hits = clean.agg(F.count(F.lit(1)), positives).first()
     return Readiness(rows, hits, rows >= min_rows, 0 < hits < rows)
 
 

@@ -57,11 +57,10 @@ def trades_in_windows(trades: DataFrame, predictions: DataFrame, size: str, slid
     """Each trade beside the prediction of every window that covers it.
 
     The range condition becomes equality: a trade is expanded to the starts of its windows. A
-    window holding very many trades is one row on the other side, which adaptive skew handling
-    replicates to the split partitions.
+    window holding very many trades is one row on the other side.
     """
     flags = predictions.select("symbol", "window_start", "prediction", "probability")
     placed = (trades.withColumn("window", F.window("event_time", size, slide))
               .withColumns({"window_start": F.col("window.start"), "window_end": F.col("window.end")})
               .drop("window"))
-    return placed.join(flags, ["symbol", "window_start"])
+    return lookup(placed, flags, ["symbol", "window_start"])

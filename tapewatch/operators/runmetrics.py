@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapewatch.functions.frames import union_loose
+from tapewatch.functions.scalars import once
 
 EVENT_LOG_SCHEMA = """
     `Event` string,
@@ -41,8 +42,8 @@ _PROGRESS = "org.apache.spark.sql.streaming.StreamingQueryListener$QueryProgress
 
 
 def parse_events(lines: DataFrame, column: str = "value", run: str = "run") -> DataFrame:
-    """JSON lines with a run column to typed events."""
-    return lines.select(run, F.from_json(column, EVENT_LOG_SCHEMA).alias("e")).select(run, "e.*")
+    """JSON lines with a run column to typed events, each line parsed once."""
+    return lines.select(run, once(F.from_json(column, EVENT_LOG_SCHEMA)).alias("e")).select(run, "e.*")
 
 
 def read_event_log(spark: SparkSession, path: str) -> DataFrame:

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tapewatch.functions.frames import rename
 from tapewatch.functions.scalars import epoch_seconds
@@ -53,7 +54,9 @@ def label_windows(features: DataFrame, labeled_path: str, model_path: str | None
         log.warning("too few complete windows to cluster")
         return None
     labeled, choice = found
-    overwrite_parquet(labeled, labeled_path)
+    counts = overwrite_parquet(labeled, labeled_path, anomalous=F.col("label_binary") == 1)
+    log.info("k=%d, silhouette %.4f, %d of %d windows anomalous", choice.k, choice.score,
+             counts["anomalous"], counts["rows"])
     if model_path:
         save_model(choice.model, model_path)
     return choice

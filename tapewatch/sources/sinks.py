@@ -3,21 +3,31 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapewatch.functions.scalars import fmt_ts
 
 
-def append_parquet(df: DataFrame, path: str, batch_id: int) -> None:
-    """Add one micro-batch under ``batch_id=<n>``; a retried batch replaces itself."""
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
+def overwrite_parquet(df: DataFrame, path: str, partition_by: str | None = None,
+                      **counts: Column) -> dict[str, int]:
+    """Replace a table; returns its row count and the named counts.
 
-def overwrite_parquet(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+    The counts come from what was written (file footers and the columns they name), not from
+    running ``df`` again. An observation would save that read, but a session that has used one can
+    no longer ship freshly fitted models to its tasks.
+    """
     writer = df.write.mode("overwrite")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    return written.agg(F.count(F.lit(1)).alias("rows"),
+                       *[F.count_if(c).alias(name) for name, c in counts.items()]).first().asDict()
+
+
+def append_parquet(df: DataFrame, path: str, batch_id: int, **counts: Column) -> dict[str, int]:
+    """Add one micro-batch under ``batch_id=<n>``; a retried batch replaces itself."""
+    return overwrite_parquet(df, f"{path}/batch_id={batch_id}", **counts)
 
 
 def compact(spark: SparkSession, source: str, target: str) -> DataFrame:

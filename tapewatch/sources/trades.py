@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapewatch.functions.scalars import norm_symbol, number, text, whole_number
+from tapewatch.functions.scalars import norm_symbol, number, once, text, whole_number
 from tapewatch.schema import MAX_OFFSETS_PER_TRIGGER, TRADE_SCHEMA
 
 
@@ -85,7 +85,7 @@ _ENVELOPE = T.StructType([T.StructField("data", _PAYLOAD_FIELDS), *_PAYLOAD_FIEL
 
 def normalise_payload(messages: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
     """Exchange messages, with or without envelope, to (trades, rejected messages)."""
-    parsed = messages.withColumn("_j", F.from_json(text(column), _ENVELOPE))
+    parsed = messages.select("*", once(F.from_json(text(column), _ENVELOPE)).alias("_j"))
     bare = F.struct(*[F.col(f"_j.{f.name}").alias(f.name) for f in _PAYLOAD_FIELDS.fields])
     picked = parsed.withColumn("_t", F.coalesce(F.col("_j.data"), bare))
     trade = F.struct(

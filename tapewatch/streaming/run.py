@@ -28,9 +28,11 @@ def _started(writer, checkpoint: str, interval: str | None, name: str | None) ->
 
 
 def run_to_parquet(df: DataFrame, path: str, checkpoint: str, interval: str | None = TRIGGER_INTERVAL,
-                   name: str | None = None) -> StreamingQuery:
+                   name: str | None = None, partition_by: str | None = None) -> StreamingQuery:
     """Append finished rows to Parquet files; the sink's log makes each batch count once."""
     writer = df.writeStream.outputMode("append").format("parquet").option("path", path)
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
     return _started(writer, checkpoint, interval, name)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
@@ -14,8 +15,10 @@ from tapewatch.operators.windows import window_features, window_stats
 from tapewatch.schema import WATERMARK_DELAY, WINDOW_SIZE, WINDOW_SLIDE
 from tapewatch.sources.sinks import append_parquet
 
-# Broker offsets order trades within a millisecond; 46 bits and a one-minute window fit one long.
-BROKER_ORDER = ArrivalOrder("event_time", ("offset",), tick_us=1_000, widths=(46,))
+log = logging.getLogger(__name__)
+
+# Partition and offset order trades within a millisecond; with a one-minute window they fit one long.
+BROKER_ORDER = ArrivalOrder("event_time", ("partition", "offset"), tick_us=1_000, widths=(9, 38))
 
 
 def with_watermark(trades: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
@@ -51,7 +54,8 @@ def fragment_writer(path: str, size: str = WINDOW_SIZE, slide: str = WINDOW_SLID
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            append_parquet(_per_batch(batch, size, slide, order), path, batch_id)
+            counts = append_parquet(_per_batch(batch, size, slide, order), path, batch_id)
+            log.info("batch %d: %d windows", batch_id, counts["rows"])
     return write
 
 
@@ -60,7 +64,9 @@ def fragment_scorer(model: PipelineModel, path: str, size: str = WINDOW_SIZE, sl
     """Callback that scores each micro-batch's partial windows as they are."""
     def write(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            append_parquet(score(_per_batch(batch, size, slide, order), model), path, batch_id)
+            scored = score(_per_batch(batch, size, slide, order), model)
+            counts = append_parquet(scored, path, batch_id, anomalous=F.col("prediction") == 1)
+            log.info("batch %d: %d windows, %d anomalous", batch_id, counts["rows"], counts["anomalous"])
     return write
 
 

@@ -121,7 +121,8 @@ def test_empty_batch_writes_nothing(spark, tmp_path):
 
 def test_retried_batch_replaces_itself(spark, tmp_path):
     for batch in (0, 1, 1):
-        append_parquet(spark.range(5), str(tmp_path / "t"), batch)
+        counts = append_parquet(spark.range(5), str(tmp_path / "t"), batch, even=F.col("id") % 2 == 0)
+        assert counts == {"rows": 5, "even": 3}
     assert spark.read.parquet(str(tmp_path / "t")).count() == 10
 
 
@@ -179,8 +180,8 @@ def test_broker_messages_decode_like_files(spark):
     from tapewatch.sources.trades import decode_trades, with_event_time
     lines = [(json.dumps({"symbol": "A", "price": float(i), "quantity": 1.0, "timestamp": BASE,
                           "is_buyer_maker": False}).encode(), 100 - i) for i in range(5)]
-    messages = spark.createDataFrame(lines, "value binary, offset long")
-    trades = with_event_time(decode_trades(messages, keep=["offset"]))
+    messages = spark.createDataFrame(lines, "value binary, offset long").selectExpr("*", "3 AS partition")
+    trades = with_event_time(decode_trades(messages, keep=["partition", "offset"]))
     row = window_stats(trades, order=windows.BROKER_ORDER).first()
     assert (row.price_first, row.price_last) == (4.0, 0.0)
     assert KafkaSource("host:9092", "trades").max_offsets_per_trigger == 10_000
