@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +58,10 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def load_clusters(path: str) -> KMeansModel:
+    return KMeansModel.load(path)
+
+
 def score(df: DataFrame, model: PipelineModel) -> DataFrame:
     """Apply the saved pipeline to a batch or a stream and keep the prediction layout."""
     scored = model.transform(df)

@@ -38,6 +38,7 @@ EVENT_LOG_SCHEMA = """
         `stateOperators`: array<struct<`numRowsTotal`: long, `numRowsDroppedByWatermark`: long>>>
 """
 
+# Fixed value: the event name Spark writes for streaming progress.
 _PROGRESS = "org.apache.spark.sql.streaming.StreamingQueryListener$QueryProgressEvent"
 
 
@@ -46,9 +47,11 @@ def parse_events(lines: DataFrame, column: str = "value", run: str = "run") -> D
     return lines.select(run, once(F.from_json(column, EVENT_LOG_SCHEMA)).alias("e")).select(run, "e.*")
 
 
-def read_event_log(spark: SparkSession, path: str) -> DataFrame:
-    return (spark.read.schema(EVENT_LOG_SCHEMA).json(path)
-            .withColumn("run", F.col("_metadata.file_name")))
+def read_event_log(spark: SparkSession, path: str | list[str], run: str | None = None) -> DataFrame:
+    """Typed events of one log or several. ``run`` names the run, e.g. after its machine; by
+    default each log is a run of its own, named by its file."""
+    name = F.col("_metadata.file_name") if run is None else F.lit(run)
+    return spark.read.schema(EVENT_LOG_SCHEMA).json(path).withColumn("run", name)
 
 
 def _of(events: DataFrame, kind: str) -> DataFrame:

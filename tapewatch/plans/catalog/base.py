@@ -20,20 +20,20 @@ SIZE, SLIDE = "1 hour", "30 minutes"          # events are minutes apart
 LONG_SIZE, LONG_SLIDE = "14 days", "7 days"   # lineitem has day precision
 
 
-def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Comparable output: timestamps as epoch seconds, doubles rounded."""
+def tidy(df: DataFrame, digits: int | None = 6) -> DataFrame:
+    """Comparable output: timestamps as epoch seconds, doubles rounded (None: left as they are)."""
     columns = []
     for field in df.schema.fields:
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = F.unix_seconds(c.cast("timestamp"))
         elif isinstance(field.dataType, T.DoubleType):
-            c = F.round(c, digits) + F.lit(0.0)  # no negative zero
+            c = (c if digits is None else F.round(c, digits)) + F.lit(0.0)  # no negative zero
         columns.append(c.alias(field.name))
     return df.select(*columns)
 
 
-def query(name: str, sql: str | None = None, digits: int = 6) -> Callable[[Query], Query]:
+def query(name: str, sql: str | None = None, digits: int | None = 6) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return tidy(fn(utc(spark), sf_dir), digits)

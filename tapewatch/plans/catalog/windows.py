@@ -43,13 +43,16 @@ def _(spark, sf):
 
 
 # Prices are cents over quantities up to 50: at most 7 decimals, so 8 digits never round a half.
+# Their means have no such bound and are compared at single precision.
 @query("window_stats_lineitem", f"""WITH {LINE_STATS} SELECT symbol, window_start, window_end,
-  {r('price_min', 'price_max', 'price_first', 'price_last', digits=8)}, {r('price_avg', digits=6)},
-  {r('price_variance', digits=1)}, {r('price_stddev', digits=6)}, trade_count, total_volume FROM stats""", digits=8)
-def _(spark, sf):
-    out = long_stats(spark, sf)
-    return out.withColumns({c: F.round(c, d) for c, d in
-                            (("price_avg", 6), ("price_variance", 1), ("price_stddev", 6))})
+  {r('price_min', 'price_max', 'price_first', 'price_last', digits=8)}, 
+  price_avg::FLOAT::DOUBLE AS price_avg, price_variance::FLOAT::DOUBLE AS price_variance,
+  price_stddev::FLOAT::DOUBLE AS price_stddev, trade_count, total_volume FROM stats""", digits=None)
+def _(spark, sf):
+    means = ("price_avg", "price_variance", "price_stddev")
+    prices = ("price_min", "price_max", "price_first", "price_last")
+    return long_stats(spark, sf).withColumns(
+        {c: F.col(c).cast("float").cast("double") for c in means} | {c: F.round(c, 8) for c in prices})
 
 
 @query("window_features", f"WITH {EVENT_FEATURES} SELECT {STAT_COLUMNS}, {FEATURE_COLUMNS} FROM feats")

@@ -16,7 +16,7 @@ from tapewatch.operators.classify import evaluator_metrics, lr_fit, save_model,
 from tapewatch.operators.cluster import Choice, check_trainable, cluster_and_label
 from tapewatch.operators.ordering import ArrivalOrder
 from tapewatch.operators.windows import window_features, window_stats
-from tapewatch.schema import FEATURES, WATERMARK_DELAY, WINDOW_SIZE, WINDOW_SLIDE
+from tapewatch.schema import FEATURES, TRIGGER_INTERVAL, WATERMARK_DELAY, WINDOW_SIZE, WINDOW_SLIDE
 from tapewatch.sources.sinks import overwrite_parquet
 from tapewatch.sources.trades import trade_stream
 from tapewatch.streaming.run import run_for, run_to_parquet
@@ -38,7 +38,7 @@ def features_of(trades: DataFrame, windowing: Windowing = Windowing()) -> DataFr
 
 def accumulate(spark: SparkSession, source, path: str, checkpoint: str, seconds: float,
                windowing: Windowing = Windowing(), keep: Sequence[str] = (),
-               interval: str | None = "10 seconds") -> DataFrame:
+               interval: str | None = TRIGGER_INTERVAL) -> DataFrame:
     """Collect features of closed windows from a live source for a while; returns what is there."""
     trades = trade_stream(spark, source, keep)
     stats = stream_window_stats(trades, windowing.size, windowing.slide, windowing.delay, windowing.order)
@@ -86,7 +86,7 @@ def train_classifier(labeled: DataFrame, model_path: str | None = None,
 
 def infer(spark: SparkSession, source, model: PipelineModel, path: str, checkpoint: str, seconds: float,
           windowing: Windowing = Windowing(), keep: Sequence[str] = (),
-          interval: str | None = "10 seconds") -> DataFrame:
+          interval: str | None = TRIGGER_INTERVAL) -> DataFrame:
     """Score closed windows of a live source for a while; returns the predictions so far."""
     trades = trade_stream(spark, source, keep)
     scored = stream_score(trades, model, windowing.size, windowing.slide, windowing.delay, windowing.order)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,11 +38,11 @@ def compact(spark: SparkSession, source: str, target: str) -> DataFrame:
 
 
 def export_view(df: DataFrame) -> DataFrame:
-    """Text-friendly columns: ``<ts>_str`` beside each timestamp, vectors as one column per element."""
+    """Text-friendly columns: ``<ts>_str`` beside each timestamp, vectors as JSON arrays."""
     columns = []
     for field in df.schema.fields:
         c = F.col(field.name)
-        if field.dataType.typeName() == "vectorudt" or "VectorUDT" in type(field.dataType).__name__:
+        if isinstance(field.dataType, VectorUDT):
             columns.append(F.to_json(vector_to_array(c)).alias(field.name))
         elif isinstance(field.dataType, T.TimestampType):
             columns += [c, fmt_ts(c).alias(f"{field.name}_str")]

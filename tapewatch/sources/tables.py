@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,15 +24,20 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    return fs.exists(hadoop_path)
+def holds_table(spark: SparkSession, path: str) -> bool:
+    """Whether a Parquet table can be read there; a missing or still empty folder cannot."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+    return True
 
 
 def resolve_path(spark: SparkSession, candidates: Sequence[str]) -> str | None:
-    """First path that exists: the finished table, else the one still accumulating."""
-    return next((p for p in candidates if path_exists(spark, p)), None)
+    """First path that holds a table: the finished one, else the one still accumulating."""
+    return next((p for p in candidates if holds_table(spark, p)), None)
 
 
 def events_trades(spark: SparkSession, sf_dir: str) -> DataFrame:

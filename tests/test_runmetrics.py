@@ -50,6 +50,10 @@ def test_summary_of_one_run(events):
     assert row.shuffle_read_mb == pytest.approx(row.shuffle_read_bytes / 1048576, abs=0.01)
 
 
+def test_runs_can_be_named(spark, logs):
+    assert M.run_summary(M.read_event_log(spark, logs[0], run="two-cores")).first().run == "two-cores"
+
+
 def test_delay_is_not_negative(events):
     out = M.scheduler_delay(events)
     assert out.count() > 0 and out.filter("scheduler_delay_ms < 0").count() == 0
@@ -80,6 +84,21 @@ def test_two_runs(spark, logs, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "runs")).count() == 2
 
 
+def test_predictions_export(spark, sf, tmp_path):
+    from pyspark.ml.functions import array_to_vector
+    from tapewatch.plans.catalog.base import stats
+    from tapewatch.sources.sinks import export_csv
+    p = F.array(F.lit(0.25), F.lit(0.75))
+    scored = stats(spark, sf).select("symbol", "window_start", F.lit(1.0).alias("prediction"),
+                                     array_to_vector(p).alias("probability"))
+    scored.write.parquet(str(tmp_path / "scored"))
+    assert export.export_predictions(spark, str(tmp_path / "scored"), str(tmp_path / "csv"))
+    row = spark.read.option("header", True).csv(str(tmp_path / "csv")).first()
+    assert (row.prob_normal, row.prob_anomalo, row.label_predicted) == ("0.25", "0.75", "anomalo")
+    export_csv(scored, str(tmp_path / "raw"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "raw")).first().probability == "[0.25,0.75]"
+
+
 def test_exports_fall_back_and_skip(spark, sf, tmp_path):
     from tapewatch.plans.catalog.base import stats
     accumulating = str(tmp_path / "accumulating")

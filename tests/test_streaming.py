@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from tapewatch.operators.classify import load_clusters
 from tapewatch.operators.windows import merge_fragments, window_stats
 from tapewatch.plans import flow
 from tapewatch.sources.sinks import append_parquet
@@ -145,6 +146,7 @@ def test_whole_flow(spark, folder, tmp_path):
     path = lambda name: str(tmp_path / name)
     features = flow.accumulate(spark, folder.source, path("acc"), path("acc-ck"), 300, interval=None)
     choice = flow.label_windows(features, path("labeled"), path("kmeans"))
+    assert len(load_clusters(path("kmeans")).clusterCenters()) == choice.k
     assert choice.k in (3, 4, 5) and choice.score == max(choice.scores.values())
     labeled = spark.read.parquet(path("labeled"))
     assert 0 < labeled.filter("label = 'anomalo'").count() <= 0.05 * labeled.count() + 1
