@@ -140,20 +140,19 @@ class KeyFilter:
             whole[row["piece"]] = np.frombuffer(row["bytes"], np.uint8)
         self.map = spark.sparkContext.broadcast(whole.ravel())
 
+    def test(self, keys: np.ndarray) -> np.ndarray:
+        """For use inside a task: false where a key is surely not in the set."""
+        at = mix64(keys) % np.uint64(self.bits)
+        return ((self.map.value[at >> np.uint64(3)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & 1).astype(bool)
+
     def may_hold(self, key: Column) -> Column:
         """False where ``key`` is surely not in the set; null keys count as perhaps in it."""
-        bits, shared = self.bits, self.map
+        held = self
 
         @F.pandas_udf("boolean")
         def test(keys):
             import pandas as pd
             known = keys.notna().to_numpy()
-            at = mix64(keys.fillna(0).to_numpy(np.int64).view(np.uint64)) % np.uint64(bits)
-            hit = (shared.value[at >> np.uint64(3)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & 1
-            return pd.Series(hit.astype(bool) | ~known)
+            return pd.Series(held.test(keys.fillna(0).to_numpy(np.int64).view(np.uint64)) | ~known)
 
         return test(key)
-
-
-def slot_id() -> Column:
-    return F.monotonically_increasing_id()

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tapewatch.llm import mixing
+from tapewatch.llm import exact_dedup, mixing
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op3_exact_dedup": exact_dedup.op3_exact_dedup,
 }
 
 ORACLES = {
     "op1_mix_sources": mixing.OP1_SQL,
+    "op3_exact_dedup": exact_dedup.OP3_SQL,
 }
