@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tapewatch.llm import exact_dedup, mixing
+from tapewatch.llm import exact_dedup, mixing, token_files
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op4_token_files": token_files.op4_token_files,
 }
 
 ORACLES = {
