@@ -123,14 +123,16 @@ def _ragged(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
-_encoders: dict[tuple[str, int], WordEncoder] = {}
+_encoders: dict[tuple[str, int, bool], WordEncoder] = {}
 
 
-def word_encoder(path: str, end_id: int) -> WordEncoder:
-    """The worker's encoder; it outlives a task."""
-    if (path, end_id) not in _encoders:
-        _encoders[path, end_id] = WordEncoder(path, end_id)
-    return _encoders[path, end_id]
+def word_encoder(path: str, end_id: int, ordinary: bool = False) -> WordEncoder:
+    """The worker's encoder; it outlives a task. ``ordinary`` takes the strings of special tokens as text."""
+    key = (path, end_id, ordinary)
+    if key not in _encoders:
+        _encoders[key] = WordEncoder(path, end_id)
+        _encoders[key].tokenizer.encode_special_tokens = ordinary
+    return _encoders[key]
 
 
 def split_batch(column: pa.Array, rows_bytes: int = 8 << 20) -> Iterator[tuple[int, int]]:
