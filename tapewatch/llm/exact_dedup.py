@@ -190,13 +190,14 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     each = (lists.select(F.explode(F.arrays_zip("doc_ids", "lengths", "digests")).alias("d"))
             .select(F.col("d.doc_ids").alias("doc_id"), F.col("d.lengths").alias("length"),
                     F.lower(F.hex("d.digests")).alias("text_sha256")))
-    joined = each.join(groups, "text_sha256", "left")
+    # before the join, so that this is dealt by id and text, not by the text of a large group
+    turn = F.row_number().over(Window.partitionBy("doc_id", "text_sha256").orderBy(F.desc("length")))
+    joined = each.withColumn("turn", turn).join(groups, "text_sha256", "left")
     size = F.coalesce(F.col("group_size"), F.lit(1).cast("long"))
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
-    turn = F.row_number().over(Window.partitionBy("doc_id", "text_sha256").orderBy(F.desc("length")))
     return scratch.finish(joined.select(
         "doc_id", keep.alias("keep_id"), size.alias("group_size"),
-        (F.col("doc_id").eqNullSafe(keep) & (turn == 1)).alias("kept"), "text_sha256", "length"))
+        (F.col("doc_id").eqNullSafe(keep) & (F.col("turn") == 1)).alias("kept"), "text_sha256", "length"))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
