@@ -146,7 +146,8 @@ def pack(docs: DataFrame, scratch: Scratch, size: int = SEQUENCE, tokenizer: str
                     at = stop
             yield pa.record_batch([pa.array(v, pa.binary() if c == "ids" else pa.int64()) for c, v in rows.items()], list(rows))
 
-    return (tokens.join(positions, "row").select("doc_id", "doc_tokens", "ids", "begin")
+    # both sides grow with the input, so the same join at every size
+    return (tokens.hint("merge").join(positions, "row").select("doc_id", "doc_tokens", "ids", "begin")
             .mapInArrow(cut, "doc_id long, start long, length long, ids binary, doc_tokens long, "
                              "sequence_id long, offset long"))
 
