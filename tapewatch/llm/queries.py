@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tapewatch.llm import exact_dedup, mixing, packing, token_counts, token_files
+from tapewatch.llm import exact_dedup, mixing, near_dedup, packing, token_counts, token_files
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_token_files": token_files.op4_token_files,
+    "op5_near_dedup": near_dedup.op5_near_dedup,
     "op6_token_counts": token_counts.op6_token_counts,
     "op9_pack_along_curve": packing.op9_pack_along_curve,
 }
