@@ -93,7 +93,8 @@ def token_counts(files: DataFrame, scratch: Scratch, end_id: int, width: str = "
     carried = marks.join(spans, ["file", "span"]).select(
         "file", "block", (F.col("in_n") + F.col("span_n")).alias("before"),
         (F.coalesce("in_last", "span_last", F.lit(-1)) + 1).alias("begin"))
-    each = (blocks.join(carried, ["file", "block"])
+    # sides that grow with the input are never broadcast: in memory they are far larger than their files
+    each = (blocks.hint("merge").join(carried, ["file", "block"])
             .withColumn("starts", F.concat(F.array("begin"), F.transform("ends", lambda e: e + 1)))
             .select("file", "before", "starts", F.posexplode("ends").alias("i", "end")))
     ended = each.select("file", (F.col("before") + F.col("i")).alias("ordinal"),
@@ -119,4 +120,4 @@ def op6_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = N
     counts = token_counts(files, scratch, end_id, width)
     names = written.select("file", "first", F.posexplode("doc_ids").alias("i", "doc_id")).select(
         "file", (F.col("first") + F.col("i")).alias("ordinal"), "doc_id")
-    return scratch.finish(counts.join(names, ["file", "ordinal"]).select("doc_id", "n_tokens", "ended"))
+    return scratch.finish(counts.hint("merge").join(names, ["file", "ordinal"]).select("doc_id", "n_tokens", "ended"))
