@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tapewatch.llm import exact_dedup, language_id, mixing, near_dedup, packing, token_counts, token_files
+from tapewatch.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, token_counts, token_files
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_token_files": token_files.op4_token_files,
     "op5_near_dedup": near_dedup.op5_near_dedup,
     "op6_token_counts": token_counts.op6_token_counts,
+    "op7_line_dedup": line_dedup.op7_line_dedup,
     "op9_pack_along_curve": packing.op9_pack_along_curve,
     "op10_language_id": language_id.op10_language_id,
 }
@@ -17,4 +18,5 @@ QUERIES = {
 ORACLES = {
     "op1_mix_sources": mixing.OP1_SQL,
     "op3_exact_dedup": exact_dedup.OP3_SQL,
+    "op7_line_dedup": line_dedup.OP7_SQL,
 }
