@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tapewatch.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, token_counts, token_files
+from tapewatch.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, repeats, token_counts, token_files
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_near_dedup": near_dedup.op5_near_dedup,
     "op6_token_counts": token_counts.op6_token_counts,
     "op7_line_dedup": line_dedup.op7_line_dedup,
+    "op8_repeated_strings": repeats.op8_repeated_strings,
     "op9_pack_along_curve": packing.op9_pack_along_curve,
     "op10_language_id": language_id.op10_language_id,
 }
