@@ -54,6 +54,13 @@ class Scratch:
         for df in tables:
             delete(self.spark, df._scratch_path)
 
+    def keep_only(self, *tables: DataFrame) -> None:
+        """Delete all tables but these, which a result still reads."""
+        kept = {df._scratch_path for df in tables}
+        for i in range(1, self.count + 1):
+            if f"{self.root}/{i}" not in kept:
+                delete(self.spark, f"{self.root}/{i}")
+
     def finish(self, df: DataFrame) -> DataFrame:
         """Write the result beside the scratch tables, delete those, and return it."""
         path = f"{self.root}-result"

@@ -177,6 +177,7 @@ def fit(docs: DataFrame, scratch: Scratch, per_language: int = 1500, iterations:
             model = LinearSVC(maxIter=iterations, regParam=1e-4).fit(two)
             weights[m], bias[m] = model.coefficients.toArray(), model.intercept
         data.unpersist()
+    scratch.keep_only()
     return LanguageModel(tuple(tuple(languages[i] for i in g) for g in groups), tuple(pairs), tuple(languages), weights, bias)
 
 
@@ -207,6 +208,13 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def drop_unidentified(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``docs`` without the rows whose language is ``und``; fitted on the labelled ones among them."""
+    names = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    return identify(docs.select(*[F.col(f"`{c}`") for c in names]), fit(docs, scratch)).filter(
+        F.col("lang_pred") != UNKNOWN).select(*[F.col(f"`{c}`") for c in names])
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scratch = Scratch(spark, "op10")

@@ -109,10 +109,10 @@ def drop_repeated_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
     columns stay; existing columns ``lines`` and ``lines_removed`` are replaced.
     """
     repeated = repeated_chunks(docs, scratch)
+    scratch.keep_only(repeated)
     kept = [c for c in docs.columns if c not in ("lines", "lines_removed", "_chunks")]
     rows = docs.select(*[F.col(f"`{c}`") for c in kept])
-    nullable = repeated.select(F.coalesce("doc_id", F.lit(0)).alias("key"))
-    may = KeyFilter(nullable, "key")
+    may = KeyFilter(repeated.select(F.coalesce("doc_id", F.lit(0)).alias("key")), "key")
     affected = may.may_hold(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)))
     empty = F.lit(None).cast("array<struct<number:bigint,digest:binary>>")
     # rows that lose nothing are not shuffled

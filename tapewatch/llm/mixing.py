@@ -153,6 +153,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5,
     """
     scratch = Scratch(docs.sparkSession, "mix")
     _, plan = mix_plan(docs, scratch, weights, share, most, seed, range_rows)
+    scratch.keep_only(plan)
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "source",
                         word_count("text").alias("size"), random_key("doc_id", seed).alias("_key"))
     taken = with_plan(inner, plan).filter(F.col("taken") > 0)

@@ -136,19 +136,20 @@ def band_keys(sketch: np.ndarray) -> np.ndarray:
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
 
 
 def _sketch_docs(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in split_batch(batch.column(1), 2 << 20):
-                values, at = shingle_sets(batch.column(1).slice(lo, hi - lo), words)
+            for lo, hi in split_batch(batch.column(2), 2 << 20):
+                values, at = shingle_sets(batch.column(2).slice(lo, hi - lo), words)
                 one, two = set_keys(values, at)
                 found = sketches(values, at)
-                yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.array(np.diff(at)), pa.array(one), pa.array(two),
-                                       as_binary([s.tobytes() for s in found])], ["doc_id", "n_shingles", "k1", "k2", "sketch"])
-    return _rows(docs).mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, sketch binary")
+                yield pa.record_batch([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(np.diff(at)),
+                                       pa.array(one), pa.array(two), as_binary([s.tobytes() for s in found])],
+                                      ["doc_id", "text_key", "n_shingles", "k1", "k2", "sketch"])
+    return _rows(docs).mapInArrow(run, "doc_id long, text_key long, n_shingles long, k1 long, k2 long, sketch binary")
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
@@ -287,7 +288,7 @@ def _rest_links(members: DataFrame, labels: DataFrame, sets: DataFrame, percent:
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, cell: int = CELL) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, kept``.
+    """One row per document: ``doc_id, text_key, n_shingles, component_id, kept``.
 
     Documents whose sets of ``words``-word shingles have a similarity of ``percent`` / 100 or more are linked;
     ``component_id`` is the least id reachable over links. Null, empty and blank texts have no shingles and
@@ -321,17 +322,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, cell: in
         "k1", "k2", "n_shingles", "least_id", F.coalesce("least", "cls").alias("comp"))
     ids = named.groupBy("comp").agg(F.min("least_id").alias("component_id"))
     by_set = scratch.put(named.join(ids, "comp").select("k1", "k2", "n_shingles", "component_id"))
-    out = sketched.select("doc_id", "n_shingles", "k1", "k2").join(by_set, ["k1", "k2", "n_shingles"], "left")
+    out = sketched.select("doc_id", "text_key", "n_shingles", "k1", "k2").join(by_set, ["k1", "k2", "n_shingles"], "left")
     return scratch.finish(_kept(out))
 
 
 def _kept(out: DataFrame) -> DataFrame:
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    out = out.select("doc_id", "n_shingles", own.alias("component_id"))
-    turn = F.row_number().over(Window.partitionBy("doc_id", "component_id").orderBy("n_shingles"))
-    first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (turn == 1)
-    return out.select("doc_id", "n_shingles", "component_id", first.alias("kept"))
+    out = out.select("doc_id", "text_key", "n_shingles", own.alias("component_id"))
+    turn = F.row_number().over(Window.partitionBy("doc_id", "component_id").orderBy("n_shingles", "text_key"))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")) & (turn == 1))
+
+
+def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates, that of the least id; all columns as they are."""
+    stay = (near_duplicates(docs, words, percent).filter("kept")
+            .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")))
+    rows = docs.withColumn("_text_key", F.xxhash64("text"))
+    found = rows.hint("merge").join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
+                                    & (F.col("_text_key") == F.col("_key")), "left_semi")
+    # rows of one id and one text are the same document
+    return found.dropDuplicates(["doc_id", "_text_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), words=2)
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2).drop("text_key")
