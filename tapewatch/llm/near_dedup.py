@@ -271,7 +271,7 @@ def _rest_links(members: DataFrame, labels: DataFrame, sets: DataFrame, percent:
                                         F.max(F.struct("n", "comp")).alias("top"))
                  .filter(F.col("comps") > 1)
                  .select("key", "size", F.col("top.comp").alias("main"), (F.col("size") - F.col("top.n")).alias("others")))
-    rows = placed.join(open_ones, "key")
+    rows = placed.join(scratch.put(open_ones), "key")  # settled, so that a large bucket is split in the join
     grid = lambda n: F.ceil(F.col(n) / F.lit(cell)).cast("int")
     block = F.pmod(F.xxhash64("cls"), grid("size")).cast("int")
     other_block = F.pmod(F.xxhash64("cls", F.lit(1)), grid("others")).cast("int")
