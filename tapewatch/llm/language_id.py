@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -123,7 +124,7 @@ def _families(centroids: np.ndarray) -> list[list[int]]:
     return groups
 
 
-def fit(docs: DataFrame, scratch: Scratch, per_language: int = 1500, iterations: int = 60) -> LanguageModel:
+def fit(docs: DataFrame, scratch: Scratch, per_language: int = 1500, iterations: int = 30) -> LanguageModel:
     """Learn from text and language of the rows that are not held out.
 
     At most ``per_language`` rows of each language are used, those with the least hash of their id
@@ -172,10 +173,15 @@ def fit(docs: DataFrame, scratch: Scratch, per_language: int = 1500, iterations:
         code = lambda of: F.create_map(*[F.lit(v) for kv in of.items() for v in kv])[F.col("lang")]
         data = rows.select(code(index).alias("language"), code(family).alias("family"),
                            array_to_vector("x").alias("features")).cache()
-        for m, (kind, a, b) in enumerate(pairs):
+
+        def train(pair: tuple[str, int, int]):
+            kind, a, b = pair
             two = data.filter(F.col(kind).isin(a, b)).withColumn("label", (F.col(kind) == a).cast("double"))
-            model = LinearSVC(maxIter=iterations, regParam=1e-4).fit(two)
-            weights[m], bias[m] = model.coefficients.toArray(), model.intercept
+            return LinearSVC(maxIter=iterations, regParam=1e-4).fit(two)
+
+        with ThreadPoolExecutor(8) as pool:  # the fits are many small jobs; side by side they fill the cores
+            for m, model in enumerate(pool.map(train, pairs)):
+                weights[m], bias[m] = model.coefficients.toArray(), model.intercept
         data.unpersist()
     scratch.keep_only()
     return LanguageModel(tuple(tuple(languages[i] for i in g) for g in groups), tuple(pairs), tuple(languages), weights, bias)
