@@ -41,13 +41,9 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix64((sums[ends] - sums[starts]) * down[starts] ^ ((ends - starts).astype(np.uint64) << np.uint64(40)))
 
 
-def shingle_sets(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of each text as sorted 64-bit hashes, and n + 1 offsets.
-
-    A-Z are lower-cased; a text of fewer than ``words`` words has its whole sequence as one shingle.
-    """
+def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of each text in turn, A-Z lower-cased, and n + 1 offsets; null has no words."""
     raw, offsets = bytes_and_offsets(column)
-    n = len(offsets) - 1
     upper = (raw >= 65) & (raw <= 90)
     raw = np.where(upper, raw + np.uint8(32), raw)
     solid = ~SPACE_BYTES[raw]
@@ -57,9 +53,16 @@ def shingle_sets(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     first[offsets] = True
     starts = np.flatnonzero(solid & (~before | first[:-1]))
     ends = np.flatnonzero(solid & (~after | first[1:])) + 1
-    hashes = span_hashes(raw, starts, ends)
-    at = np.searchsorted(starts, offsets)
-    counts = np.diff(at)
+    return span_hashes(raw, starts, ends), np.searchsorted(starts, offsets)
+
+
+def shingle_sets(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of each text as sorted 64-bit hashes, and n + 1 offsets.
+
+    A text of fewer than ``words`` words has its whole sequence as one shingle.
+    """
+    hashes, at = word_hashes(column)
+    n, counts = len(column), np.diff(at)
     if len(hashes) >= words:
         joined = hashes[:len(hashes) - words + 1].copy()
         for i in range(1, words):

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tapewatch.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, repeats, token_counts, token_files
+from tapewatch.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, repeats, search, token_counts, token_files
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_top_k_search": search.op2_top_k_search,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_token_files": token_files.op4_token_files,
     "op5_near_dedup": near_dedup.op5_near_dedup,
