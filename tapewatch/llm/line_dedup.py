@@ -95,9 +95,9 @@ def repeated_chunks(docs: DataFrame, scratch: Scratch) -> DataFrame:
     texts = rows.mapInArrow(fetch, "doc_id long, number long, digest binary, bytes binary")
     groups = (texts.groupBy("bytes", "digest").agg(F.min(_place()).alias("first"), F.max(_place()).alias("last"))
               .filter(F.col("first") != F.col("last")).select("digest", F.col("first").alias("home")))
-    later = (found.join(scratch.put(groups), "digest").filter(_place() != F.col("home"))
-             .select("doc_id", "number", "digest").distinct())
-    return scratch.put(later.groupBy("doc_id").agg(F.collect_list(F.struct("number", "digest")).alias("chunks")))
+    # nothing above the join needs the rows of a digest together, so a passage of many copies is split
+    later = found.hint("merge").join(scratch.put(groups), "digest").filter(_place() != F.col("home"))
+    return scratch.put(later.groupBy("doc_id").agg(F.collect_set(F.struct("number", "digest")).alias("chunks")))
 
 
 def drop_repeated_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
