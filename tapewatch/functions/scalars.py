@@ -1,4 +1,4 @@
-"""Column expressions; all stay inside generated code."""
+"""Column expressions; all but ``euclidean``, which takes arrays, stay inside generated code."""
 
 from __future__ import annotations
 
@@ -45,8 +45,14 @@ def label_text(flag: Column | str) -> Column:
 
 
 def number(c: Column | str) -> Column:
-    """Text to double at the decode edge: bad text becomes null instead of an error."""
-    return _col(c).try_cast("double")
+    """Text to double at the decode edge: bad text, NaN and infinities become null instead of an error."""
+    return finite(_col(c).try_cast("double"))
+
+
+def finite(c: Column | str) -> Column:
+    """Null in place of NaN and infinities."""
+    c = _col(c)
+    return F.when(F.abs(c) < float("inf"), c)  # NaN compares as larger than all
 
 
 def whole_number(c: Column | str) -> Column:

@@ -19,17 +19,19 @@ from tapewatch.operators.summaries import confusion
 from tapewatch.schema import FEATURES, PREDICTIONS
 
 
-def split_bucket(keys: Sequence[Column | str]) -> Column:
-    """0-99, from the md5 of the row's key: the same row lands on the same side on any cluster."""
+def is_train(keys: Sequence[Column | str], ratio: float = 0.8) -> Column:
+    """Side of a row by the md5 of its key: the same on any cluster, for any ratio."""
     digest = F.md5(F.concat_ws("|", *keys))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") < F.lit(int(ratio * (1 << 32)))
 
 
 def split(df: DataFrame, keys: Sequence[Column | str], ratio: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows by key hash; independent of partitioning, unlike a random split."""
-    bucket = split_bucket(keys)
-    cut = round(ratio * 100)
-    return df.filter(bucket < cut), df.filter(bucket >= cut)
+    """Train and test rows by key hash; independent of partitioning, unlike a random split.
+
+    Both sides read ``df``: settle it first when it is costly, or take ``is_train`` as a column.
+    """
+    train = is_train(keys, ratio)
+    return df.filter(train), df.filter(~train)
 
 
 def random_split(df: DataFrame, ratio: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -39,10 +41,7 @@ def random_split(df: DataFrame, ratio: float = 0.8, seed: int = 42) -> tuple[Dat
 
 def lr_pipeline(label: str = "label_binary", max_iter: int = 20, reg_param: float = 0.1,
                 elastic_net: float = 0.0) -> Pipeline:
-    regression = LogisticRegression(
-        featuresCol="features", labelCol=label, predictionCol="prediction",
-        probabilityCol="probability", rawPredictionCol="rawPrediction",
-        maxIter=max_iter, regParam=reg_param, elasticNetParam=elastic_net)
+    regression = LogisticRegression(labelCol=label, maxIter=max_iter, regParam=reg_param, elasticNetParam=elastic_net)
     return Pipeline(stages=[assembler(), scaler("features"), regression])
 
 

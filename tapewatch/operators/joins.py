@@ -50,7 +50,8 @@ def recently_anomalous(predictions: DataFrame, asof: datetime | Column, seconds:
 def trades_of_anomalous(trades: DataFrame, predictions: DataFrame, asof: datetime | Column,
                         seconds: int = 300, ts: str = "window_start") -> DataFrame:
     """Trades of symbols that had an anomalous window in the last ``seconds`` before ``asof``."""
-    return lookup(trades, recently_anomalous(predictions, asof, seconds, ts), ["symbol"], "left_semi")
+    named = recently_anomalous(predictions, asof, seconds, ts).filter(F.col("symbol").isNotNull())
+    return lookup(trades, named, ["symbol"], "left_semi")
 
 
 def trades_in_windows(trades: DataFrame, predictions: DataFrame, size: str, slide: str) -> DataFrame:
@@ -63,4 +64,4 @@ def trades_in_windows(trades: DataFrame, predictions: DataFrame, size: str, slid
     placed = (trades.withColumn("window", F.window("event_time", size, slide))
               .withColumns({"window_start": F.col("window.start"), "window_end": F.col("window.end")})
               .drop("window"))
-    return lookup(placed, flags, ["symbol", "window_start"])
+    return placed.join(flags, ["symbol", "window_start"])

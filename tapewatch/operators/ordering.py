@@ -10,60 +10,80 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapewatch.operators.lookup import lookup
-from tapewatch.session import parallelism, settle
+from tapewatch.session import settle
 
 _IN_PARTITION = (1 << 33) - 1
+_LONG, _DECIMAL = (1 << 63) - 1, 10**38 - 1
+_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
 
 
 @dataclass(frozen=True)
 class ArrivalOrder:
     """What "first" and "last" mean inside a window: event time, then the tie-break columns.
 
-    ``widths`` are bit widths that every tie-break value is known to fit. With them the order
-    packs into one long and the aggregation stays a hash aggregate; without them it is a struct,
-    which Spark can only aggregate by sorting. Both give the same rows.
+    Time counts in steps of ``tick_us`` microseconds. Whole-number tie-breaks and the time in the window
+    are packed into one number, a long or a decimal, by what their column types can hold, so that the
+    aggregation is a hash aggregation for any values, null ones (first of all) included. An order that does
+    not fit in 38 digits by type, or has other tie-breaks, is a struct: same rows, sorted aggregation.
+    ``ranges`` narrows what the types say to (least value, number of values) per tie-break.
     """
 
     time: str = "event_time"
     tiebreak: tuple[str, ...] = ("price",)
     tick_us: int = 1
-    widths: tuple[int, ...] | None = None
+    ranges: tuple[tuple[int, int], ...] | None = None
 
     def measured(self, df: DataFrame) -> ArrivalOrder:
-        """Learn the widths from one pass over the (pruned) tie-break columns of a static table."""
-        if self.widths is not None or not self.tiebreak:
+        """With the ranges that a static table holds: one pass over the (pruned) tie-break columns."""
+        if self._ranges(df) is None:
             return self
-        integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-        if not all(isinstance(df.schema[c].dataType, integral) for c in self.tiebreak):
-            return self
-        aggs = []
-        for i, c in enumerate(self.tiebreak):
-            aggs += [F.max(F.col(c)).alias(f"hi{i}"), F.min(F.col(c)).alias(f"lo{i}"),
-                     F.count_if(F.col(c).isNull()).alias(f"nulls{i}")]
-        bounds = df.agg(*aggs).first()
-        widths = []
-        for i in range(len(self.tiebreak)):
-            if bounds[f"hi{i}"] is None or bounds[f"lo{i}"] < 0 or bounds[f"nulls{i}"]:
-                return self
-            widths.append(max(1, int(bounds[f"hi{i}"]).bit_length()))
-        return replace(self, widths=tuple(widths))
-
-    def key(self, window_start: Column, span_us: int) -> Column:
-        """Sort key of a row within its window of ``span_us`` microseconds."""
+        aggs = [agg for i, c in enumerate(self.tiebreak) for agg in (F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"))]
+        bounds = df.agg(*aggs).first() if aggs else None
+        return replace(self, ranges=tuple((bounds[f"lo{i}"] or 0, (bounds[f"hi{i}"] or 0) - (bounds[f"lo{i}"] or 0) + 1)
+                                          for i in range(len(self.tiebreak))))
+
+    def _ranges(self, df: DataFrame) -> tuple[tuple[int, int], ...] | None:
+        if self.ranges is not None:
+            return self.ranges
+        bits = [_BITS.get(type(df.schema[c].dataType)) for c in self.tiebreak]
+        return None if None in bits else tuple((-(1 << (b - 1)), 1 << b) for b in bits)
+
+    def step(self, column: Column | str) -> Column:
+        """A time as a number of ticks."""
+        micros = F.unix_micros(F.col(column) if isinstance(column, str) else column)
+        return micros if self.tick_us == 1 else F.floor(micros / F.lit(self.tick_us)).cast("long")
+
+    def rank(self) -> Column:
+        """The order itself, of rows of any times."""
+        return F.struct(self.step(self.time).alias("at"), *self.tiebreak)
+
+    def key(self, df: DataFrame, window_start: Column, span_us: int) -> Column:
+        """Sort key of a row of ``df`` within its window of ``span_us`` microseconds."""
         if not self.tiebreak:
-            return F.col(self.time)
-        span_bits = max(1, (span_us // self.tick_us).bit_length())
-        if self.widths is None or span_bits + sum(self.widths) > 63:
-            return F.struct(self.time, *self.tiebreak)
-        since = F.unix_micros(F.col(self.time)) - F.unix_micros(window_start)
-        packed = since if self.tick_us == 1 else F.floor(since / F.lit(self.tick_us)).cast("long")
-        fits = F.lit(True) if self.tick_us == 1 else F.unix_micros(F.col(self.time)) % F.lit(self.tick_us) == 0
-        for c, bits in zip(self.tiebreak, self.widths):
-            value = F.col(c).cast("long")
-            packed = F.shiftleft(packed, bits).bitwiseOR(value)
-            fits = fits & (value >= 0) & (value < (1 << bits))
-        too_wide = F.raise_error(F.lit("time or tie-break outside its declared tick or width")).cast("long")
-        return F.when(fits, packed).otherwise(too_wide)
+            return self.step(self.time)
+        ranges = self._ranges(df)
+        steps = span_us // self.tick_us + 2
+        size = steps
+        for _, values in ranges or ():
+            size *= values + 1
+        if ranges is None or size > _DECIMAL:
+            return self.rank()
+        kind = "long" if size <= _LONG else "decimal(38,0)"
+        whole = lambda n: F.expr(f"CAST('{n}' AS {kind})")
+        packed = (self.step(self.time) - self.step(window_start)).cast(kind)
+        for c, (least, values) in zip(self.tiebreak, ranges):
+            code = F.coalesce((F.col(c).cast(kind) + whole(1 - least)).cast(kind), whole(0))
+            packed = (packed * whole(values + 1) + code).cast(kind)
+        return packed
+
+
+def _by_range(df: DataFrame, order: Sequence[Column | str], partitions: int | None) -> DataFrame:
+    """Rows in order. The range bounds come from a sample, so ``df`` is read twice and should be a table.
+
+    Without a fixed number of partitions adaptive execution fits it to the data.
+    """
+    fixed = (partitions,) if partitions else ()
+    return df.repartitionByRange(*fixed, *order).sortWithinPartitions(*order)
 
 
 def global_index(df: DataFrame, order: Sequence[Column | str], name: str = "row_index",
@@ -73,9 +93,8 @@ def global_index(df: DataFrame, order: Sequence[Column | str], name: str = "row_
     Rows are range-partitioned on the full order, so a hot key spreads over as many tasks as its
     rows need; the only single-task step adds up one count per partition.
     """
-    n = partitions or parallelism(df.sparkSession)
     placed = settle(
-        df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+        _by_range(settle(df, "unordered"), order, partitions)
         .withColumn("_slot", F.monotonically_increasing_id()), "ordered")
     part = F.shiftright(F.col("_slot"), 33)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
@@ -120,8 +139,7 @@ def trailing_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: i
 def running_total(df: DataFrame, order: Sequence[str], values: Sequence[str],
                   partitions: int | None = None) -> DataFrame:
     """Adds ``<value>_before``: the sum of each value over all rows earlier in the order."""
-    n = partitions or parallelism(df.sparkSession)
-    placed = settle(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    placed = settle(_by_range(settle(df, "unordered"), order, partitions)
                     .withColumn("_slot", F.monotonically_increasing_id())
                     .withColumn("_part", F.shiftright(F.col("_slot"), 33)), "ordered")
     sums = placed.groupBy("_part").agg(*[F.sum(v).alias(f"_s_{v}") for v in values])
@@ -164,14 +182,14 @@ def extreme_by(df: DataFrame, keys: Sequence[str], value: str, order: ArrivalOrd
                last: bool = True) -> DataFrame:
     """``value`` of the first or last row of each key, with its time.
 
-    Rows are first reduced per key and day, where the order packs into a long and hash
+    Rows are first reduced per key and day, where the order packs into a number and hash
     aggregation works; only those few rows are compared by the full order.
     """
-    order = order.measured(df)
     pick_by, pick = (F.max_by, F.max) if last else (F.min_by, F.min)
     day = F.date_trunc("day", F.col(order.time))
-    key = order.key(F.col("_day"), 86_400_000_000)
-    daily = (df.withColumn("_day", day).groupBy(*keys, "_day")
+    framed = df.withColumn("_day", day)
+    key = order.key(framed, F.col("_day"), 86_400_000_000)
+    daily = (framed.groupBy(*keys, "_day")
              .agg(pick_by(value, key).alias(value), pick(order.time).alias("_at")))
     return (daily.groupBy(*keys)
             .agg(pick_by(value, "_at").alias(value), pick("_at").alias(order.time)))

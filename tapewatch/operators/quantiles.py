@@ -39,8 +39,6 @@ def exact_percentile(df: DataFrame, column: str, q: float, accuracy: int = 10_00
     low, high = math.floor(position), math.ceil(position)
     at: dict[int, float] = {}
     pending, below, margin = {low, high}, 0, 2.0 / accuracy
-    if size <= _SMALL:
-        return values.agg(F.percentile("v", q)).first()[0]
     while pending:
         if size <= _SMALL:
             at |= _values_at(values, pending, below)

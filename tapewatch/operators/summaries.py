@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapewatch.functions.scalars import finite
 from tapewatch.operators.ordering import global_index, running_total
 from tapewatch.schema import ANOMALOUS, FEATURES, SHOWN_PREDICTIONS
 from tapewatch.session import settle
@@ -99,10 +100,10 @@ def histogram(df: DataFrame, column: str, bins: int, lo: float | None = None, hi
               density: bool = False) -> DataFrame:
     """Equal-width histogram with all bins, empty ones too.
 
-    Without bounds one extra pass finds the minimum and maximum.
+    Without bounds one extra pass finds the minimum and maximum. NaN and infinite values are in no bin.
     """
     if lo is None or hi is None:
-        found = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi")).first()
+        found = df.agg(F.min(finite(column)).alias("lo"), F.max(finite(column)).alias("hi")).first()
         lo, hi = (found["lo"] if lo is None else lo), (found["hi"] if hi is None else hi)
     lo, hi = _widened(lo, hi)
     width = (hi - lo) / bins
@@ -123,13 +124,13 @@ def histogram(df: DataFrame, column: str, bins: int, lo: float | None = None, hi
 
 def feature_drift(first: DataFrame, second: DataFrame, bins: int = 30,
                   features: Sequence[str] = tuple(FEATURES)) -> DataFrame:
-    """Density of every feature in two data sets, on shared bins: feature, side, bin, density.
+    """Density of every feature in two data sets, on shared bins, empty ones too: feature, side, bin, n, density.
 
-    Two passes: bounds and totals of all features, then all bins of all features.
+    Two passes: bounds of all features, then all bins of all features. Only finite values count.
     """
     both = (first.select(*features, F.lit("first").alias("side"))
             .unionByName(second.select(*features, F.lit("second").alias("side"))))
-    aggs = [agg for f in features for agg in (F.min(f).alias(f"lo_{f}"), F.max(f).alias(f"hi_{f}"))]
+    aggs = [agg for f in features for agg in (F.min(finite(f)).alias(f"lo_{f}"), F.max(finite(f)).alias(f"hi_{f}"))]
     bounds = both.agg(*aggs).first()
     spread = {f: _widened(bounds[f"lo_{f}"], bounds[f"hi_{f}"]) for f in features}
     binned = both.select("side", *[_bin(F.col(f), *spread[f], bins).alias(f) for f in features])
@@ -138,10 +139,12 @@ def feature_drift(first: DataFrame, second: DataFrame, bins: int = 30,
     totals = counts.groupBy("feature", "side").agg(F.sum("n").alias("total"))
     width = F.create_map(*[x for f in features
                            for x in (F.lit(f), F.lit((spread[f][1] - spread[f][0]) / bins))])
-    # totals has two rows per feature
-    return (counts.join(F.broadcast(totals), ["feature", "side"])
-            .withColumn("density", F.col("n") / (F.col("total") * F.element_at(width, F.col("feature"))))
-            .select("feature", "side", "bin", "n", "density"))
+    # two rows per feature, and as many per bin
+    grid = (totals.select("feature", "side", "total", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")))
+    n = F.coalesce("n", F.lit(0))
+    return (grid.join(F.broadcast(counts), ["feature", "side", "bin"], "left")
+            .select("feature", "side", "bin", n.alias("n"),
+                    (n / (F.col("total") * F.element_at(width, F.col("feature")))).alias("density")))
 
 
 def stats_by_price_range(trades: DataFrame, edges: Sequence[float]) -> DataFrame:

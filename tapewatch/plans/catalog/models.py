@@ -155,16 +155,14 @@ def _(spark, sf):
         F.lit(ready.trainable).alias("trainable"), F.lit(ready.has_both_classes).alias("has_both_classes"))
 
 
-_BUCKET = "('0x' || substr(md5(symbol || '|' || window_start), 1, 8))::BIGINT % 100"
+_BUCKET = "('0x' || substr(md5(symbol || '|' || window_start), 1, 8))::BIGINT"
 
 
 @query("split", f"""WITH {EVENT_FEATURES} SELECT symbol, window_start,
-  CASE WHEN {_BUCKET} < 80 THEN 'train' ELSE 'test' END AS side FROM feats""")
+  CASE WHEN {_BUCKET} < 3435973836 THEN 'train' ELSE 'test' END AS side FROM feats""")
 def _(spark, sf):
-    train, test = classify.split(features(spark, sf), window_keys())
-    keys = ["symbol", "window_start"]
-    return (train.select(*keys, F.lit("train").alias("side"))
-            .unionByName(test.select(*keys, F.lit("test").alias("side"))))
+    side = F.when(classify.is_train(window_keys()), "train").otherwise("test")
+    return features(spark, sf).select("symbol", "window_start", side.alias("side"))
 
 
 @query("score_with_params", f"""WITH {SCORED_SQL} SELECT symbol, window_start, {r('logit', 'probability')},

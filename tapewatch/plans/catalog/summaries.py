@@ -51,6 +51,14 @@ def _(spark, sf):
     return spark.range(1).select(F.lit(p95).alias("p95"), F.lit(p50).alias("p50"))
 
 
+@query("percentile_exact_lineitem", """SELECT round(quantile_cont(l_extendedprice, 0.95), 6) AS p95,
+  round(quantile_cont(l_extendedprice, 0.5), 6) AS p50 FROM lineitem""")
+def _(spark, sf):
+    prices = table(spark, sf, "lineitem").select("l_extendedprice")
+    p95, p50 = (exact_percentile(prices, "l_extendedprice", q) for q in (0.95, 0.5))
+    return spark.range(1).select(F.lit(p95).alias("p95"), F.lit(p50).alias("p50"))
+
+
 @query("percentile_approximate")
 def _(spark, sf):
     found = percentile_threshold(events_trades(spark, sf), "price", 0.95, exact=False)
@@ -115,6 +123,16 @@ def _(spark, sf):
     return summaries.histogram(events_trades(spark, sf), "price", 40)
 
 
+@query("histogram_not_finite", f"""WITH good AS (SELECT value FROM events WHERE event_id % 7 <> 0 AND event_id % 11 <> 0),
+{_histogram_sql('good', 'value', 40)}
+SELECT b.bin, round(lo + b.bin * ((hi - lo) / 40), 6) AS bin_lo, round(lo + (b.bin + 1) * ((hi - lo) / 40), 6) AS bin_hi,
+       coalesce(n, 0) AS n FROM bins b CROSS JOIN bounds LEFT JOIN counted USING (bin)""")
+def _(spark, sf):
+    price = (F.when(F.col("event_id") % 7 == 0, float("nan")).when(F.col("event_id") % 11 == 0, float("-inf"))
+             .otherwise(F.col("price")))
+    return summaries.histogram(events_trades(spark, sf).withColumn("price", price), "price", 40)
+
+
 @query("histogram_density", f"""WITH {_histogram_sql('events', 'value', 20)}
 SELECT b.bin, round(lo + b.bin * ((hi - lo) / 20), 6) AS bin_lo, round(lo + (b.bin + 1) * ((hi - lo) / 20), 6) AS bin_hi,
        round(coalesce(n, 0) / ((SELECT count(*) FROM events) * ((hi - lo) / 20)), 9) AS density
@@ -135,9 +153,12 @@ _DRIFT = " UNION ALL ".join(_drift_sql(f) for f in ("pct_return", "volatility",
 
 @query("feature_drift", f"""WITH {EVENT_FEATURES},
 sided AS (SELECT *, CASE WHEN window_start < 1705320000 THEN 'first' ELSE 'second' END AS side FROM feats),
-binned AS ({_DRIFT})
-SELECT feature, side, bin, count(*) AS n, round(count(*) / (sum(count(*)) OVER (PARTITION BY feature, side) * any_value(width)), 6)
-  AS density FROM binned GROUP BY feature, side, bin""")
+binned AS ({_DRIFT}),
+counted AS (SELECT feature, side, bin, count(*) AS n FROM binned GROUP BY ALL),
+totals AS (SELECT feature, side, any_value(width) AS width, count(*) AS total FROM binned GROUP BY ALL),
+grid AS (SELECT *, unnest(range(30))::INTEGER AS bin FROM totals)
+SELECT feature, side, bin, coalesce(n, 0) AS n, round(coalesce(n, 0) / (total * width), 6) AS density
+FROM grid LEFT JOIN counted USING (feature, side, bin)""")
 def _(spark, sf):
     from tapewatch.session import settle
     all_windows = settle(features(spark, sf), "features")

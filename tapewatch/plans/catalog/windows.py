@@ -10,8 +10,8 @@ from tapewatch.functions.frames import newest, recent, sort_by, top_by_key
 from tapewatch.operators import series
 from tapewatch.operators.windows import (merge_fragments, min_trades, pane_window_stats, readable_bounds,
                                          window_features, window_fragments, window_stats)
-from tapewatch.plans.catalog.base import (EVENT_FEATURES, EVENT_STATS, FEATURE_COLUMNS, FRAGMENT_STATS,
-                                          LINE_FEATURES, LINE_STATS, LINE_TRADES, LONG_SIZE, LONG_SLIDE, SIZE,
+from tapewatch.plans.catalog.base import (EVENT_FEATURES, EVENT_STATS, EVENT_STATS_OF, FEATURE_COLUMNS, FRAGMENT_STATS, HOUR_TRADES,
+                                          LINE_FEATURES, LINE_STATS, LINE_TRADES, LONG_SIZE, LONG_SLIDE, NULL_TRADES, SIZE,
                                           SLIDE, STAT_COLUMNS, TRADES, features, long_stats, query, r, stats)
 from tapewatch.sources.tables import EVENTS_ORDER, LINEITEM_ORDER, events_trades, lineitem_trades
 
@@ -74,12 +74,20 @@ def _fragments(spark, sf):
 
 @query("window_fragments", f"WITH {FRAGMENT_STATS} SELECT batch_id, {STAT_COLUMNS} FROM stats")
 def _(spark, sf):
-    return _fragments(spark, sf).drop("first_time", "last_time")
+    return _fragments(spark, sf).drop("first_time", "last_time", "first_event_id", "last_event_id")
 
 
 @query("merge_fragments", f"WITH {EVENT_STATS} SELECT {STAT_COLUMNS} FROM stats")
 def _(spark, sf):
-    return merge_fragments(_fragments(spark, sf), "batch_id")
+    return merge_fragments(_fragments(spark, sf), "batch_id", order=EVENTS_ORDER)
+
+
+@query("merge_fragments_tied", f"WITH {HOUR_TRADES}, {EVENT_STATS_OF} SELECT {STAT_COLUMNS} FROM stats")
+def _(spark, sf):
+    """Many trades share an instant, and batches are not in the order of ids."""
+    trades = events_trades(spark, sf).withColumns({"event_time": F.date_trunc("hour", "event_time"),
+                                                   "batch_id": F.col("event_id") * 7919 % 13})
+    return merge_fragments(window_fragments(trades, "batch_id", SIZE, SLIDE, EVENTS_ORDER), "batch_id", order=EVENTS_ORDER)
 
 
 @query("min_trades", f"WITH {EVENT_STATS} SELECT {STAT_COLUMNS} FROM stats WHERE trade_count >= 3")
@@ -133,6 +141,35 @@ def _(spark, sf):
     return out.select("event_id", "symbol", "pct_change")
 
 
+def _null_symbols(spark, sf):
+    return events_trades(spark, sf).withColumn("symbol", F.nullif("symbol", F.lit("view")))
+
+
+@query("pct_change_from_start_null", f"""WITH {NULL_TRADES},
+base AS (SELECT symbol, arg_min(price, (event_time, event_id)) AS base_price FROM trades GROUP BY symbol)
+SELECT event_id, t.symbol, round(CASE WHEN base_price <> 0 THEN (price - base_price) / base_price * 100 END, 6)
+  AS pct_change FROM trades t JOIN base b ON t.symbol IS NOT DISTINCT FROM b.symbol""")
+def _(spark, sf):
+    out = series.pct_change_from_start(_null_symbols(spark, sf), EVENTS_ORDER)
+    return out.select("event_id", "symbol", "pct_change")
+
+
+@query("last_n_per_symbol_null", f"""WITH {NULL_TRADES}
+SELECT event_id, symbol, round(price, 6) AS price FROM trades
+QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY event_time DESC, event_id DESC) <= 500""")
+def _(spark, sf):
+    return series.last_n_per_symbol(_null_symbols(spark, sf), 500, EVENTS_ORDER).select("event_id", "symbol", "price")
+
+
+@query("trailing_change_null", f"""WITH {NULL_TRADES},
+newest AS (SELECT symbol, max(event_time) AS newest_time FROM trades GROUP BY symbol),
+inside AS (SELECT t.* FROM trades t JOIN newest n ON t.symbol IS NOT DISTINCT FROM n.symbol
+           WHERE event_time >= newest_time - INTERVAL 6 HOURS)
+{_CHANGE}""")
+def _(spark, sf):
+    return series.trailing_change(_null_symbols(spark, sf), seconds=6 * 3600, order=EVENTS_ORDER)
+
+
 @query("recent_trades", f"""WITH {TRADES} SELECT event_id, symbol, round(price, 6) AS price FROM trades
 WHERE event_time >= {ASOF_SQL} - INTERVAL 1 DAY AND event_time <= {ASOF_SQL}""")
 def _(spark, sf):
@@ -168,6 +205,13 @@ def _(spark, sf):
         "symbol", "window_start", "total_volume", "volume_moving_avg", "volume_ratio")
 
 
+@query("volume_ratio_null", f"WITH {NULL_TRADES}, {EVENT_STATS_OF} {_RATIO}")
+def _(spark, sf):
+    windows = window_stats(_null_symbols(spark, sf), SIZE, SLIDE, order=EVENTS_ORDER)
+    return series.volume_ratio(windows, 10).select(
+        "symbol", "window_start", "total_volume", "volume_moving_avg", "volume_ratio")
+
+
 @query("price_band", f"""WITH {EVENT_STATS} SELECT symbol, window_start, {r('price_avg', 'price_min', 'price_max')}
 FROM stats WHERE symbol IN ('click', 'purchase')""")
 def _(spark, sf):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapewatch.functions.scalars import norm_symbol, number, once, text, whole_number
+from tapewatch.operators.lookup import lookup
 from tapewatch.schema import MAX_OFFSETS_PER_TRIGGER, TRADE_SCHEMA
 
 
@@ -120,7 +121,8 @@ def publish_trades(trades: DataFrame, source: KafkaSource) -> None:
 def valid_trades(records: DataFrame, symbols: Sequence[str] | DataFrame) -> DataFrame:
     """Keep rows of listed symbols whose time, price and quantity read as numbers.
 
-    ``symbols`` is a short list, or a one-column table for long lists (semi join).
+    ``symbols`` is a short list, or a one-column table for long lists (semi join); both are upper-cased
+    and trimmed like the rows. Infinite and NaN prices and quantities are no numbers.
     """
     typed = records.withColumns({
         "symbol": norm_symbol("symbol"),
@@ -131,8 +133,9 @@ def valid_trades(records: DataFrame, symbols: Sequence[str] | DataFrame) -> Data
     typed = typed.filter(F.col("timestamp").isNotNull() & F.col("price").isNotNull()
                          & F.col("quantity").isNotNull())
     if isinstance(symbols, DataFrame):
-        return typed.join(symbols.select("symbol"), "symbol", "left_semi")
-    return typed.filter(F.col("symbol").isin(list(symbols)))
+        listed = symbols.select(norm_symbol("symbol").alias("symbol")).filter(F.col("symbol").isNotNull()).distinct()
+        return lookup(typed, listed, ["symbol"], "left_semi")
+    return typed.filter(F.col("symbol").isin([s.strip(" ").upper() for s in symbols]))
 
 
 def synthetic(spark: SparkSession, n: int, groups: int = 1000) -> DataFrame:

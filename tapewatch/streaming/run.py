@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tapewatch.schema import TRIGGER_INTERVAL
@@ -30,6 +31,7 @@ def _started(writer, checkpoint: str, interval: str | None, name: str | None) ->
 def run_to_parquet(df: DataFrame, path: str, checkpoint: str, interval: str | None = TRIGGER_INTERVAL,
                    name: str | None = None, partition_by: str | None = None) -> StreamingQuery:
     """Append finished rows to Parquet files; the sink's log makes each batch count once."""
+    use_large_state(df.sparkSession)
     writer = df.writeStream.outputMode("append").format("parquet").option("path", path)
     if partition_by:
         writer = writer.partitionBy(partition_by)
@@ -49,13 +51,43 @@ def run_for(query: StreamingQuery, seconds: float) -> bool:
     return ended
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped behind the watermark in the batches the query still remembers."""
+class ProgressLog(StreamingQueryListener):
+    """Late rows and rates of all batches of a session's queries, also those a query itself has forgotten.
+
+    Attach with ``spark.streams.addListener(log)`` before the query starts; events arrive a moment late.
+    """
+
+    def __init__(self):
+        self.late: dict[str, int] = {}
+        self.rates: dict[str, list[tuple[int, int, float, float]]] = {}
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p, run_id = event.progress, str(event.progress.runId)
+        self.late[run_id] = self.late.get(run_id, 0) + sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
+        self.rates.setdefault(run_id, []).append(
+            (p.batchId, p.numInputRows, p.inputRowsPerSecond or 0.0, p.processedRowsPerSecond or 0.0))
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
+def late_rows(query: StreamingQuery, log: ProgressLog | None = None) -> int:
+    """Rows dropped behind the watermark: in all batches that ``log`` saw, else in those the query still remembers."""
+    if log is not None:
+        return log.late.get(str(query.runId), 0)
     return sum(op["numRowsDroppedByWatermark"]
                for progress in query.recentProgress for op in progress["stateOperators"])
 
 
-def progress_rates(query: StreamingQuery) -> list[tuple[int, int, float, float]]:
-    """(batch, rows, input rate, processing rate) of the batches the query still remembers."""
+def progress_rates(query: StreamingQuery, log: ProgressLog | None = None) -> list[tuple[int, int, float, float]]:
+    """(batch, rows, input rate, processing rate) of all batches that ``log`` saw, else of those the query remembers."""
+    if log is not None:
+        return list(log.rates.get(str(query.runId), []))
     return [(p["batchId"], p["numInputRows"], p["inputRowsPerSecond"] or 0.0,
              p["processedRowsPerSecond"] or 0.0) for p in query.recentProgress]

@@ -17,8 +17,8 @@ from tapewatch.sources.sinks import append_parquet
 
 log = logging.getLogger(__name__)
 
-# Partition and offset order trades within a millisecond; with a one-minute window they fit one long.
-BROKER_ORDER = ArrivalOrder("event_time", ("partition", "offset"), tick_us=1_000, widths=(9, 38))
+# Partition and offset order trades within a millisecond; any of them fit one decimal with windows of up to 14 days.
+BROKER_ORDER = ArrivalOrder("event_time", ("partition", "offset"), tick_us=1_000)
 
 
 def with_watermark(trades: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:

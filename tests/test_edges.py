@@ -50,8 +50,8 @@ def test_sliding_windows_cover_each_trade_twice(spark):
 
 @pytest.mark.parametrize("order", [
     ArrivalOrder("event_time", ("id",)),
-    ArrivalOrder("event_time", ("id",), widths=(20,)),
-    ArrivalOrder("event_time", ("id",), widths=(60,)),      # too wide to pack
+    ArrivalOrder("event_time", ("id",), ranges=((0, 1 << 20),)),
+    ArrivalOrder("event_time", ("id", "id", "id")),         # too wide to pack
     ArrivalOrder("event_time", ("id",), tick_us=1_000_000),
 ])
 def test_first_and_last_break_ties(spark, order):
@@ -65,12 +65,6 @@ def test_default_ties_follow_the_price(spark):
     assert (row.price_first, row.price_last) == (1.0, 3.0)
 
 
-def test_declared_width_is_enforced(spark):
-    rows = trades(spark, [("A", 1.0, 1.0, 1)]).withColumn("id", F.lit(99).cast("long"))
-    with pytest.raises(Exception, match="declared"):
-        window_stats(rows, order=ArrivalOrder("event_time", ("id",), widths=(3,))).collect()
-
-
 def test_zero_prices_are_guarded(spark):
     out = window_features(window_stats(trades(spark, [("A", 0.0, 1.0, 1), ("A", 4.0, 1.0, 2), ("B", 0.0, 1.0, 1)]),
                                        "1 minute", "1 minute"))
@@ -106,9 +100,8 @@ def test_fragments_merge_to_exact_windows(spark, salts):
     base = trades(spark, rows)
     order = ArrivalOrder("event_time", ("id",))
     exact = window_stats(base, order=order)
-    split = base.withColumn("batch", F.floor(F.col("id") / 23).cast("long"))
-    # batches arrive in id order, so ties between batches resolve by batch
-    merged = merge_fragments(window_fragments(split, "batch", order=order), "batch", salts)
+    split = base.withColumn("batch", (F.col("id") * 7919 % 23).cast("long"))  # not in id order
+    merged = merge_fragments(window_fragments(split, "batch", order=order), "batch", salts, order=order)
     keys = ["symbol", "window_start", "window_end"]
     both = exact.alias("x").join(merged.alias("m"), keys, "full_outer").collect()
     assert len(both) == exact.count()
@@ -120,6 +113,45 @@ def test_fragments_merge_to_exact_windows(spark, salts):
                 assert (a is None) == (b is None) and (a is None or a == pytest.approx(b, rel=1e-9)), c
 
 
+@pytest.mark.parametrize("order", [ArrivalOrder(), ArrivalOrder("event_time", ("id",))])
+def test_merge_decides_ties_like_exact_windows(spark, order):
+    rows = trades(spark, [("A", 5.0, 1.0, 5), ("A", 1.0, 1.0, 5), ("A", 3.0, 1.0, 5)])
+    split = rows.withColumn("batch", F.lit(9).cast("long") - F.col("id"))
+    exact = one(window_stats(rows, "1 minute", "1 minute", order=order))
+    merged = one(merge_fragments(window_fragments(split, "batch", "1 minute", "1 minute", order), "batch", order=order))
+    assert (merged.price_first, merged.price_last) == (exact.price_first, exact.price_last)
+
+
+def test_split_follows_any_ratio(spark):
+    from tapewatch.operators.classify import split
+    df = spark.range(20_000).select(F.col("id").cast("string").alias("key"))
+    for ratio in (0.999, 0.004, 0.5):
+        train, test = split(df, ["key"], ratio)
+        assert train.count() + test.count() == 20_000 and train.count() > 0 and test.count() > 0
+        assert abs(train.count() / 20_000 - ratio) < 0.02
+
+
+def test_numbers_that_are_not_finite_are_rejected(spark):
+    from tapewatch.sources.trades import normalise_payload, valid_trades
+    lines = [f'{{"s":"A","p":"{p}","q":"1.0","T":5,"m":true}}' for p in ("NaN", "Infinity", "-Infinity", "1e999", "2.5")]
+    good, bad = normalise_payload(spark.createDataFrame([(x,) for x in lines], "value string"))
+    assert [r.price for r in good.collect()] == [2.5] and bad.count() == 4
+    rows = spark.createDataFrame([(" a", "1", "NaN", "1"), ("a ", "1", "2", "1"), ("b", "1", "2", "1")],
+                                 "symbol string, timestamp string, price string, quantity string")
+    listed = spark.createDataFrame([("a",), (" A ",), (None,)], "symbol string")
+    assert [r.symbol for r in valid_trades(rows, ["a"]).collect()] == ["A"]
+    assert [r.symbol for r in valid_trades(rows, listed).collect()] == ["A"]
+
+
+def test_histogram_of_values_that_are_not_finite(spark):
+    from tapewatch.operators.summaries import feature_drift, histogram
+    df = spark.createDataFrame([(v,) for v in (1.0, 2.0, 5.0, float("nan"), float("inf"), None)], "v double")
+    rows = histogram(df, "v", 4).orderBy("bin").collect()
+    assert [r.n for r in rows] == [1, 1, 0, 1] and (rows[0].bin_lo, rows[-1].bin_hi) == (1.0, 5.0)
+    drift = feature_drift(df, df.filter("v < 3"), 4, ["v"])
+    assert drift.count() == 8 and drift.agg(F.sum("n")).first()[0] == 5
+
+
 def test_panes_must_divide(spark):
     with pytest.raises(ValueError):
         pane_window_stats(trades(spark, [("A", 1.0, 1.0, 1)]), "1 minute", "25 seconds")

@@ -9,6 +9,8 @@ from pyspark.sql import Window
 
 from tapewatch.operators import ordering, quantiles
 from tapewatch.operators.ordering import ArrivalOrder
+from tapewatch.operators.windows import window_stats
+from tapewatch.streaming.windows import BROKER_ORDER
 
 T0 = datetime(2024, 5, 1)
 ORDER = ArrivalOrder("event_time", ("id",))
@@ -93,8 +95,35 @@ def test_exact_percentile(spark, monkeypatch, q, shape):
     assert quantiles.exact_percentile(df, "v", q, accuracy=100) == pytest.approx(want, rel=1e-12)
 
 
-def test_measured_widths(skewed, spark):
-    assert ORDER.measured(skewed).widths == (12,)
-    assert ArrivalOrder().measured(skewed).widths is None
-    negative = skewed.withColumn("id", -F.col("id"))
-    assert ORDER.measured(negative).widths is None
+def test_measured_ranges(skewed):
+    assert ORDER.measured(skewed).ranges == ((0, 3000),)
+    assert ArrivalOrder().measured(skewed).ranges is None
+    assert ORDER.measured(skewed.withColumn("id", -F.col("id"))).ranges == ((-2999, 3000),)
+    assert ORDER.measured(skewed.limit(0)).ranges == ((0, 1),)
+
+
+@pytest.mark.parametrize("ids", [(600, 1 << 40), (-5, -(1 << 62)), (2**31 - 1, 2**63 - 1), (-(2**31), -(2**63))])
+@pytest.mark.parametrize("size", ["1 minute", "1 hour"])
+def test_any_partition_and_offset_order_a_window(spark, ids, size):
+    partition, offset = ids
+    rows = [("A", T0, partition, offset, 2.0, 1.0), ("A", T0, partition, None, 1.0, 1.0), ("A", T0, None, 7, 0.0, 1.0),
+            ("A", T0 + timedelta(seconds=1), partition, offset, 4.0, 1.0), ("A", T0 + timedelta(seconds=1), partition, None, 3.0, 1.0)]
+    df = spark.createDataFrame(rows, "symbol string, event_time timestamp, partition int, offset long, price double, quantity double")
+    row = window_stats(df, size, size, order=BROKER_ORDER).first()
+    assert (row.price_first, row.price_last) == (0.0, 4.0)
+
+
+@pytest.mark.parametrize("order", [BROKER_ORDER, ArrivalOrder("event_time", ("offset",)), ArrivalOrder("event_time", ())])
+def test_packed_orders_aggregate_by_hash(spark, order):
+    df = spark.createDataFrame([("A", T0, 1, 1, 1.0, 1.0)],
+                               "symbol string, event_time timestamp, partition int, offset long, price double, quantity double")
+    plan = window_stats(df, "1 hour", "30 minutes", order=order)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_null_keys_are_keys(spark):
+    df = spark.createDataFrame([(s, T0 + timedelta(seconds=i), i, float(i)) for i, s in enumerate(["A", None] * 3)],
+                               "symbol string, event_time timestamp, id long, price double")
+    assert ordering.keyed_index(df, ["symbol"], ["event_time"], "n").count() == 6
+    assert {r.id for r in ordering.last_n(df, ["symbol"], ORDER, 2).collect()} == {2, 3, 4, 5}
+    assert ordering.trailing_rows(df, ["symbol"], ["event_time"], 2, {"m": F.avg("price")}).count() == 6

@@ -28,3 +28,16 @@ def test_every_oracle_has_a_query():
 
 def test_entry(spark):
     assert entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name,keys", [
+    ("sort_one_column", [("window_start", 1)]), ("sort_two_columns", [("symbol", 1), ("window_start", 1)]),
+    ("windows_per_symbol", [("windows", -1), ("symbol", 1)]), ("anomaly_rate_by_symbol", [("anomaly_pct", -1), ("symbol", 1)]),
+    ("price_band", [("symbol", 1), ("window_start", 1)]), ("distinct_symbols", [("symbol", 1)])])
+def test_rows_come_in_order(spark, sf, name, keys):
+    rows = [r.asDict() for r in queries()[name](spark, sf).collect()]
+    want = rows
+    for key, way in reversed(keys):
+        want = sorted(want, key=lambda r: r[key], reverse=way < 0)
+    names = [key for key, _ in keys]
+    assert rows and [[r[k] for k in names] for r in rows] == [[r[k] for k in names] for r in want]

@@ -171,12 +171,6 @@ def test_large_state_store(spark, folder, tmp_path):
         spark.conf.set(key, before)
 
 
-def test_broker_order_packs_for_the_default_window():
-    from tapewatch.operators.windows import micros
-    span_bits = (micros("1 minute") // windows.BROKER_ORDER.tick_us).bit_length()
-    assert span_bits + sum(windows.BROKER_ORDER.widths) <= 63
-
-
 def test_broker_messages_decode_like_files(spark):
     """The broker's binary value and offset, without a broker."""
     from tapewatch.sources.trades import decode_trades, with_event_time
@@ -195,3 +189,23 @@ def test_progress_without_state_is_empty(spark, folder, tmp_path):
                            str(tmp_path / "c"), interval=None)
     q.awaitTermination()
     assert run.late_rows(q) == 0
+
+
+def test_progress_log_outlives_what_a_query_remembers(spark, folder, tmp_path):
+    for i in range(6):
+        folder.add(("A", 1.0, i), ("A", 1.0, i + 1))
+    key, log = "spark.sql.streaming.numRecentProgressUpdates", run.ProgressLog()
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    spark.streams.addListener(log)
+    try:
+        _, q = exact(spark, folder, tmp_path)
+        for _ in range(50):
+            if sum(n for _, n, _, _ in run.progress_rates(q, log)) == 12:
+                break
+            time.sleep(0.2)
+        assert sum(n for _, n, _, _ in run.progress_rates(q, log)) == 12
+        assert len(q.recentProgress) <= 2 and run.late_rows(q, log) == 0
+    finally:
+        spark.streams.removeListener(log)
+        spark.conf.set(key, before)
