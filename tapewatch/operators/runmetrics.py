@@ -74,7 +74,8 @@ def job_summary(events: DataFrame) -> DataFrame:
         F.coalesce(F.sum(took), F.lit(0)).alias("total_job_duration_ms"))
 
 
-def _task_ends(events: DataFrame) -> DataFrame:
+def _task_columns() -> dict[str, Column]:
+    """What a finished task cost; of use in task-end events only."""
     metrics, info = F.col("Task Metrics"), F.col("Task Info")
     read = metrics["Shuffle Read Metrics"]
 
@@ -85,19 +86,24 @@ def _task_ends(events: DataFrame) -> DataFrame:
     fetching = F.when(fetch > 0, finish - fetch).otherwise(0)
     waited = (finish - launch - ms(metrics["Executor Run Time"]) - ms(metrics["Executor Deserialize Time"])
               - ms(metrics["Result Serialization Time"]) - fetching)
+    return {
+        "executor_run_time_ms": ms(metrics["Executor Run Time"]),
+        "gc_time_ms": ms(metrics["JVM GC Time"]),
+        "shuffle_read_bytes": ms(read["Remote Bytes Read"]) + ms(read["Local Bytes Read"]),
+        "shuffle_write_bytes": ms(metrics["Shuffle Write Metrics"]["Shuffle Bytes Written"]),
+        "input_bytes": ms(metrics["Input Metrics"]["Bytes Read"]),
+        "output_bytes": ms(metrics["Output Metrics"]["Bytes Written"]),
+        "memory_bytes_spilled": ms(metrics["Memory Bytes Spilled"]),
+        "disk_bytes_spilled": ms(metrics["Disk Bytes Spilled"]),
+        "scheduler_delay_ms": F.greatest(waited, F.lit(0))}
+
+
+def _task_ends(events: DataFrame) -> DataFrame:
+    info = F.col("Task Info")
     return _of(events, "SparkListenerTaskEnd").select(
         "run", F.col("Stage ID").alias("stage_id"), F.col("Stage Attempt ID").alias("attempt"),
-        info["Task ID"].alias("task_id"), info["Executor ID"].alias("executor_id"),
-        info["Failed"].alias("failed"),
-        ms(metrics["Executor Run Time"]).alias("executor_run_time_ms"),
-        ms(metrics["JVM GC Time"]).alias("gc_time_ms"),
-        (ms(read["Remote Bytes Read"]) + ms(read["Local Bytes Read"])).alias("shuffle_read_bytes"),
-        ms(metrics["Shuffle Write Metrics"]["Shuffle Bytes Written"]).alias("shuffle_write_bytes"),
-        ms(metrics["Input Metrics"]["Bytes Read"]).alias("input_bytes"),
-        ms(metrics["Output Metrics"]["Bytes Written"]).alias("output_bytes"),
-        ms(metrics["Memory Bytes Spilled"]).alias("memory_bytes_spilled"),
-        ms(metrics["Disk Bytes Spilled"]).alias("disk_bytes_spilled"),
-        F.greatest(waited, F.lit(0)).alias("scheduler_delay_ms"))
+        info["Task ID"].alias("task_id"), info["Executor ID"].alias("executor_id"), info["Failed"].alias("failed"),
+        *[c.alias(name) for name, c in _task_columns().items()])
 
 
 _SUMMED = ["executor_run_time_ms", "gc_time_ms", "shuffle_read_bytes", "shuffle_write_bytes",
@@ -106,12 +112,12 @@ _SUMMED = ["executor_run_time_ms", "gc_time_ms", "shuffle_read_bytes", "shuffle_
 
 def task_totals(events: DataFrame) -> DataFrame:
     """Run, collection, shuffle, I/O and spill totals per run; megabytes rounded to 2 places."""
-    tasks = _task_ends(events)
-    return (tasks.groupBy("run").agg(*[F.sum(c).alias(c) for c in _SUMMED])
-            .withColumns({"shuffle_read_mb": _mb("shuffle_read_bytes"),
-                          "shuffle_write_mb": _mb("shuffle_write_bytes"),
-                          "memory_spill_mb": _mb("memory_bytes_spilled"),
-                          "disk_spill_mb": _mb("disk_bytes_spilled")}))
+    return _task_ends(events).groupBy("run").agg(*[F.sum(c).alias(c) for c in _SUMMED]).withColumns(_megabytes())
+
+
+def _megabytes() -> dict[str, Column]:
+    return {"shuffle_read_mb": _mb("shuffle_read_bytes"), "shuffle_write_mb": _mb("shuffle_write_bytes"),
+            "memory_spill_mb": _mb("memory_bytes_spilled"), "disk_spill_mb": _mb("disk_bytes_spilled")}
 
 
 def stage_counts(events: DataFrame) -> DataFrame:
@@ -127,20 +133,30 @@ def scheduler_delay(events: DataFrame) -> DataFrame:
         F.avg(delay).alias("mean_delay_ms"), F.max(delay).alias("max_delay_ms"))
 
 
+def _parts(events: DataFrame) -> DataFrame:
+    """One pass over the events: what each executor, each job and the application of a run amount to."""
+    kind = F.col("Event")
+    task, job = kind == "SparkListenerTaskEnd", kind.isin("SparkListenerJobStart", "SparkListenerJobEnd")
+    executor = (F.when(task, F.col("Task Info.Executor ID"))
+                .when(kind == "SparkListenerBlockManagerAdded", F.col("Block Manager ID.Executor ID"))
+                .when(kind == "SparkListenerExecutorAdded", F.col("Executor ID")))
+    app = kind == "SparkListenerApplicationStart"
+    columns = _task_columns()
+    used = events.filter(executor.isNotNull() | job | app | (kind == "SparkListenerStageCompleted"))
+    return used.groupBy("run", executor.alias("executor_id"), F.when(job, F.col("Job ID")).alias("job")).agg(
+        *[F.sum(F.when(task, columns[c])).alias(c) for c in _SUMMED], F.count_if(task).alias("tasks"),
+        F.max("Maximum Memory").alias("memory"), F.max("Executor Info.Total Cores").alias("cores"),
+        F.max(F.when(job, F.col("Submission Time"))).alias("job_start"), F.max(F.when(job, F.col("Completion Time"))).alias("job_end"),
+        F.max(F.col("Job Result.Result") == "JobSucceeded").alias("job_done"),
+        F.count_if(kind == "SparkListenerStageCompleted").alias("stages"),
+        F.max(F.when(app, F.col("App Name"))).alias("app_name"), F.min(F.when(app, F.col("Timestamp"))).alias("started_ms"))
+
+
 def executor_totals(events: DataFrame) -> DataFrame:
     """Memory, cores, tasks and collection time per run and executor (the driver is one)."""
-    tasks = _task_ends(events).groupBy("run", "executor_id").agg(
-        F.count(F.lit(1)).alias("total_tasks"), F.sum("gc_time_ms").alias("total_gc_time_ms"))
-    memory = (_of(events, "SparkListenerBlockManagerAdded")
-              .groupBy("run", F.col("Block Manager ID.Executor ID").alias("executor_id"))
-              .agg(_mb(F.max("Maximum Memory")).alias("max_memory_mb")))
-    cores = (_of(events, "SparkListenerExecutorAdded")
-             .groupBy("run", F.col("Executor ID").alias("executor_id"))
-             .agg(F.max("Executor Info.Total Cores").alias("cores")))
-    keys = ["run", "executor_id"]
-    joined = union_loose(tasks, memory, cores).groupBy(*keys).agg(
-        *[F.max(c).alias(c) for c in ("max_memory_mb", "cores", "total_tasks", "total_gc_time_ms")])
-    return joined.fillna(0, ["total_tasks", "total_gc_time_ms"])
+    return _parts(events).filter(F.col("executor_id").isNotNull()).select(
+        "run", "executor_id", _mb("memory").alias("max_memory_mb"), "cores", F.col("tasks").alias("total_tasks"),
+        F.coalesce("gc_time_ms", F.lit(0)).alias("total_gc_time_ms"))
 
 
 def config_diff(events: DataFrame, runs: Sequence[str]) -> DataFrame:
@@ -157,15 +173,19 @@ def config_diff(events: DataFrame, runs: Sequence[str]) -> DataFrame:
 
 
 def run_summary(events: DataFrame) -> DataFrame:
-    """One row per run with every total, and the name of its application."""
-    apps = _of(events, "SparkListenerApplicationStart").groupBy("run").agg(
-        F.max("App Name").alias("app_name"), F.min("Timestamp").alias("started_ms"))
-    driver = (executor_totals(events).filter(F.col("executor_id") == "driver")
-              .select("run", F.col("max_memory_mb").alias("driver_max_memory_mb"),
-                      F.col("total_gc_time_ms").alias("driver_total_gc_time_ms"),
-                      F.col("total_tasks").alias("driver_total_tasks")))
-    parts = union_loose(apps, job_summary(events), stage_counts(events), task_totals(events), driver)
-    return parts.groupBy("run").agg(*[F.max(c).alias(c) for c in parts.columns if c != "run"])
+    """One row per run with every total, and the name of its application; a total without events is null."""
+    driver, job = F.col("executor_id") == "driver", F.col("job").isNotNull()
+    done = job & F.col("job_done")
+    any_of = lambda n, value: F.when(n > 0, value)
+    jobs, stages = F.count("job"), F.sum("stages")
+    return _parts(events).groupBy("run").agg(
+        F.max("app_name").alias("app_name"), F.min("started_ms").alias("started_ms"),
+        any_of(jobs, jobs).alias("total_jobs"), any_of(jobs, F.count_if(done)).alias("completed_jobs"),
+        any_of(jobs, F.coalesce(F.sum(F.when(done, F.col("job_end") - F.col("job_start"))), F.lit(0))).alias("total_job_duration_ms"),
+        any_of(stages, stages).alias("total_stages"), *[F.sum(c).alias(c) for c in _SUMMED],
+        _mb(F.max(F.when(driver, F.col("memory")))).alias("driver_max_memory_mb"),
+        F.max(F.when(driver, F.coalesce("gc_time_ms", F.lit(0)))).alias("driver_total_gc_time_ms"),
+        F.max(F.when(driver, F.col("tasks"))).alias("driver_total_tasks")).withColumns(_megabytes())
 
 
 def consolidate_runs(*summaries: DataFrame) -> DataFrame:

@@ -155,11 +155,12 @@ def _(spark, sf):
         F.lit(ready.trainable).alias("trainable"), F.lit(ready.has_both_classes).alias("has_both_classes"))
 
 
-_BUCKET = "('0x' || substr(md5(symbol || '|' || window_start), 1, 8))::BIGINT"
+# the lowest 0.8 of all 32-bit hashes
+_IS_TRAIN = "('0x' || substr(md5(symbol || '|' || window_start), 1, 8))::BIGINT < 3435973836"
 
 
 @query("split", f"""WITH {EVENT_FEATURES} SELECT symbol, window_start,
-  CASE WHEN {_BUCKET} < 3435973836 THEN 'train' ELSE 'test' END AS side FROM feats""")
+  CASE WHEN {_IS_TRAIN} THEN 'train' ELSE 'test' END AS side FROM feats""")
 def _(spark, sf):
     side = F.when(classify.is_train(window_keys()), "train").otherwise("test")
     return features(spark, sf).select("symbol", "window_start", side.alias("side"))
@@ -235,7 +236,7 @@ def _differing(a, b, keys):
     return a.join(other, keys).agg(F.count(F.lit(1)).alias("rows"), F.count_if(far).alias("differing"))
 
 
-_TEST_ROWS = f"WITH {EVENT_FEATURES} SELECT count(*) AS rows, 0::BIGINT AS differing FROM feats WHERE {_BUCKET} >= 80"
+_TEST_ROWS = f"WITH {EVENT_FEATURES} SELECT count(*) AS rows, 0::BIGINT AS differing FROM feats WHERE NOT ({_IS_TRAIN})"
 
 
 @query("fitted_scores_match_params", _TEST_ROWS)
@@ -270,7 +271,16 @@ def _(spark, sf):
     return classify.coefficients(spark, _fitted(spark, sf)[0])
 
 
-@query("model_params", "WITH " + EVENT_FEATURES + ", train AS (SELECT * FROM feats WHERE " + _BUCKET + " < 80) "
+@query("fitted_coefficients_complete", "SELECT true AS strongest_first, 4::BIGINT AS features, true AS intercept_last")
+def _(spark, sf):
+    rows = [tuple(r) for r in classify.coefficients(spark, _fitted(spark, sf)[0]).collect()]  # five rows
+    sizes = [abs(c) for _, c in rows[:-1]]
+    return spark.range(1).select(F.lit(sizes == sorted(sizes, reverse=True)).alias("strongest_first"),
+                                 F.lit(len({f for f, _ in rows} & set(FEATURES))).cast("long").alias("features"),
+                                 F.lit(rows[-1][0] == "intercept").alias("intercept_last"))
+
+
+@query("model_params", "WITH " + EVENT_FEATURES + ", train AS (SELECT * FROM feats WHERE " + _IS_TRAIN + ") "
        + " UNION ALL ".join(f"SELECT '{f}' AS feature, round(avg({f}), 6) AS mean, "
                             f"round(stddev_samp({f}), 6) AS std FROM train" for f in FEATURES))
 def _(spark, sf):
@@ -299,6 +309,17 @@ def _(spark, sf):
     return spark.createDataFrame(rows, "k int, silhouette double, chosen boolean")
 
 
+@query("choose_k_is_best", "SELECT '3,4,5' AS tried, true AS chosen_is_best, true AS within_bounds")
+def _(spark, sf):
+    _, prepared = cluster.prepare(windows_once(spark, sf))
+    choice = cluster.choose_k(prepared.persist())
+    prepared.unpersist()
+    best = min(k for k, s in choice.scores.items() if s == max(choice.scores.values()))
+    return spark.range(1).select(F.lit(",".join(map(str, sorted(choice.scores)))).alias("tried"),
+                                 F.lit(choice.k == best).alias("chosen_is_best"),
+                                 F.lit(all(-1 <= s <= 1 for s in choice.scores.values())).alias("within_bounds"))
+
+
 @query("cluster_and_label")
 def _(spark, sf):
     return cluster.cluster_and_label(windows_once(spark, sf))[0]

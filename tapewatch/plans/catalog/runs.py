@@ -76,25 +76,76 @@ def _(spark, sf):
     return M.scheduler_delay(_task_events(spark, sf))
 
 
-@query("executor_totals", """SELECT l_returnflag AS run,
+def _hardware_events(spark, sf):
+    """Memory, cores and finished stages: a line of each kind per supplier, its key names run and executor."""
+    key = F.col("s_suppkey")
+    run = F.element_at(F.array(F.lit("A"), F.lit("N"), F.lit("R")), (key % 3 + 1).cast("int"))
+    executor = F.when(key % 5 == 0, "driver").otherwise(F.concat(F.lit("exec-"), (key % 5).cast("string")))
+    memory = F.to_json(F.struct(F.lit("SparkListenerBlockManagerAdded").alias("Event"),
+                                F.struct(executor.alias("Executor ID")).alias("Block Manager ID"),
+                                (key * 1048576).alias("Maximum Memory")))
+    cores = F.to_json(F.struct(F.lit("SparkListenerExecutorAdded").alias("Event"), executor.alias("Executor ID"),
+                               F.struct((key % 16).alias("Total Cores")).alias("Executor Info")))
+    stage = F.to_json(F.struct(F.lit("SparkListenerStageCompleted").alias("Event"),
+                               F.struct(key.alias("Stage ID")).alias("Stage Info")))
+    lines = table(spark, sf, "supplier").select(run.alias("run"), F.explode(F.array(memory, cores, stage)).alias("value"))
+    return M.parse_events(lines)
+
+
+def _app_events(spark, sf):
+    apps = table(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("run")).agg(F.min("l_orderkey").alias("at"))
+    line = F.to_json(F.struct(F.lit("SparkListenerApplicationStart").alias("Event"),
+                              F.concat(F.lit("app-"), "run").alias("App Name"), F.col("at").alias("Timestamp")))
+    return M.parse_events(apps.select("run", line.alias("value")))
+
+
+HARDWARE_SQL = """hw AS (SELECT ['A', 'N', 'R'][1 + s_suppkey % 3] AS run,
+  CASE WHEN s_suppkey % 5 = 0 THEN 'driver' ELSE 'exec-' || (s_suppkey % 5) END AS executor_id,
+  round(max(s_suppkey)::DOUBLE, 2) AS max_memory_mb, max(s_suppkey % 16)::INTEGER AS cores, count(*) AS stages
+  FROM supplier GROUP BY ALL),
+by_executor AS (SELECT l_returnflag AS run,
   CASE WHEN l_suppkey % 4 = 0 THEN 'driver' ELSE 'exec-' || (l_suppkey % 4) END AS executor_id,
-  count(*) AS total_tasks, sum(l_linenumber)::BIGINT AS total_gc_time_ms FROM lineitem GROUP BY 1, 2""")
+  count(*) AS total_tasks, sum(l_linenumber)::BIGINT AS total_gc_time_ms FROM lineitem GROUP BY 1, 2),
+executors AS (SELECT run, executor_id, max_memory_mb, cores, coalesce(total_tasks, 0) AS total_tasks,
+  coalesce(total_gc_time_ms, 0) AS total_gc_time_ms FROM hw FULL JOIN by_executor USING (run, executor_id))"""
+
+
+@query("executor_totals", f"WITH {HARDWARE_SQL} SELECT * FROM executors")
 def _(spark, sf):
-    return M.executor_totals(_task_events(spark, sf)).drop("max_memory_mb", "cores")
+    return M.executor_totals(_task_events(spark, sf).unionByName(_hardware_events(spark, sf)))
 
 
-@query("config_diff", """WITH kv AS (SELECT DISTINCT 'supplier.' || (l_suppkey % 50) AS key, l_returnflag AS run,
-  max(l_linestatus || (l_orderkey % 3)) OVER (PARTITION BY l_suppkey % 50, l_returnflag, l_suppkey % 50) AS value FROM lineitem),
-wide AS (SELECT key, max(value) FILTER (WHERE run = 'A') AS A, max(value) FILTER (WHERE run = 'N') AS N,
-  max(value) FILTER (WHERE run = 'R') AS R FROM kv GROUP BY key)
+@query("run_summary", f"""WITH {TOTALS_SQL}, {JOBS_SQL}, {HARDWARE_SQL},
+named AS (SELECT translate(run, 'FOP', 'ANR') AS run, total_jobs, completed_jobs, total_job_duration_ms FROM jobs),
+apps AS (SELECT l_returnflag AS run, 'app-' || l_returnflag AS app_name, min(l_orderkey) AS started_ms FROM lineitem GROUP BY ALL),
+stages AS (SELECT run, sum(stages)::BIGINT AS total_stages FROM hw GROUP BY 1),
+drivers AS (SELECT run, max_memory_mb AS driver_max_memory_mb, total_gc_time_ms AS driver_total_gc_time_ms,
+  total_tasks AS driver_total_tasks FROM executors WHERE executor_id = 'driver')
+SELECT * FROM apps LEFT JOIN named USING (run) LEFT JOIN stages USING (run) LEFT JOIN task_totals USING (run)
+LEFT JOIN drivers USING (run)""")
+def _(spark, sf):
+    jobs = _job_events(spark, sf).withColumn("run", F.translate("run", "FOP", "ANR"))
+    events = _task_events(spark, sf)
+    for more in (jobs, _hardware_events(spark, sf), _app_events(spark, sf)):
+        events = events.unionByName(more)
+    return M.run_summary(events)
+
+
+# Settings that agree, that differ, and that a run lacks.
+@query("config_diff", """WITH kv AS (SELECT l_suppkey % 50 AS k, l_returnflag AS run,
+  CASE WHEN l_suppkey % 50 % 3 = 0 THEN 'same' ELSE (sum(l_quantity)::BIGINT % 7)::VARCHAR END AS value
+  FROM lineitem GROUP BY l_suppkey % 50, l_returnflag HAVING (l_suppkey % 50 + ascii(l_returnflag)) % 5 <> 0),
+wide AS (SELECT 'supplier.' || k AS key, max(value) FILTER (WHERE run = 'A') AS A, max(value) FILTER (WHERE run = 'N') AS N,
+  max(value) FILTER (WHERE run = 'R') AS R FROM kv GROUP BY 1)
 SELECT * FROM wide WHERE A IS DISTINCT FROM N OR A IS DISTINCT FROM R""")
 def _(spark, sf):
-    settings = (table(spark, sf, "lineitem")
-                .groupBy(F.col("l_returnflag").alias("run"),
-                         F.concat(F.lit("supplier."), F.col("l_suppkey") % 50).alias("key"))
-                .agg(F.max(F.concat("l_linestatus", F.col("l_orderkey") % 3)).alias("value")))
+    k = F.col("l_suppkey") % 50
+    settings = (table(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("run"), k.alias("k"))
+                .agg(F.sum("l_quantity").cast("long").alias("q"))
+                .filter((F.col("k") + F.ascii("run")) % 5 != 0))
+    value = F.when(F.col("k") % 3 == 0, "same").otherwise((F.col("q") % 7).cast("string"))
     line = F.to_json(F.struct(F.lit("SparkListenerEnvironmentUpdate").alias("Event"),
-                              F.create_map("key", "value").alias("Spark Properties")))
+                              F.create_map(F.concat(F.lit("supplier."), "k"), value).alias("Spark Properties")))
     events = M.parse_events(settings.select("run", line.alias("value")))
     return M.config_diff(events, ["A", "N", "R"])
 

@@ -65,6 +65,15 @@ def _(spark, sf):
     return spark.range(1).select(F.lit(found).alias("p95"))
 
 
+@query("percentile_approximate_within", "SELECT count(*) AS rows, true AS within FROM lineitem")
+def _(spark, sf):
+    """The rank of the sketch's answer differs from the wanted one by at most the accuracy."""
+    lines = table(spark, sf, "lineitem")
+    found = percentile_threshold(lines, "l_extendedprice", 0.95, exact=False, accuracy=100)
+    price, n = F.col("l_extendedprice"), F.count(F.lit(1))
+    return lines.agg(n.alias("rows"), ((F.count_if(price < found) <= n * 0.96) & (F.count_if(price <= found) >= n * 0.94)).alias("within"))
+
+
 @query("windows_per_symbol", f"WITH {EVENT_STATS} SELECT symbol, count(*) AS windows FROM stats GROUP BY 1")
 def _(spark, sf):
     return summaries.windows_per_symbol(stats(spark, sf))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from tapewatch.operators.classify import prediction_view
-from tapewatch.operators.runmetrics import consolidate_runs, read_event_log, run_summary
+from tapewatch.operators.runmetrics import read_event_log, run_summary
 from tapewatch.sources.sinks import export_csv
 from tapewatch.sources.tables import resolve_path
 
@@ -32,5 +32,4 @@ def export_predictions(spark: SparkSession, source: str, target: str) -> bool:
 
 def export_runs(spark: SparkSession, logs: Sequence[str], target: str) -> None:
     """One row per run; small by nature, so one file."""
-    runs = consolidate_runs(*[run_summary(read_event_log(spark, p)) for p in logs])
-    export_csv(runs, target, order_by="run", single_file=True)
+    export_csv(run_summary(read_event_log(spark, list(logs))), target, order_by="run", single_file=True)
