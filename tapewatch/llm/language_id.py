@@ -3,20 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.classification import LinearSVC
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapewatch.llm.common import Scratch, bytes_and_offsets, table
+from tapewatch.llm.common import Scratch, as_binary, bytes_and_offsets, table
 from tapewatch.llm.tokens import split_batch
 
 FEATURES = 4096
@@ -124,11 +121,36 @@ def _families(centroids: np.ndarray) -> list[list[int]]:
     return groups
 
 
-def fit(docs: DataFrame, scratch: Scratch, per_language: int = 1500, iterations: int = 30) -> LanguageModel:
+def linear_svm(x: np.ndarray, y: np.ndarray, c: float = 1.0, epochs: int = 20, seed: int = 1) -> tuple[np.ndarray, float]:
+    """Weights and bias of a linear SVM with hinge loss, by coordinate descent on its dual.
+
+    ``y`` is 1 or -1. Features are scaled by their deviation for the fit; the weights are for unscaled ones.
+    """
+    scale = x.std(axis=0)
+    scale = np.where(scale > 0, 1 / np.where(scale > 0, scale, 1), 0)
+    z = np.column_stack((x * scale, np.ones(len(x)))).astype(np.float32)
+    norm, alpha, w = (z * z).sum(axis=1), np.zeros(len(z)), np.zeros(z.shape[1])
+    draw = np.random.default_rng(seed)
+    for _ in range(epochs):
+        moved = 0.0
+        for i in draw.permutation(len(z)):
+            step = float(np.clip(alpha[i] + (1 - y[i] * (z[i] @ w)) / norm[i], 0, c)) - alpha[i]
+            if step:
+                w += step * y[i] * z[i]
+                alpha[i] += step
+                moved = max(moved, abs(step) * norm[i])
+        if moved < 1e-3:
+            break
+    return w[:-1] * scale, float(w[-1])
+
+
+def fit(docs: DataFrame, scratch: Scratch, per_language: int = 1000) -> LanguageModel:
     """Learn from text and language of the rows that are not held out.
 
-    At most ``per_language`` rows of each language are used, those with the least hash of their id
-    (null ids are not learned from), so the sample does not depend on how the rows are stored.
+    At most ``per_language`` rows of each language are used, those with the least hash of their id (null
+    ids are not learned from), so the sample does not depend on how the rows are stored. Every pair of
+    families and every pair of languages of one family is a group of its own with at most 2 * ``per_language``
+    rows, fitted side by side; the driver gets a weight vector per pair.
     """
     usable = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out() & has_letter())
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
@@ -137,52 +159,46 @@ def fit(docs: DataFrame, scratch: Scratch, per_language: int = 1500, iterations:
     # a share that keeps somewhat more than wanted, then the exact bound on the few that are left
     some = labelled.join(F.broadcast(scratch.put(sizes)), "lang").filter(draw * F.col("_n") <= per_language * 1.2 + 50)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")))
-    some = some.withColumn("_rank", rank).filter(F.col("_rank") <= per_language).select("lang", "text")
+    some = some.withColumn("_rank", rank).filter(F.col("_rank") <= per_language).select("lang", "_rank", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
-                x = features(part.column(1))
-                yield pa.record_batch([part.column(0), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), FEATURES)
-                                       .cast(pa.list_(pa.float64()))], ["lang", "x"])
+                x = features(part.column(2)).astype("<f4")
+                yield pa.record_batch([part.column(0), part.column(1), as_binary([v.tobytes() for v in x])], ["lang", "rank", "x"])
 
-    rows = scratch.put(some.mapInArrow(run, "lang string, x array<double>"))
-    languages = [r["lang"] for r in rows.select("lang").distinct().orderBy("lang").collect()]  # one row per language
+    rows = scratch.put(some.mapInArrow(run, "lang string, rank int, x binary"))
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, np.ndarray] = {}
-        for batch in batches:
-            x = batch.column(1).flatten().to_numpy().reshape(-1, FEATURES)
-            names = np.array(batch.column(0).to_pylist())
-            for name in np.unique(names):
-                total[name] = total.get(name, 0) + x[names == name].sum(axis=0)
-        if total:
-            yield pa.record_batch([pa.array(list(total)), pa.array(list(total.values()), pa.list_(pa.float64()))], ["lang", "x"])
-
-    centroids = np.zeros((len(languages), FEATURES))
-    for r in rows.mapInArrow(sums, "lang string, x array<double>").toLocalIterator():
-        centroids[languages.index(r["lang"])] += np.array(r["x"])
-    groups = _families(centroids) if languages else []
-    index = {name: i for i, name in enumerate(languages)}
-    family = {name: f for f, g in enumerate(groups) for name in (languages[i] for i in g)}
+    def mean(key, frame):
+        import pandas as pd
+        total = sum(np.frombuffer(x, "<f4").astype(np.float64) for x in frame["x"])
+        return pd.DataFrame({"lang": [key[0]], "x": [(total / len(frame)).astype("<f8").tobytes()]})
+
+    means = rows.groupBy("lang").applyInPandas(mean, "lang string, x binary").orderBy("lang").collect()  # a row per language
+    languages = [r["lang"] for r in means]
+    groups = _families(np.array([np.frombuffer(r["x"], "<f8") for r in means])) if languages else []
     pairs = [("family", a, b) for a, b in combinations(range(len(groups)), 2)]
     pairs += [("language", a, b) for g in groups for a, b in combinations(g, 2)]
     weights, bias = np.zeros((len(pairs), FEATURES)), np.zeros(len(pairs))
     if pairs:
-        code = lambda of: F.create_map(*[F.lit(v) for kv in of.items() for v in kv])[F.col("lang")]
-        data = rows.select(code(index).alias("language"), code(family).alias("family"),
-                           array_to_vector("x").alias("features")).cache()
-
-        def train(pair: tuple[str, int, int]):
-            kind, a, b = pair
-            two = data.filter(F.col(kind).isin(a, b)).withColumn("label", (F.col(kind) == a).cast("double"))
-            return LinearSVC(maxIter=iterations, regParam=1e-4).fit(two)
-
-        with ThreadPoolExecutor(8) as pool:  # the fits are many small jobs; side by side they fill the cores
-            for m, model in enumerate(pool.map(train, pairs)):
-                weights[m], bias[m] = model.coefficients.toArray(), model.intercept
-        data.unpersist()
+        # (language, pair, side, rows of the language that take part)
+        roles = [(languages[i], m, side, per_language // len(groups[member]) if kind == "family" else per_language)
+                 for m, (kind, a, b) in enumerate(pairs) for side, member in ((1, a), (-1, b))
+                 for i in (groups[member] if kind == "family" else [member])]
+        spark = docs.sparkSession
+        named = F.broadcast(spark.createDataFrame(roles, "lang string, pair int, side int, most int"))  # a few rows per pair
+        dealt = rows.join(named, "lang").filter(F.col("rank") <= F.greatest("most", F.lit(1))).select("pair", "side", "rank", "lang", "x")
+
+        def train(key, frame):
+            import pandas as pd
+            frame = frame.sort_values(["lang", "rank"])
+            x = np.frombuffer(b"".join(frame["x"]), "<f4").reshape(-1, FEATURES)
+            w, b = linear_svm(x, frame["side"].to_numpy())
+            return pd.DataFrame({"pair": [key[0]], "w": [w.astype("<f8").tobytes()], "b": [b]})
+
+        for r in dealt.groupBy("pair").applyInPandas(train, "pair int, w binary, b double").collect():
+            weights[r["pair"]], bias[r["pair"]] = np.frombuffer(r["w"], "<f8"), r["b"]
     scratch.keep_only()
     return LanguageModel(tuple(tuple(languages[i] for i in g) for g in groups), tuple(pairs), tuple(languages), weights, bias)
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapewatch.llm.common import Scratch, mix64, table
-from tapewatch.llm.tokens import default_tokenizer, id_bytes, split_batch, unsigned_width, word_encoder
+from tapewatch.llm.tokens import default_tokenizer, id_bytes, split_batch, vocabulary, word_encoder
 
 SEQUENCE = 4096
 DIMENSIONS, BITS = 4, 8
@@ -115,7 +115,7 @@ def pack(docs: DataFrame, scratch: Scratch, size: int = SEQUENCE, tokenizer: str
     repeated ids are documents of their own; other columns are ignored; no rows give no pieces.
     """
     tokenizer = tokenizer or default_tokenizer()
-    width = unsigned_width(word_encoder(tokenizer, end_id).size)
+    width, _ = vocabulary(docs.sparkSession, tokenizer)
     tokens = scratch.put(_encode(docs, tokenizer, end_id, width))
     positions = scratch.put(_positions(tokens, scratch))
     total = tokens.agg(F.coalesce(F.sum("doc_tokens"), F.lit(0)).alias("n")).first()["n"]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tapewatch.llm.common import Scratch, table
 from tapewatch.llm.files import Reader, create
-from tapewatch.llm.tokens import default_tokenizer, split_batch, unsigned_width, word_encoder
+from tapewatch.llm.tokens import default_tokenizer, split_batch, vocabulary, word_encoder
 from tapewatch.session import parallelism
 
 END = "<|endoftext|>"
@@ -113,8 +113,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = N
     """Writes all documents to flat token files, then counts each document's tokens from the files alone."""
     scratch = Scratch(spark, "op6")
     tokenizer = tokenizer or default_tokenizer()
-    end_id = word_encoder(tokenizer, 0).tokenizer.token_to_id(END)
-    width = unsigned_width(word_encoder(tokenizer, 0).size)
+    width, end_id = vocabulary(spark, tokenizer, END)
     written = scratch.put(write_flat(table(spark, sf_dir, "documents"), f"{scratch.root}/flat", tokenizer, end_id, width))
     files = written.groupBy("file").agg(F.sum("bytes").alias("bytes"))
     counts = token_counts(files, scratch, end_id, width)

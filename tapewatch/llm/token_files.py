@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tapewatch.llm.common import Scratch, table
 from tapewatch.llm.files import Reader, create
-from tapewatch.llm.tokens import default_tokenizer, id_bytes, split_batch, unsigned_width, word_encoder
+from tapewatch.llm.tokens import default_tokenizer, id_bytes, split_batch, vocabulary, word_encoder
 from tapewatch.session import parallelism
 
 MAX_BITS = 18
@@ -252,7 +252,7 @@ def huffman_files(docs: DataFrame, scratch: Scratch, tokenizer: str | None = Non
     than ``doc_id`` and ``text`` are ignored. An empty table gives no file.
     """
     tokenizer = tokenizer or default_tokenizer()
-    width = unsigned_width(word_encoder(tokenizer, end_id).size)
+    width, _ = vocabulary(docs.sparkSession, tokenizer)
     tokens = scratch.put(tokenize(docs, tokenizer, end_id, width))
     lengths = limited_lengths(id_counts(tokens, width))
     manifest = scratch.put(write_files(tokens, width, lengths, f"{scratch.root}/files", block_ids))

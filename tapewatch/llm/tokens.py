@@ -9,8 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 #: word pieces a worker remembers; beyond it starts anew, which costs time and changes nothing
 CACHE_PIECES = 600_000
@@ -164,3 +163,14 @@ def id_bytes(ids: np.ndarray, offsets: np.ndarray, dtype: str) -> pa.Array:
 def unsigned_width(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
+
+def vocabulary(spark: SparkSession, tokenizer: str, token: str = "") -> tuple[str, int]:
+    """Width of the ids and the id of ``token`` (-1 if there is none), found out in a task: the driver loads no tokenizer."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                encoder = word_encoder(tokenizer, 0)
+                found = encoder.tokenizer.token_to_id(token)
+                yield pa.record_batch([pa.array([encoder.size]), pa.array([-1 if found is None else found], pa.int64())], ["size", "id"])
+    row = spark.range(1).repartition(1).mapInArrow(run, "size long, id long").first()
+    return unsigned_width(row["size"]), row["id"]
