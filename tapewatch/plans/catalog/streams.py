@@ -82,3 +82,25 @@ def _(spark, sf):
     scored = unpack_vector(model.transform(batch).select("symbol", "window_start", "prediction", "probability"),
                            "probability", names)
     return _differing(streamed, scored, ["symbol", "window_start"])
+
+
+@query("stream_resume", f"WITH {EVENT_STATS} SELECT {STAT_COLUMNS} FROM stats WHERE {CLOSED}")
+def _(spark, sf):
+    """Two bounded runs on one checkpoint; the second half of the messages arrives between them."""
+    trades, inbox, out = events_trades(spark, sf), fresh_path(spark, "inbox"), fresh_path(spark, "resumed")
+    middle = trades.select(F.percentile_approx("event_id", 0.5)).scalar()
+    for half in (F.col("event_id") <= middle, F.col("event_id") > middle):
+        encode_trades(trades.filter(half)).write.mode("append").text(inbox)
+        live = windows.stream_window_stats(trade_stream(spark, FileSource(inbox)), SIZE, SLIDE, DELAY)
+        run.run_for(run.run_to_parquet(live, out, f"{out}-checkpoint", interval=None), 3600)
+    return spark.read.parquet(out)
+
+
+@query("stream_file_limit", "SELECT 4::BIGINT AS batches, 2 * count(*) AS placed FROM events")
+def _(spark, sf):
+    """One file per batch; every trade lies in two windows."""
+    path, out = fresh_path(spark, "four-files"), fresh_path(spark, "limited")
+    encode_trades(events_trades(spark, sf)).repartition(4).write.text(path)
+    live = trade_stream(spark, FileSource(path, max_files_per_trigger=1))
+    run.run_for(run.run_foreach_batch(live, windows.fragment_writer(out, SIZE, SLIDE), f"{out}-checkpoint", interval=None), 3600)
+    return spark.read.parquet(out).agg(F.countDistinct("batch_id").alias("batches"), F.sum("trade_count").alias("placed"))
