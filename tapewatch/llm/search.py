@@ -20,6 +20,9 @@ K1, B = 1.2, 0.75
 #: a shard ends at so many documents or words
 SHARD_DOCS, SHARD_WORDS = 16_384, 4_000_000
 BLOCK = 64
+#: Shards are searched in rounds: a 64th, then an 8th, then the rest. A round starts from the k-th scores found so far,
+#: so few documents of later shards are scored, and fewer still are merged.
+ROUNDS = ((0, 1), (1, 8), (8, 64))
 #: terms of the queries that are sent to all shards at once
 QUERY_TERMS = 1_000_000
 
@@ -80,6 +83,7 @@ class Shard:
     def __init__(self, row: dict, average: float):
         number = lambda name, kind: np.frombuffer(row[name], kind)
         self.ids = row["doc_ids"]
+        self.tie = np.array([np.iinfo(np.int64).max if d is None else d for d in self.ids], np.int64)
         self.terms = number("terms", "<u8")
         self.ends = np.cumsum(number("counts", "<u4"), dtype=np.int64)
         self.docs = number("docs", "<u2")
@@ -110,11 +114,11 @@ class Shard:
             docs, value = self.docs[take], self.impact[take] * np.repeat(run_weight, sizes)
         return np.bincount(docs, weights=value, minlength=len(self.ids))
 
-    def top(self, at: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The documents that can be among the best ``k``, with their scores; ties with the last are kept.
+    def top(self, at: np.ndarray, weights: np.ndarray, k: int, least: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """The best ``k`` documents of those that score ``least`` or more; the smaller id wins a tie.
 
         Blocks are visited in the order of what their documents can reach at most, the sum of the terms'
-        block maxima. When the next block cannot reach the k-th score found, no later one can.
+        block maxima. When the next block cannot reach the k-th score found, or ``least``, no later one can.
         """
         runs = np.concatenate([np.arange(a, b) for a, b in zip(self.term_runs[at].tolist(), self.term_runs[at + 1].tolist())])
         weight = np.repeat(weights, self.term_runs[at + 1] - self.term_runs[at])
@@ -122,7 +126,7 @@ class Shard:
         bound = np.bincount(block, weights=self.run_max[runs] * weight, minlength=self.blocks) * (1 + 1e-9)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        docs, scores, least, seen, step = [], [], 0.0, 0, 4
+        docs, scores, seen, step = [], [], 0, 4
         while seen < len(order) and bound[order[seen]] >= least:
             open_blocks = int(np.searchsorted(-bound[order], -least, side="right")) if least else len(order)
             if seen and (open_blocks - seen) * 3 > len(order):  # most are open: all at once is cheaper
@@ -139,23 +143,24 @@ class Shard:
             scores.append(found[here])
             seen, step = min(seen + step, open_blocks), step * 4
             every = np.concatenate(scores)
-            least = np.partition(every, len(every) - k)[len(every) - k] if len(every) >= k else 0.0
+            if len(every) >= k:
+                least = max(least, np.partition(every, len(every) - k)[len(every) - k])
         doc = np.concatenate(docs) if docs else np.zeros(0, np.int64)
         score = np.concatenate(scores) if scores else np.zeros(0)
-        if len(score) > k:
-            keep = score >= np.partition(score, len(score) - k)[len(score) - k]
-            doc, score = doc[keep], score[keep]
-        return doc, score
+        doc, score = doc[score >= least], score[score >= least]
+        best = np.lexsort((self.tie[doc], -score))[:k]
+        return doc[best], score[best]
 
 
 @dataclass(frozen=True)
 class QueryBlock:
-    """Queries as flat arrays: distinct terms, and per query which of them with what weight."""
+    """Queries as flat arrays: distinct terms, per query which of them with what weight, and the score to reach."""
     ids: list[int]
     offsets: np.ndarray
     terms: np.ndarray
     which: np.ndarray
     weights: np.ndarray
+    least: np.ndarray
 
 
 def _search(index: DataFrame, block: QueryBlock, average: float, k: int) -> DataFrame:
@@ -178,7 +183,7 @@ def _search(index: DataFrame, block: QueryBlock, average: float, k: int) -> Data
                     which = q.which[part]
                     here = known[which]
                     if here.any():
-                        docs, score = shard.top(at[which[here]], q.weights[part][here], k)
+                        docs, score = shard.top(at[which[here]], q.weights[part][here], k, q.least[j])
                         query_ids += [query] * len(docs)
                         doc_ids += [shard.ids[d] for d in docs.tolist()]
                         scores.append(score)
@@ -240,8 +245,19 @@ def search(docs: DataFrame, queries: DataFrame, scratch: Scratch, k: int = 10) -
         query, term, weight = query[order], term[order].view(np.uint64), weight[order]
         ids, first = np.unique(query, return_index=True)
         terms, which = np.unique(term, return_inverse=True)
-        block = QueryBlock(ids.tolist(), np.append(first, len(query)), terms, which, weight)
-        parts.append(scratch.put(_search(index, block, average, k)))
+        least = np.zeros(len(ids))
+        found = None
+        for low, high in ROUNDS:
+            turn = F.pmod(F.xxhash64("shard"), F.lit(64))
+            block = QueryBlock(ids.tolist(), np.append(first, len(query)), terms, which, weight, least)
+            more = scratch.put(_search(index.filter((turn >= low) & (turn < high)), block, average, k))
+            found = more if found is None else found.unionByName(more)
+            if high < 64:
+                place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score")))
+                reached = (found.withColumn("place", place).filter(F.col("place") == k)
+                           .select("query_id", "score").toArrow())  # a row per query of the block
+                least[np.searchsorted(ids, reached.column(0).to_numpy())] = reached.column(1).to_numpy()
+        parts.append(found)
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
