@@ -68,18 +68,14 @@ def source_targets(sized: DataFrame, scratch: Scratch, weights: Sequence[int] =
                      .withColumn("_null", F.col("source").isNull()), scratch,
                      ["_ratio", "_null", "source"],
                      {"_caps": F.col("source_size"), "_weights": F.col("weight").cast("long")})
-    total = per_source.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("_all"))
-    weight = capped.agg(F.coalesce(F.sum("weight"), F.lit(0)).alias("_weight"))
-    capped = capped.crossJoin(F.broadcast(total)).crossJoin(F.broadcast(weight))  # one row each
-    level = ((F.col("_all") * F.lit(float(share)) - F.col("_caps") * F.lit(float(most)))
-             / (F.col("_weight") - F.col("_weights")))
+    total = per_source.agg(F.coalesce(F.sum("source_size"), F.lit(0))).scalar()
+    weight = capped.agg(F.sum("weight")).scalar()
+    level = (total * F.lit(float(share)) - F.col("_caps") * F.lit(float(most))) / (weight - F.col("_weights"))
     capped = scratch.put(capped.withColumn("_level", level)
                          .withColumn("_stops", F.col("_ratio") <= F.col("_level")))
-    rest = capped.filter(~F.col("_stops")).agg(F.min_by("_level", "_ratio").alias("_final"))
-    return (capped.crossJoin(F.broadcast(rest))  # one row
-            .select("source", "source_size", "source_rows",
-                    F.when(F.col("_stops"), F.col("cap"))
-                    .otherwise(F.col("weight") * F.col("_final")).alias("target")))
+    final = capped.filter(~F.col("_stops")).agg(F.min_by("_level", "_ratio")).scalar()
+    return capped.select("source", "source_size", "source_rows",
+                         F.when(F.col("_stops"), F.col("cap")).otherwise(F.col("weight") * final).alias("target"))
 
 
 def mix_plan(docs: DataFrame, scratch: Scratch, weights: Sequence[int] = (3, 1, 2), share: float = 1.5,
@@ -100,7 +96,6 @@ def mix_plan(docs: DataFrame, scratch: Scratch, weights: Sequence[int] = (3, 1,
                            F.col("_budget") / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
                        .withColumn("rest", F.col("_budget") - F.col("epochs") * F.col("source_size"))
                        .withColumn("_ranges", F.ceil(F.col("source_rows") / F.lit(range_rows)).cast("long")))
-    same = lambda a, b: a["source"].eqNullSafe(b["source"])
     small = plan.select("source", "rest", "_ranges").alias("p")
     ranged = (sized.alias("d").join(small, F.col("d.source").eqNullSafe(F.col("p.source")))
               .select("d.*", "p.rest", F.floor(_fraction("_key") * F.col("_ranges")).cast("long").alias("_range")))
@@ -119,8 +114,7 @@ def mix_plan(docs: DataFrame, scratch: Scratch, weights: Sequence[int] = (3, 1,
     cut = (last.filter((F.col("_start") <= F.col("rest")) & (F.col("rest") < F.col("_start") + F.col("_at_cut")))
            .select("source", F.col("_key").alias("_cut_key"), F.col("doc_id").alias("_cut_id"),
                    (F.col("rest") - F.col("_start")).alias("_left"), "_at_cut"))
-    cut = cut.alias("c")
-    joined = plan.alias("p").join(cut, F.col("p.source").eqNullSafe(F.col("c.source")), "left")
+    joined = plan.alias("p").join(cut.alias("c"), F.col("p.source").eqNullSafe(F.col("c.source")), "left")
     plan = joined.select("p.source", "source_size", "target", "epochs", "rest", "_cut_key", "_cut_id", "_left", "_at_cut")
     return sized, scratch.put(plan)
 
