@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -74,14 +75,27 @@ def delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
-    """``mapInArrow`` where ``function`` takes one batch and returns one or none; large batches are cut."""
+#: called when a task ends, to drop what a module has kept for it
+CLEANERS: list = []
+
+
+def lean(function):
+    """For functions of ``mapInArrow``: a worker that has done its task gives freed memory back to the system.
+
+    Workers outlive tasks, and several stand beside each executor's heap.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = function(batch)
-            if out is not None and out.num_rows:
-                yield out
-    return df.mapInArrow(run, schema)
+        try:
+            yield from function(batches)
+        finally:
+            for clean in CLEANERS:
+                clean()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+    return run
 
 
 def bytes_and_offsets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

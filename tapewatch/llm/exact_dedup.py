@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapewatch.llm.common import SPACE_BYTES, KeyFilter, Scratch, bytes_and_offsets, table
+from tapewatch.llm.common import KeyFilter, SPACE_BYTES, Scratch, bytes_and_offsets, lean, table
 
 #: documents of one sender's list
 BLOCK_DOCS = 1 << 16
@@ -98,6 +98,7 @@ def _sender(bits: int, owner_bits: int):
             pa.array(rows["lengths"], pa.list_(pa.int64())), pa.array(rows["digests"], pa.list_(pa.binary()))],
             ["block", "owner", "codes", "copies", "doc_ids", "lengths", "digests"])
 
+    @lean
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 32
         digests, lengths, ids, count = [], [], [], 0
@@ -152,6 +153,7 @@ def exact_groups(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
                            .mapInArrow(_suspect_keys, "key long"))
     may_repeat = KeyFilter(suspects, "key")
 
+    @lean
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             digests, lengths, texts = _digests(batch.column(1))

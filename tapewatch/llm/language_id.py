@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapewatch.llm.common import Scratch, as_binary, bytes_and_offsets, table
+from tapewatch.llm.common import Scratch, as_binary, bytes_and_offsets, lean, table
 from tapewatch.llm.tokens import split_batch
 
 FEATURES = 4096
@@ -161,6 +161,7 @@ def fit(docs: DataFrame, scratch: Scratch, per_language: int = 1000) -> Language
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")))
     some = some.withColumn("_rank", rank).filter(F.col("_rank") <= per_language).select("lang", "_rank", "text")
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
@@ -217,6 +218,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
                                                             T.StructField("score", T.DoubleType())])
     at = kept.index("text")
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*shared.value.languages, UNKNOWN], object)
         for batch in batches:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapewatch.llm.common import KeyFilter, Scratch, as_binary, table
+from tapewatch.llm.common import KeyFilter, Scratch, as_binary, lean, table
 
 #: lines of the rolling window, and one boundary in so many lines
 WINDOW, SPREAD = 2, 4
@@ -73,6 +73,7 @@ def repeated_chunks(docs: DataFrame, scratch: Scratch) -> DataFrame:
              .filter(F.col("first") != F.col("last")).select("key"))
     may_repeat = KeyFilter(scratch.put(twice), "key")
 
+    @lean
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
         for batch in batches:
@@ -124,6 +125,7 @@ def drop_repeated_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField("lines", T.LongType()),
                                                             T.StructField("lines_removed", T.LongType())])
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, counts, removed = [], [], []

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapewatch.llm.common import SPACE_BYTES, KeyFilter, Scratch, as_binary, bytes_and_offsets, mix64, table
+from tapewatch.llm.common import KeyFilter, SPACE_BYTES, Scratch, as_binary, bytes_and_offsets, lean, mix64, table
 from tapewatch.llm.components import components
 from tapewatch.llm.tokens import split_batch
 
@@ -143,6 +143,7 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _sketch_docs(docs: DataFrame, words: int) -> DataFrame:
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in split_batch(batch.column(2), 2 << 20):
@@ -156,6 +157,7 @@ def _sketch_docs(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
@@ -187,6 +189,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, words: int, scratch: Scratch) -
     """
     may = KeyFilter(wanted, "k1")
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in split_batch(batch.column(0), 2 << 20):
@@ -212,6 +215,7 @@ def _star_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     both = (near.join(sets.select("cls", F.col("shingles").alias("a")), "cls")
             .join(sets.select(F.col("cls").alias("leader"), F.col("shingles").alias("b")), "leader"))
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hit = [_linked(np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64), percent)

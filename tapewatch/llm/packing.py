@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapewatch.llm.common import Scratch, mix64, table
+from tapewatch.llm.common import Scratch, lean, mix64, table
 from tapewatch.llm.tokens import default_tokenizer, id_bytes, split_batch, vocabulary, word_encoder
 
 SEQUENCE = 4096
@@ -56,6 +56,7 @@ def curve_keys(ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _encode(docs: DataFrame, tokenizer: str, end_id: int, width: str) -> DataFrame:
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(tokenizer, end_id)
         for batch in batches:
@@ -75,6 +76,7 @@ def _positions(tokens: DataFrame, scratch: Scratch) -> DataFrame:
     Narrow rows are range-partitioned by curve position and sorted, each partition sums its own, and a
     running sum over one row per partition gives where each begins.
     """
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
@@ -121,6 +123,7 @@ def pack(docs: DataFrame, scratch: Scratch, size: int = SEQUENCE, tokenizer: str
     total = tokens.agg(F.coalesce(F.sum("doc_tokens"), F.lit(0)).alias("n")).first()["n"]
     full, tail = total - total % size, tail_cuts(total, size)
 
+    @lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: dict[str, list] = {c: [] for c in ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")}

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewatch.llm.common import KeyFilter, Scratch, as_binary, bytes_and_offsets, table
+from tapewatch.llm.common import KeyFilter, Scratch, as_binary, bytes_and_offsets, lean, table
 from tapewatch.llm.near_dedup import span_hashes
 from tapewatch.llm.tokens import split_batch
 from tapewatch.session import parallelism
@@ -60,6 +60,7 @@ def _context(place: int, lo: int, hi: int, length: int, gram: int) -> tuple[int,
 
 
 def _anchor_lists(length: int, gram: int):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in split_batch(batch.column(2), 2 << 20):
@@ -160,6 +161,7 @@ def _tree_task(length: int, gram: int):
         return pa.record_batch([pa.array(np.array(h, np.int64)[keep]), pa.array(np.array(context, np.int64)[keep]),
                                 pa.array(before[keep]), pa.array(after[keep])], ["h", "context", "before", "after"])
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list] = [[], [], [], []]
         for batch in batches:
@@ -178,6 +180,7 @@ def _tree_task(length: int, gram: int):
 
 
 def _window_rows(length: int, gram: int):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for h, context, left, right in zip(*[batch.column(i).to_pylist() for i in range(4)]):
@@ -216,6 +219,7 @@ def repeated_extents(docs: DataFrame, found: DataFrame, scratch: Scratch, length
     wanted = scratch.put(kinds.filter(mixed).select("h", "context", "kinds"))
     may = KeyFilter(wanted, "context")
 
+    @lean
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in split_batch(batch.column(0), 2 << 20):
@@ -257,6 +261,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram
     reach = repeated_extents(docs, found, scratch, length, gram, limit)
     may = KeyFilter(reach, "context")
 
+    @lean
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = np.diff(batch.column(2).offsets.to_numpy())
@@ -304,6 +309,7 @@ def drop_repeats(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram:
             .join(named, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
             .select("doc_id", "text", "spans"))
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, removed, kept = [], [], []

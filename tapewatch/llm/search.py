@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapewatch.llm.common import Scratch, as_binary, table
+from tapewatch.llm.common import Scratch, as_binary, lean, table
 from tapewatch.llm.near_dedup import word_hashes
 from tapewatch.llm.packing import curve_keys
 from tapewatch.llm.tokens import split_batch
@@ -58,6 +58,7 @@ def _index_row(shard: int, hashes: list[np.ndarray], lengths: np.ndarray, ids: l
 
 def build_index(docs: DataFrame) -> DataFrame:
     """One row per shard; a shard is a stretch of a scan partition of bounded size."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() << 32
         hashes, lengths, ids, words = [], [], [], 0
@@ -166,6 +167,7 @@ class QueryBlock:
 def _search(index: DataFrame, block: QueryBlock, average: float, k: int) -> DataFrame:
     shared = index.sparkSession.sparkContext.broadcast(block)  # QUERY_TERMS terms, about
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q = shared.value
         for batch in batches:
@@ -197,6 +199,7 @@ def _search(index: DataFrame, block: QueryBlock, average: float, k: int) -> Data
 
 def _term_rows(rows: DataFrame) -> DataFrame:
     """``query_id, term, n`` of the queries' texts."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in split_batch(batch.column(1), 2 << 20):
@@ -210,6 +213,7 @@ def _term_rows(rows: DataFrame) -> DataFrame:
 
 
 def _document_frequencies(index: DataFrame) -> DataFrame:
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for terms, counts in zip(batch.column(0), batch.column(1)):

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapewatch.llm.common import Scratch, table
+from tapewatch.llm.common import Scratch, lean, table
 from tapewatch.llm.files import Reader, create
 from tapewatch.llm.tokens import default_tokenizer, split_batch, vocabulary, word_encoder
 from tapewatch.session import parallelism
@@ -25,6 +25,7 @@ def write_flat(docs: DataFrame, root: str, tokenizer: str, end_id: int, width: s
 
     Returns ``file, bytes, first, doc_ids``: which documents went into a file, in order, from ordinal ``first``.
     """
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(tokenizer, end_id, ordinary=True)  # a text cannot hold the end id
         path, stream, first, size = None, None, 0, 0
@@ -50,6 +51,7 @@ def scan_blocks(files: DataFrame, end_id: int, width: str, block_bytes: int = BL
     item = np.dtype(width).itemsize
     block_bytes = block_bytes // item * item
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
         for batch in batches:

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapewatch.llm.common import Scratch, table
+from tapewatch.llm.common import Scratch, lean, table
 from tapewatch.llm.files import Reader, create
 from tapewatch.llm.tokens import default_tokenizer, id_bytes, split_batch, vocabulary, word_encoder
 from tapewatch.session import parallelism
@@ -146,6 +146,7 @@ def unpack_block(code: Code, block: bytes) -> tuple[list[int | None], np.ndarray
 
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int, width: str) -> DataFrame:
     """``doc_id, n_tokens, ids``: every whole text's ids and the end id, as little-endian numbers of ``width``."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(tokenizer, end_id)
         for batch in batches:
@@ -159,6 +160,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int, width: str) -> DataFr
 
 def id_counts(tokens: DataFrame, width: str) -> np.ndarray:
     """Global counts per id; the driver gets one row per id of the vocabulary at most."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
@@ -182,6 +184,7 @@ def write_files(tokens: DataFrame, width: str, lengths: np.ndarray, root: str, b
     """Files in ascending order of ``doc_id`` (null first); one manifest row per block."""
     shared = tokens.sparkSession.sparkContext.broadcast(lengths)  # a byte per id of the vocabulary
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, stream, path, offset, number, start = Code(shared.value), None, None, 0, 0, 0
         doc_ids, parts, held = [], [], 0
@@ -230,6 +233,7 @@ def read_files(manifest: DataFrame, lengths: np.ndarray) -> DataFrame:
     spark = manifest.sparkSession
     shared = spark.sparkContext.broadcast(lengths)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, reader = Code(shared.value), Reader()
         for batch in batches:

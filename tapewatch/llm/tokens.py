@@ -11,8 +11,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
-#: word pieces a worker remembers; beyond it starts anew, which costs time and changes nothing
-CACHE_PIECES = 600_000
+from tapewatch.llm.common import CLEANERS, lean
+
+#: word pieces a worker remembers within a task; beyond it starts anew, which costs time and changes nothing
+CACHE_PIECES = 300_000
 
 # Words of these characters stay as they are under NFC and lower-case one character at a time.
 _PLAIN = "^[!-~À-ÖØ-öø-ÿ]+$"
@@ -126,7 +128,8 @@ _encoders: dict[tuple[str, int, bool], WordEncoder] = {}
 
 
 def word_encoder(path: str, end_id: int, ordinary: bool = False) -> WordEncoder:
-    """The worker's encoder; it outlives a task. ``ordinary`` takes the strings of special tokens as text."""
+    """The worker's encoder, which outlives a task without what it has learned. ``ordinary`` takes the strings of
+    special tokens as text."""
     key = (path, end_id, ordinary)
     if key not in _encoders:
         _encoders[key] = WordEncoder(path, end_id)
@@ -134,7 +137,15 @@ def word_encoder(path: str, end_id: int, ordinary: bool = False) -> WordEncoder:
     return _encoders[key]
 
 
-def split_batch(column: pa.Array, rows_bytes: int = 8 << 20) -> Iterator[tuple[int, int]]:
+def _forget() -> None:
+    for encoder in _encoders.values():
+        encoder.reset()
+
+
+CLEANERS.append(_forget)
+
+
+def split_batch(column: pa.Array, rows_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of a text column of about ``rows_bytes`` each."""
     sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     total, start = 0, 0
@@ -166,6 +177,7 @@ def unsigned_width(vocabulary: int) -> str:
 
 def vocabulary(spark: SparkSession, tokenizer: str, token: str = "") -> tuple[str, int]:
     """Width of the ids and the id of ``token`` (-1 if there is none), found out in a task: the driver loads no tokenizer."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
