@@ -43,32 +43,38 @@ def long_chunks(text: str | None) -> tuple[list[str], list[tuple[int, int, int,
     return lines, found
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """Ids, texts, and a hash of each text that tells rows of one id, or without one, apart."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+
+
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, numbers, digests = [], [], []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        ids, keys, numbers, digests = [], [], [], []
+        for doc_id, text_key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
             for number, _, _, digest in long_chunks(text.as_py())[1]:
                 ids.append(doc_id)
+                keys.append(text_key)
                 numbers.append(number)
                 digests.append(digest)
-        yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(numbers, pa.int64()), as_binary(digests),
+        yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(numbers, pa.int64()), as_binary(digests),
                                pa.array([int.from_bytes(d[:8], "big", signed=True) for d in digests], pa.int64())],
-                              ["doc_id", "number", "digest", "key"])
+                              ["doc_id", "text_key", "number", "digest", "key"])
 
 
 def _place():
-    """Order of occurrences: by id (null last), then by place in the document."""
-    return F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("number"))
+    """Order of occurrences: by id (null last), among texts of one id by their hash, then by place in the document."""
+    return F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("text_key"), F.col("number"))
 
 
 def repeated_chunks(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """``doc_id, chunks``: per document the (number, digest) of the chunks that also occur in an earlier place.
+    """``doc_id, text_key, chunks``: per document the (number, digest) of the chunks that also occur in an earlier place.
 
     Digests name the suspects; their texts alone are shuffled, and equal bytes make a group. Copies meet
     in the map-side aggregate, so a passage of any number of copies is a row per task.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = scratch.put(rows.mapInArrow(_occurrences, "doc_id long, number long, digest binary, key long"))
+    rows = _rows(docs)
+    found = scratch.put(rows.mapInArrow(_occurrences, "doc_id long, text_key long, number long, digest binary, key long"))
     twice = (found.groupBy("digest").agg(F.min(_place()).alias("first"), F.max(_place()).alias("last"), F.first("key").alias("key"))
              .filter(F.col("first") != F.col("last")).select("key"))
     may_repeat = KeyFilter(scratch.put(twice), "key")
@@ -77,50 +83,53 @@ def repeated_chunks(docs: DataFrame, scratch: Scratch) -> DataFrame:
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
         for batch in batches:
-            ids, numbers, digests, texts = [], [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            ids, keys, numbers, digests, texts = [], [], [], [], []
+            for doc_id, text_key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 lines, chunks = long_chunks(text.as_py())
                 for number, lo, hi, digest in chunks:
                     ids.append(doc_id)
+                    keys.append(text_key)
                     numbers.append(number)
                     digests.append(digest)
                     texts.append((lines, lo, hi))
             if not ids:
                 continue
             hit = np.flatnonzero(may_repeat.test(np.array([int.from_bytes(d[:8], "big") for d in digests], np.uint64)))
-            yield pa.record_batch([pa.array([ids[i] for i in hit], pa.int64()), pa.array([numbers[i] for i in hit], pa.int64()),
+            yield pa.record_batch([pa.array([ids[i] for i in hit], pa.int64()), pa.array([keys[i] for i in hit], pa.int64()),
+                                   pa.array([numbers[i] for i in hit], pa.int64()),
                                    as_binary([digests[i] for i in hit]),
                                    as_binary(["\n".join(texts[i][0][texts[i][1]:texts[i][2]]).encode() for i in hit])],
-                                  ["doc_id", "number", "digest", "bytes"])
+                                  ["doc_id", "text_key", "number", "digest", "bytes"])
 
-    texts = rows.mapInArrow(fetch, "doc_id long, number long, digest binary, bytes binary")
+    texts = rows.mapInArrow(fetch, "doc_id long, text_key long, number long, digest binary, bytes binary")
     groups = (texts.groupBy("bytes", "digest").agg(F.min(_place()).alias("first"), F.max(_place()).alias("last"))
               .filter(F.col("first") != F.col("last")).select("digest", F.col("first").alias("home")))
     # nothing above the join needs the rows of a digest together, so a passage of many copies is split
     later = found.hint("merge").join(scratch.put(groups), "digest").filter(_place() != F.col("home"))
-    return scratch.put(later.groupBy("doc_id").agg(F.collect_set(F.struct("number", "digest")).alias("chunks")))
+    return scratch.put(later.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("number", "digest")).alias("chunks")))
 
 
 def drop_repeated_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """``docs`` without the lines of chunks that occur in an earlier place, and ``lines``, ``lines_removed``.
 
     Lines end at line feeds. A chunk counts when it has two or more lines; its first place, by id (null
-    last) and then by position, stays. Rows of one id are one document: equal ones are treated
-    alike. Null text stays null with no lines; a text whose lines all go is empty. All rows and
+    last) and then by position, stays. Different texts under one id, or without an id, are documents of
+    their own, in the order of a hash; rows equal in id and text are one and are treated alike. Null text stays null with no lines; a text whose lines all go is empty. All rows and
     columns stay; existing columns ``lines`` and ``lines_removed`` are replaced.
     """
     repeated = repeated_chunks(docs, scratch)
     scratch.keep_only(repeated)
     kept = [c for c in docs.columns if c not in ("lines", "lines_removed", "_chunks")]
     rows = docs.select(*[F.col(f"`{c}`") for c in kept])
-    may = KeyFilter(repeated.select(F.coalesce("doc_id", F.lit(0)).alias("key")), "key")
-    affected = may.may_hold(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)))
+    name = [F.col("doc_id").cast("long"), F.xxhash64("text")]
+    may = KeyFilter(repeated.select(F.xxhash64("doc_id", "text_key").alias("key")), "key")
+    affected = may.may_hold(F.xxhash64(*name))
     empty = F.lit(None).cast("array<struct<number:bigint,digest:binary>>")
     # rows that lose nothing are not shuffled
     whole = rows.filter(~affected).select("*", empty.alias("_chunks"))
-    named = repeated.select(F.col("doc_id").alias("_id"), F.col("chunks").alias("_chunks"))
+    named = repeated.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("chunks").alias("_chunks"))
     part = (rows.filter(affected).hint("merge")
-            .join(named, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left").drop("_id"))
+            .join(named, name[0].eqNullSafe(F.col("_id")) & (name[1] == F.col("_key")), "left").drop("_id", "_key"))
     at, last = kept.index("text"), len(kept)
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField("lines", T.LongType()),
                                                             T.StructField("lines_removed", T.LongType())])

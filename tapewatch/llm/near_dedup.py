@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapewatch.llm.common import KeyFilter, SPACE_BYTES, Scratch, as_binary, bytes_and_offsets, lean, mix64, table
+from tapewatch.llm.common import KeyFilter, SPACE_BYTES, WORD, Scratch, as_binary, bytes_and_offsets, lean, mix64, table
 from tapewatch.llm.components import components
 from tapewatch.llm.tokens import split_batch
 
@@ -294,24 +294,13 @@ def _rest_links(members: DataFrame, labels: DataFrame, sets: DataFrame, percent:
             .applyInPandas(_cell_links(percent), "u long, v long"))
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, cell: int = CELL) -> DataFrame:
-    """One row per document: ``doc_id, text_key, n_shingles, component_id, kept``.
-
-    Documents whose sets of ``words``-word shingles have a similarity of ``percent`` / 100 or more are linked;
-    ``component_id`` is the least id reachable over links. Null, empty and blank texts have no shingles and
-    are linked with nothing. Of rows with the component's id only one is ``kept``; rows with null ids
-    count last. Columns other than ``doc_id`` and ``text`` are ignored; an empty table gives no rows.
-
-    Equal sets are one class. Classes that agree in one of 32 bands of 4 sketch coordinates meet in a
-    bucket: a pair at the limit of 0.8 misses all bands once in 10^7. Stars around one
-    leader per bucket find most links with as many pairs as members; what they leave open is compared
-    on full sets within the buckets that still hold several components.
-    """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "near")
+def _grouped(docs: DataFrame, words: int, percent: int, cell: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """``(sketched, named)``: a row per document, and per class (``k1, k2, n_shingles``) its least id (null if none is known),
+    its first row by id (null last) and text key, and its component ``comp``."""
     sketched = scratch.put(_sketch_docs(docs, words))
+    first = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("text_key"))
     classes = scratch.put(sketched.filter(F.col("n_shingles") > 0).groupBy("k1", "k2", "n_shingles")
-                          .agg(F.first("sketch").alias("sketch"), F.min("doc_id").alias("least_id"))
+                          .agg(F.first("sketch").alias("sketch"), F.min("doc_id").alias("least_id"), F.min(first).alias("first"))
                           .withColumn("cls", F.monotonically_increasing_id()))
     buckets = scratch.put(_buckets(classes))
     shared = (buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("cls")).alias("x"),
@@ -325,8 +314,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, cell: in
     labels = components(stars, scratch)
     rest = scratch.put(_rest_links(members, labels, sets, percent, scratch, cell))
     labels = components(labels.unionByName(rest), scratch)
-    named = classes.join(labels.select(F.col("u").alias("cls"), F.col("v").alias("least")), "cls", "left").select(
-        "k1", "k2", "n_shingles", "least_id", F.coalesce("least", "cls").alias("comp"))
+    return sketched, classes.join(labels.select(F.col("u").alias("cls"), F.col("v").alias("least")), "cls", "left").select(
+        "k1", "k2", "n_shingles", "least_id", "first", F.coalesce("least", "cls").alias("comp"))
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, cell: int = CELL) -> DataFrame:
+    """One row per document: ``doc_id, text_key, n_shingles, component_id, kept``.
+
+    Documents whose sets of ``words``-word shingles have a similarity of ``percent`` / 100 or more are linked;
+    ``component_id`` is the least id reachable over links. Null, empty and blank texts have no shingles and
+    are linked with nothing. Of rows with the component's id only one is ``kept``; rows with null ids
+    count last. Columns other than ``doc_id`` and ``text`` are ignored; an empty table gives no rows.
+    ``kept`` goes by id; where ids are null or repeated, ``drop_near_duplicates`` tells components apart.
+
+    Equal sets are one class. Classes that agree in one of 32 bands of 4 sketch coordinates meet in a
+    bucket: a pair at the limit of 0.8 misses all bands once in 10^7. Stars around one
+    leader per bucket find most links with as many pairs as members; what they leave open is compared
+    on full sets within the buckets that still hold several components.
+    """
+    scratch = Scratch(docs.sparkSession, "near")
+    sketched, named = _grouped(docs, words, percent, cell, scratch)
     ids = named.groupBy("comp").agg(F.min("least_id").alias("component_id"))
     by_set = scratch.put(named.join(ids, "comp").select("k1", "k2", "n_shingles", "component_id"))
     out = sketched.select("doc_id", "text_key", "n_shingles", "k1", "k2").join(by_set, ["k1", "k2", "n_shingles"], "left")
@@ -341,14 +348,23 @@ def _kept(out: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one row of each group of near duplicates, that of the least id; all columns as they are."""
-    stay = (near_duplicates(docs, words, percent).filter("kept")
-            .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")))
-    rows = docs.withColumn("_text_key", F.xxhash64("text"))
+    """``docs`` with one row of each group of near duplicates, that of the least id; all columns as they are.
+
+    A group is told by its links, not by ids: a group without a known id keeps one row too, and unlike texts
+    under one id or under none are groups of their own. Rows without words are linked with nothing and all stay.
+    """
+    scratch = Scratch(docs.sparkSession, "near")
+    _, named = _grouped(docs, words, percent, CELL, scratch)
+    stay = scratch.put(named.groupBy("comp").agg(F.min("first").alias("first"))
+                       .select(F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key")))
+    scratch.keep_only(stay)
+    has_words = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    rows = docs.filter(has_words).withColumn("_text_key", F.xxhash64("text"))
     found = rows.hint("merge").join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
                                     & (F.col("_text_key") == F.col("_key")), "left_semi")
-    # rows of one id and one text are the same document
-    return found.dropDuplicates(["doc_id", "_text_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # rows of one id and one text are in one group
+    found = found.dropDuplicates(["doc_id", "_text_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return found.unionByName(docs.filter(~has_words))
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -317,6 +317,14 @@ def test_near_dedup_equals_brute_force(spark, docs, none, k):
     assert stay.columns == docs.columns and {r["doc_id"] for r in stay.collect()} >= {1, 2, 3, 4, 6, 8, 10, 11, 12, 13, 14}
 
 
+def test_unlinked_documents_stay_whatever_their_id(spark):
+    rows = [(None, f"text {i} is like no other {i * i} one {i + 7}") for i in range(20)] + [(None, None), (None, ""), (7, None), (7, " ")]
+    rows += [(12, "twice"), (12, "twice"), (12, "twice but not the same"), (None, "twice"), (None, "copied"), (None, "copied")]
+    stay = near_dedup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    want = Counter(rows) - Counter([(12, "twice"), (None, "twice"), (None, "copied")])
+    assert Counter((r["doc_id"], r["text"]) for r in stay.collect()) == want
+
+
 def test_sketches_estimate_similarity():
     rnd = np.random.default_rng(4)
     pool = rnd.integers(1, 1 << 62, 3000).astype(np.uint64)
@@ -355,6 +363,15 @@ def test_line_dedup_equals_brute_force(docs, none, scratch):
     assert line_dedup.drop_repeated_lines(none, scratch).count() == 0
 
 
+def test_passages_of_rows_without_an_id_of_their_own(spark, scratch):
+    for doc_id in (None, 3):
+        rows = [(doc_id, PASSAGE), (doc_id, PASSAGE + "\nanother end")]  # the same chunks at the same numbers
+        out = line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"), scratch).collect()
+        chunks = [hi - lo for _, lo, hi, _ in line_dedup.long_chunks(PASSAGE)[1]]
+        assert sum(r["lines_removed"] for r in out) >= sum(chunks[:-1]) > 0
+        assert sorted(r["lines_removed"] > 0 for r in out) == [False, True]
+
+
 def test_boundaries_do_not_shift():
     lines = PASSAGE.split("\n")
     inside = line_dedup.chunk_bounds(lines)
