@@ -73,7 +73,8 @@ def source_targets(sized: DataFrame, scratch: Scratch, weights: Sequence[int] =
     level = (total * F.lit(float(share)) - F.col("_caps") * F.lit(float(most))) / (weight - F.col("_weights"))
     capped = scratch.put(capped.withColumn("_level", level)
                          .withColumn("_stops", F.col("_ratio") <= F.col("_level")))
-    final = capped.filter(~F.col("_stops")).agg(F.min_by("_level", "_ratio")).scalar()
+    # levels fall along the sources that are not stopped, also where their ratios tie: the first is the largest
+    final = capped.filter(~F.col("_stops")).agg(F.max("_level")).scalar()
     return capped.select("source", "source_size", "source_rows",
                          F.when(F.col("_stops"), F.col("cap")).otherwise(F.col("weight") * final).alias("target"))
 

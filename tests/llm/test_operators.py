@@ -123,6 +123,14 @@ def test_a_target_that_is_stopped_goes_to_the_others(spark, scratch):
     assert targets["c"] == pytest.approx(min(2000, rest * 2 / 3)) and targets["b"] == pytest.approx(rest - targets["c"])
 
 
+def test_sources_of_equal_size_share_one_level(spark, scratch):
+    rows = [(i, "w " * 100, f"s{i}") for i in range(7)]  # weights 3, 1, 2, 3, 1, 2, 3; the two of weight 2 tie
+    for parts in (1, 5):
+        table = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
+        targets = {r["source"]: r["target"] for r in mixing.mix_plan(table, scratch)[1].collect()}
+        assert targets == {"s0": 200, "s1": 75, "s2": 150, "s3": 200, "s4": 75, "s5": 150, "s6": 200}
+
+
 # ---- 2 search -------------------------------------------------------------------------------
 
 def brute_bm25(rows, queries, k):
