@@ -233,9 +233,15 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def drop_unidentified(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """``docs`` without the rows whose language is ``und``; fitted on the labelled ones among them."""
+    """``docs`` without the rows whose language is ``und``; fitted on the labelled ones among them.
+
+    When nothing can be learned, only rows whose text is null or has no letter go.
+    """
     names = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    return identify(docs.select(*[F.col(f"`{c}`") for c in names]), fit(docs, scratch)).filter(
+    rows, model = docs.select(*[F.col(f"`{c}`") for c in names]), fit(docs, scratch)
+    if not model.languages:
+        return rows.filter(has_letter())
+    return identify(rows, model).filter(
         F.col("lang_pred") != UNKNOWN).select(*[F.col(f"`{c}`") for c in names])
 
 

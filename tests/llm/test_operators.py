@@ -10,6 +10,7 @@ from math import log
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tapewatch.llm import (exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, repeats, search, token_counts,
                            token_files)
@@ -495,6 +496,14 @@ def test_language_id_edges(spark, docs, none, scratch):
     assert language_id.drop_unidentified(docs, scratch).columns == docs.columns
 
 
+def test_without_labels_texts_with_letters_stay(spark, docs, scratch):
+    for bare in (docs.withColumn("lang", F.lit(None).cast("string")), docs.withColumn("doc_id", F.lit(None).cast("long"))):
+        left = language_id.drop_unidentified(bare, scratch)
+        assert left.columns == bare.columns
+        want = Counter(t for _, t, *_ in TEXTS if t and any(c.isalpha() for c in t))
+        assert Counter(r["text"] for r in left.collect()) == want
+
+
 def test_the_prediction_looks_at_the_text_alone(spark, docs, scratch):
     model = language_id.fit(docs, scratch)
     renamed = docs.selectExpr("doc_id + 1 AS doc_id", "text", "'xx' AS lang", "'y' AS source")
