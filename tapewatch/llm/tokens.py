@@ -11,10 +11,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
-from tapewatch.llm.common import CLEANERS, lean
+from tapewatch.llm.common import lean
 
-#: word pieces a worker remembers within a task; beyond it starts anew, which costs time and changes nothing
-CACHE_PIECES = 300_000
+#: word pieces a worker remembers, over tasks; what has not been met for long is learned anew, which changes nothing
+CACHE_PIECES = 100_000
 
 # Words of these characters stay as they are under NFC and lower-case one character at a time.
 _PLAIN = "^[!-~À-ÖØ-öø-ÿ]+$"
@@ -40,13 +40,30 @@ class WordEncoder:
         self.size = max(vocabulary.values()) + 1
         self.ends_word = np.zeros(self.size, bool)
         self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.reset()
+        self._fresh()
+        self.older = self.known, self.ids[0], self.lengths[0]
 
-    def reset(self) -> None:
+    def _fresh(self) -> None:
         self.known: dict[str, int] = {}
         self.ids = [np.zeros(0, np.uint32)]
         self.lengths = [np.zeros(0, np.int64)]
 
+    def _age(self) -> None:
+        """Two generations: a full one becomes the older, and pieces met again move to the new one."""
+        if len(self.known) >= CACHE_PIECES // 2:
+            self.older = self.known, self.ids[0], self.lengths[0]
+            self._fresh()
+
+    def _recall(self, pieces: list[str]) -> list[str]:
+        """Take what the older generation knows; the rest is returned."""
+        known, ids, lengths = self.older
+        found = [p for p in pieces if p in known]
+        if found:
+            at = pa.array([known[p] for p in found], pa.int64())
+            taken = _ragged(ids, lengths).take(at)
+            self._remember(found, taken.flatten().to_numpy(), np.diff(taken.offsets.to_numpy()))
+        return [p for p in pieces if p not in known]
+
     def _remember(self, keys: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         first = len(self.known)
         self.known.update(zip(keys, range(first, first + len(keys))))
@@ -73,13 +90,12 @@ class WordEncoder:
         """Ids of all distinct words, one word after the other, and the number of ids of each."""
         plain = pc.match_substring_regex(words, _PLAIN)
         plain = pc.and_(plain, pc.invert(pc.match_substring(words, "<|"))).to_numpy(zero_copy_only=False)
-        found = _PIECES.findall("\n".join(pc.utf8_lower(words.filter(pa.array(plain))).to_pylist()))
+        found = _PIECES.findall("\n".join(_strings(pc.utf8_lower(words.filter(pa.array(plain))))))
         pieces = pa.array(found, pa.string()).dictionary_encode()
-        distinct = pieces.dictionary.to_pylist()
-        if len(self.known) + len(distinct) > CACHE_PIECES:
-            self.reset()
+        distinct = _strings(pieces.dictionary)
+        self._age()
         known = self.known
-        self._learn([p for p in distinct if p not in known and p != "\n"])
+        self._learn(self._recall([p for p in distinct if p not in known and p != "\n"]))
         self.ids, self.lengths = [np.concatenate(self.ids)], [np.concatenate(self.lengths)]
         breaks = [i for i, p in enumerate(distinct) if p == "\n"]
         at = np.array([known.get(p, 0) for p in distinct], np.int64)
@@ -119,6 +135,11 @@ class WordEncoder:
         return coded.flatten().to_numpy(), coded.offsets.to_numpy().astype(np.int64)[offsets + np.arange(n + 1)]
 
 
+def _strings(column: pa.Array) -> list[str]:
+    """``to_pylist`` of a column without nulls, without a scalar per value."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def _ragged(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
     offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
@@ -128,7 +149,7 @@ _encoders: dict[tuple[str, int, bool], WordEncoder] = {}
 
 
 def word_encoder(path: str, end_id: int, ordinary: bool = False) -> WordEncoder:
-    """The worker's encoder, which outlives a task without what it has learned. ``ordinary`` takes the strings of
+    """The worker's encoder, which outlives a task with the pieces it remembers. ``ordinary`` takes the strings of
     special tokens as text."""
     key = (path, end_id, ordinary)
     if key not in _encoders:
@@ -137,14 +158,6 @@ def word_encoder(path: str, end_id: int, ordinary: bool = False) -> WordEncoder:
     return _encoders[key]
 
 
-def _forget() -> None:
-    for encoder in _encoders.values():
-        encoder.reset()
-
-
-CLEANERS.append(_forget)
-
-
 def split_batch(column: pa.Array, rows_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of a text column of about ``rows_bytes`` each."""
     sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
