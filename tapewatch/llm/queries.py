@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tapewatch.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, repeats, search, token_counts, token_files
+from tapewatch.llm import (collocations, exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, repeats, search,
+                           token_counts, token_files, two_fit, whitening)
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -15,10 +16,14 @@ QUERIES = {
     "op8_repeated_strings": repeats.op8_repeated_strings,
     "op9_pack_along_curve": packing.op9_pack_along_curve,
     "op10_language_id": language_id.op10_language_id,
+    "op11_whiten": whitening.op11_whiten,
+    "op12_best_two_fit": two_fit.op12_best_two_fit,
+    "op13_collocations": collocations.op13_collocations,
 }
 
 ORACLES = {
     "op1_mix_sources": mixing.OP1_SQL,
     "op3_exact_dedup": exact_dedup.OP3_SQL,
     "op7_line_dedup": line_dedup.OP7_SQL,
+    "op13_collocations": collocations.OP13_SQL,
 }
