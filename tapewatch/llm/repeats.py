@@ -20,7 +20,7 @@ GRAM = 64
 #: contexts of one anchor that one task takes; more are compared window by window
 GROUP_LIMIT = 100_000
 _PLACE_BITS = 24
-_STEP = 1 << 22
+_STEP = 1 << 19
 
 
 def anchors(raw: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
@@ -63,7 +63,7 @@ def _anchor_lists(length: int, gram: int):
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in split_batch(batch.column(2), 2 << 20):
+            for lo, hi in split_batch(batch.column(2), 1 << 19):
                 raw, at = bytes_and_offsets(batch.column(2).slice(lo, hi - lo))
                 place, h = anchors(raw, at, length, gram)
                 data, bounds = raw.tobytes(), at.tolist()
@@ -222,7 +222,7 @@ def repeated_extents(docs: DataFrame, found: DataFrame, scratch: Scratch, length
     @lean
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in split_batch(batch.column(0), 2 << 20):
+            for lo, hi in split_batch(batch.column(0), 1 << 19):
                 raw, at = bytes_and_offsets(batch.column(0).slice(lo, hi - lo))
                 place, h = anchors(raw, at, length, gram)
                 data, bounds = raw.tobytes(), at.tolist()
