@@ -1,7 +1,7 @@
 """Run metrics from Spark event logs: what a run cost, and how runs compare.
 
-Logs are read as JSON lines under an explicit schema; they must be uncompressed. A run is named by
-the log it came from.
+Logs are read as JSON lines under an explicit schema, plain or compressed, of one file or of numbered
+parts. A run is named by the log it came from.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tapewatch.functions.frames import union_loose
 from tapewatch.functions.scalars import once
+from tapewatch.sources.eventlogs import event_log_lines
 
 EVENT_LOG_SCHEMA = """
     `Event` string,
@@ -48,10 +49,11 @@ def parse_events(lines: DataFrame, column: str = "value", run: str = "run") -> D
 
 
 def read_event_log(spark: SparkSession, path: str | list[str], run: str | None = None) -> DataFrame:
-    """Typed events of one log or several. ``run`` names the run, e.g. after its machine; by
-    default each log is a run of its own, named by its file."""
-    name = F.col("_metadata.file_name") if run is None else F.lit(run)
-    return spark.read.schema(EVENT_LOG_SCHEMA).json(path).withColumn("run", name)
+    """Typed events of one log or several, as Spark writes them by default or otherwise. ``run`` names the run, e.g.
+    after its machine; by default each log is a run of its own, named by its application. A line that
+    was cut off has no event and counts nowhere."""
+    lines = event_log_lines(spark, path)
+    return parse_events(lines if run is None else lines.withColumn("run", F.lit(run))).filter(F.col("Event").isNotNull())
 
 
 def _of(events: DataFrame, kind: str) -> DataFrame:

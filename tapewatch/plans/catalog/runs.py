@@ -3,13 +3,19 @@ row; the return flag names the run) and orders (one job per row; the status name
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapewatch.operators import runmetrics as M
 from tapewatch.plans.catalog.base import query, table
+from tapewatch.session import parallelism
+from tapewatch.sources.eventlogs import decode_parts, log_parts
 
 
-def _task_events(spark, sf):
+def _task_lines(spark, sf):
     q, day = F.col("l_quantity").cast("long"), F.unix_millis(F.col("l_shipdate").cast("timestamp"))
     line = F.to_json(F.struct(
         F.lit("SparkListenerTaskEnd").alias("Event"),
@@ -27,11 +33,16 @@ def _task_events(spark, sf):
                  F.struct(F.col("l_orderkey").alias("Shuffle Bytes Written")).alias("Shuffle Write Metrics"),
                  F.struct((q * 10).alias("Bytes Read")).alias("Input Metrics"),
                  F.struct((q * 5).alias("Bytes Written")).alias("Output Metrics")).alias("Task Metrics")))
-    lines = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("run"), line.alias("value"))
-    return M.parse_events(lines)
+    # the table is one row group; its narrow rows are dealt out before they become wide lines
+    rows = table(spark, sf, "lineitem").repartition(parallelism(spark))
+    return rows.select(F.col("l_returnflag").alias("run"), line.alias("value"))
 
 
-def _job_events(spark, sf):
+def _task_events(spark, sf):
+    return M.parse_events(_task_lines(spark, sf))
+
+
+def _job_lines(spark, sf):
     at = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
     start = F.to_json(F.struct(F.lit("SparkListenerJobStart").alias("Event"), F.col("o_orderkey").alias("Job ID"),
                                at.alias("Submission Time")))
@@ -39,9 +50,12 @@ def _job_events(spark, sf):
     end = F.to_json(F.struct(F.lit("SparkListenerJobEnd").alias("Event"), F.col("o_orderkey").alias("Job ID"),
                              (at + F.col("o_custkey")).alias("Completion Time"),
                              F.struct(result.alias("Result")).alias("Job Result")))
-    lines = table(spark, sf, "orders").select(F.col("o_orderstatus").alias("run"),
-                                              F.explode(F.array(start, end)).alias("value"))
-    return M.parse_events(lines)
+    return table(spark, sf, "orders").select(F.col("o_orderstatus").alias("run"),
+                                             F.explode(F.array(start, end)).alias("value"))
+
+
+def _job_events(spark, sf):
+    return M.parse_events(_job_lines(spark, sf))
 
 
 TOTALS_SQL = """totals AS (SELECT l_returnflag AS run, sum(l_quantity::BIGINT * 900)::BIGINT AS executor_run_time_ms,
@@ -69,14 +83,17 @@ def _(spark, sf):
     return M.task_totals(_task_events(spark, sf))
 
 
-@query("scheduler_delay", """SELECT l_returnflag AS run, l_linenumber::BIGINT AS stage_id, 0::BIGINT AS attempt, count(*) AS tasks,
+DELAY_SQL = """SELECT l_returnflag AS run, l_linenumber::BIGINT AS stage_id, 0::BIGINT AS attempt, count(*) AS tasks,
   sum(d)::BIGINT AS scheduler_delay_ms, round(avg(d), 6) AS mean_delay_ms, max(d)::BIGINT AS max_delay_ms
-FROM (SELECT *, greatest(l_quantity::BIGINT * 99 - 1, 0) AS d FROM lineitem) GROUP BY 1, 2""")
+FROM (SELECT *, greatest(l_quantity::BIGINT * 99 - 1, 0) AS d FROM lineitem) GROUP BY 1, 2"""
+
+
+@query("scheduler_delay", DELAY_SQL)
 def _(spark, sf):
     return M.scheduler_delay(_task_events(spark, sf))
 
 
-def _hardware_events(spark, sf):
+def _hardware_lines(spark, sf):
     """Memory, cores and finished stages: a line of each kind per supplier, its key names run and executor."""
     key = F.col("s_suppkey")
     run = F.element_at(F.array(F.lit("A"), F.lit("N"), F.lit("R")), (key % 3 + 1).cast("int"))
@@ -88,8 +105,11 @@ def _hardware_events(spark, sf):
                                F.struct((key % 16).alias("Total Cores")).alias("Executor Info")))
     stage = F.to_json(F.struct(F.lit("SparkListenerStageCompleted").alias("Event"),
                                F.struct(key.alias("Stage ID")).alias("Stage Info")))
-    lines = table(spark, sf, "supplier").select(run.alias("run"), F.explode(F.array(memory, cores, stage)).alias("value"))
-    return M.parse_events(lines)
+    return table(spark, sf, "supplier").select(run.alias("run"), F.explode(F.array(memory, cores, stage)).alias("value"))
+
+
+def _hardware_events(spark, sf):
+    return M.parse_events(_hardware_lines(spark, sf))
 
 
 def _app_events(spark, sf):
@@ -131,14 +151,16 @@ def _(spark, sf):
     return M.run_summary(events)
 
 
-# Settings that agree, that differ, and that a run lacks.
-@query("config_diff", """WITH kv AS (SELECT l_suppkey % 50 AS k, l_returnflag AS run,
+CONFIG_SQL = """WITH kv AS (SELECT l_suppkey % 50 AS k, l_returnflag AS run,
   CASE WHEN l_suppkey % 50 % 3 = 0 THEN 'same' ELSE (sum(l_quantity)::BIGINT % 7)::VARCHAR END AS value
   FROM lineitem GROUP BY l_suppkey % 50, l_returnflag HAVING (l_suppkey % 50 + ascii(l_returnflag)) % 5 <> 0),
 wide AS (SELECT 'supplier.' || k AS key, max(value) FILTER (WHERE run = 'A') AS A, max(value) FILTER (WHERE run = 'N') AS N,
   max(value) FILTER (WHERE run = 'R') AS R FROM kv GROUP BY 1)
-SELECT * FROM wide WHERE A IS DISTINCT FROM N OR A IS DISTINCT FROM R""")
-def _(spark, sf):
+SELECT * FROM wide WHERE A IS DISTINCT FROM N OR A IS DISTINCT FROM R"""
+
+
+# Settings that agree, that differ, and that a run lacks.
+def _setting_lines(spark, sf):
     k = F.col("l_suppkey") % 50
     settings = (table(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("run"), k.alias("k"))
                 .agg(F.sum("l_quantity").cast("long").alias("q"))
@@ -146,8 +168,12 @@ def _(spark, sf):
     value = F.when(F.col("k") % 3 == 0, "same").otherwise((F.col("q") % 7).cast("string"))
     line = F.to_json(F.struct(F.lit("SparkListenerEnvironmentUpdate").alias("Event"),
                               F.create_map(F.concat(F.lit("supplier."), "k"), value).alias("Spark Properties")))
-    events = M.parse_events(settings.select("run", line.alias("value")))
-    return M.config_diff(events, ["A", "N", "R"])
+    return settings.select("run", line.alias("value"))
+
+
+@query("config_diff", CONFIG_SQL)
+def _(spark, sf):
+    return M.config_diff(M.parse_events(_setting_lines(spark, sf)), ["A", "N", "R"])
 
 
 @query("consolidate_runs", f"""WITH {TOTALS_SQL}, {JOBS_SQL}
@@ -184,3 +210,60 @@ def _(spark, sf):
         .alias("progress")))
     events = M.parse_events(table(spark, sf, "events").select(F.col("event_type").alias("run"), line.alias("value")))
     return M.stream_progress(events).drop("query", "query_run", "at")
+
+
+# ---- the same lines as logs that were rolled, compressed and compacted -------------------------
+
+#: lines of a part; a run has as many parts as its lines need
+_PART_LINES = 2_000
+
+
+def _rolled_events(lines: DataFrame) -> DataFrame:
+    """The lines of each run as numbered zstd parts of a folder, some of them merged into a compacted part beside the
+    originals, read back through names and codec."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+        for batch in batches:
+            for run, part, held in zip(*[batch.column(i).to_pylist() for i in range(3)]):
+                name = f"eventlog_v2_{run}/events_{part}_{run}"
+                data = "".join(x + "\n" for x in held).encode()
+                packed = zstandard.compress(data)
+                # part 1 is replaced by a compacted one of its lines, what it left behind is stale; plain parts do occur
+                files = ([(f"{name}.zstd.compact", packed), (f"{name}.zstd", zstandard.compress(data + data))] if part == 1
+                         else [(name, data)] if part % 3 == 0 else [(f"{name}.zstd", packed)])
+                files.append((f"eventlog_v2_{run}/appstatus_{run}", b""))
+                yield pa.record_batch([pa.array(["log:/" + p for p, _ in files]), pa.array([c for _, c in files], pa.binary())],
+                                      ["path", "content"])
+
+    turn = F.row_number().over(Window.partitionBy("run", "_share").orderBy("value")) - 1
+    # shares of a run by a hash of the line, each cut into parts of its own
+    shares = parallelism(lines.sparkSession)
+    numbered = (lines.withColumn("_share", F.pmod(F.xxhash64("value"), F.lit(shares))).withColumn("_turn", turn)
+                .withColumn("part", (F.floor(F.col("_turn") / _PART_LINES) * shares + F.col("_share") + 1).cast("int")))
+    files = numbered.groupBy("run", "part").agg(F.collect_list("value").alias("held")).mapInArrow(pack, "path string, content binary")
+    return M.parse_events(decode_parts(log_parts(files)))
+
+
+@query("rolled_job_summary", f"WITH {JOBS_SQL} SELECT * FROM jobs")
+def _(spark, sf):
+    return M.job_summary(_rolled_events(_job_lines(spark, sf)))
+
+
+@query("rolled_task_totals", f"WITH {TOTALS_SQL} SELECT * FROM task_totals")
+def _(spark, sf):
+    return M.task_totals(_rolled_events(_task_lines(spark, sf)))
+
+
+@query("rolled_scheduler_delay", DELAY_SQL)
+def _(spark, sf):
+    return M.scheduler_delay(_rolled_events(_task_lines(spark, sf)))
+
+
+@query("rolled_executor_totals", f"WITH {HARDWARE_SQL} SELECT * FROM executors")
+def _(spark, sf):
+    return M.executor_totals(_rolled_events(_task_lines(spark, sf).unionByName(_hardware_lines(spark, sf))))
+
+
+@query("rolled_config_diff", CONFIG_SQL)
+def _(spark, sf):
+    return M.config_diff(_rolled_events(_setting_lines(spark, sf)), ["A", "N", "R"])

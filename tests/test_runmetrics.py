@@ -107,3 +107,99 @@ def test_exports_fall_back_and_skip(spark, sf, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == stats(spark, sf).count()
     assert not export.export_windows(spark, [str(tmp_path / "final")], str(tmp_path / "csv2"))
     assert not export.export_predictions(spark, str(tmp_path / "final"), str(tmp_path / "csv3"))
+
+
+# ---- logs as Spark writes them by default -----------------------------------------------------
+
+ROLLED = """
+import sys
+from pyspark.sql import SparkSession, functions as F
+spark = (SparkSession.builder.master("local[4]").appName("rolled").config("spark.ui.enabled", "false")
+         .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", "file://" + sys.argv[1])
+         .config("spark.eventLog.rolling.maxFileSize", "10m").config("spark.sql.shuffle.partitions", "4"))
+for setting in sys.argv[2:]:
+    spark = spark.config(*setting.split("=", 1))
+spark = spark.getOrCreate()
+spark.range(0, 10000, 1, 100).groupBy((F.col("id") % 10).alias("g")).count().collect()
+if len(sys.argv) == 2:
+    for _ in range(3):
+        spark.sparkContext.parallelize(range(2500), 2500).map(lambda x: x).count()
+spark.stop()
+"""
+
+
+def write_log(folder, *settings):
+    subprocess.run([sys.executable, "-c", ROLLED, str(folder), *settings], check=True, timeout=300, capture_output=True)
+
+
+@pytest.fixture(scope="module")
+def rolled(tmp_path_factory):
+    """One run under default settings, rolled several times, and the same lines as one plain file."""
+    import zstandard
+    folder, plain = tmp_path_factory.mktemp("rolled"), tmp_path_factory.mktemp("plain")
+    write_log(folder)
+    (app,) = folder.iterdir()
+    parts = sorted((p for p in app.iterdir() if p.name.startswith("events_")), key=lambda p: int(p.name.split("_")[1]))
+    texts = [zstandard.ZstdDecompressor().stream_reader(p.read_bytes(), read_across_frames=True).read() for p in parts]
+    (plain / app.name.removeprefix("eventlog_v2_")).write_bytes(b"".join(texts))
+    return app, parts, texts, plain
+
+
+def tables(events):
+    runs = [r.run for r in events.select("run").distinct().collect()]
+    out = [M.job_summary(events), M.task_totals(events), M.scheduler_delay(events), M.executor_totals(events), M.run_summary(events)]
+    return [runs, *[sorted(map(str, t.collect())) for t in out]]
+
+
+def test_default_logs_give_the_tables_of_plain_ones(spark, rolled):
+    app, parts, _, plain = rolled
+    assert len(parts) >= 3 and all(p.suffix == ".zstd" for p in parts)
+    want = tables(M.read_event_log(spark, str(plain)))
+    assert want[0] == [app.name.removeprefix("eventlog_v2_")]
+    assert tables(M.read_event_log(spark, str(app))) == tables(M.read_event_log(spark, str(app.parent))) == want
+
+
+def test_compacted_parts_replace_those_before(spark, rolled, tmp_path):
+    app, parts, texts, plain = rolled
+    folder = tmp_path / app.name
+    folder.mkdir()
+    for p in parts:
+        (folder / p.name).write_bytes(p.read_bytes())
+    run = app.name.removeprefix("eventlog_v2_")
+    # an older compacted part, and one that holds the first two parts in full; neither is to be counted with its sources
+    (folder / f"events_1_{run}.compact").write_bytes(texts[0])
+    (folder / f"events_2_{run}.compact").write_bytes(texts[0] + texts[1])
+    (folder / f"appstatus_{run}.inprogress").touch()
+    assert tables(M.read_event_log(spark, str(folder))) == tables(M.read_event_log(spark, str(plain)))
+
+
+def test_the_unfinished_last_part(spark, rolled, tmp_path):
+    app, parts, texts, _ = rolled
+    cut, whole = tmp_path / "cut" / app.name, tmp_path / "whole"
+    cut.mkdir(parents=True)
+    whole.mkdir()
+    for p in parts[:-1]:
+        (cut / p.name).write_bytes(p.read_bytes())
+    data = parts[-1].read_bytes()
+    (cut / parts[-1].name).write_bytes(data[:len(data) * 2 // 3])
+    import io
+    import zstandard
+    left = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data[:len(data) * 2 // 3]), read_across_frames=True).read()
+    (whole / app.name.removeprefix("eventlog_v2_")).write_bytes(b"".join(texts[:-1]) + left[:left.rfind(b"\n") + 1])
+    got = tables(M.read_event_log(spark, str(cut)))
+    assert got == tables(M.read_event_log(spark, str(whole)))
+    assert got != tables(M.read_event_log(spark, str(app)))
+
+
+@pytest.mark.parametrize("codec, rolling", [("lz4", "false"), ("snappy", "true"), ("zstd", "false")])
+def test_codecs(spark, tmp_path, codec, rolling):
+    write_log(tmp_path, f"spark.eventLog.compression.codec={codec}", f"spark.eventLog.rolling.enabled={rolling}", "spark.eventLog.compress=true")
+    events = M.read_event_log(spark, str(tmp_path))
+    row = M.run_summary(events).first()
+    assert row.app_name == "rolled" and row.total_jobs == row.completed_jobs > 0 and row.driver_total_tasks > 100
+    assert events.select("run").distinct().count() == 1 and "." not in row.run
+
+
+def test_nothing_to_read(spark, tmp_path):
+    from tapewatch.sources.eventlogs import event_log_lines
+    assert event_log_lines(spark, str(tmp_path)).count() == 0
