@@ -98,7 +98,7 @@ class Index:
 
 
 def _index(docs: DataFrame, root: str) -> DataFrame:
-    """``shard, local, lang, word, found, path``: the words of each shard with their counts, and a row with its file."""
+    """``shard, local, lang, word, found``: the words of each shard with their counts, and a row with its file and sizes."""
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, turn = TaskContext.get().partitionId(), 0
@@ -118,16 +118,18 @@ def _index(docs: DataFrame, root: str) -> DataFrame:
             symbols = np.zeros(len(local) + int(first.sum()), np.int32)
             symbols[np.arange(len(local)) + np.cumsum(first)] = local + 1
             path, stream = create(root, ".bwt")
+            packed = pa.compress(transform(symbols, LONGEST).tobytes(), "zstd", asbytes=True)
             with stream:
-                stream.write(transform(symbols, LONGEST).tobytes())
+                stream.write(packed)
             n = len(known)
             shard = part << 11 | turn
             return pa.record_batch(
                 [pa.array(np.full(n + 1, shard, np.int64)), pa.array(np.arange(n + 1)),
                  pa.concat_arrays([pa.nulls(1, pa.string()), of.dictionary.take(pa.array(known % kinds))]),
                  pa.concat_arrays([pa.nulls(1, pa.string()), texts.dictionary.take(pa.array(known // kinds))]),
-                 pa.array(np.concatenate(([len(symbols)], found))), pa.array([path] + [None] * n, pa.string())],
-                ["shard", "local", "lang", "word", "found", "path"])
+                 pa.array(np.concatenate(([len(symbols)], found))), pa.array([path] + [None] * n, pa.string()),
+                 pa.array([len(packed)] + [None] * n, pa.int64())],
+                ["shard", "local", "lang", "word", "found", "path", "packed"])
 
         for batch in batches:
             for lo, hi in split_batch(batch.column(1)):
@@ -144,7 +146,7 @@ def _index(docs: DataFrame, root: str) -> DataFrame:
             yield close()
 
     return (docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
-            .mapInArrow(run, "shard long, local long, lang string, word string, found long, path string"))
+            .mapInArrow(run, "shard long, local long, lang string, word string, found long, path string, packed long"))
 
 
 def _frequent(found: DataFrame, key: list[str], least: int) -> DataFrame:
@@ -161,9 +163,8 @@ def _longer(files: DataFrame, shards: int, known: DataFrame, depth: int) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
         for batch in batches:
-            for shard, path, size, held in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(),
-                                               batch.column(3)):
-                index = Index(np.frombuffer(reader.read(path, 0, 4 * size), np.int32))
+            for shard, path, size, packed, held in zip(*[batch.column(i).to_pylist() for i in range(4)], batch.column(4)):
+                index = Index(np.frombuffer(pa.decompress(reader.read(path, 0, packed), 4 * size, "zstd"), np.int32))
                 for _ in range(depth - 2):
                     index.deepen()
                 numbers = np.full(index.intervals, -1, np.int64)
@@ -179,7 +180,8 @@ def _longer(files: DataFrame, shards: int, known: DataFrame, depth: int) -> Data
     # a row per shard, of a bounded number of its phrases
     held = (known.groupBy(F.shiftright("code", 32).alias("shard"))
             .agg(F.collect_list(F.struct(F.col("code").bitwiseAND(0xFFFFFFFF).alias("local"), "gid")).alias("held")))
-    return (files.join(held, "shard").select("shard", "path", "size", "held").repartition(shards, "shard")
+    tasks = min(shards, 4 * parallelism(files.sparkSession))
+    return (files.join(held, "shard").select("shard", "path", "size", "packed", "held").repartition(tasks, "shard")
             .mapInArrow(run, "head long, tail long, code long, found int"))
 
 
@@ -193,17 +195,20 @@ def phrases(docs: DataFrame, scratch: Scratch, longest: int = LONGEST, least: in
     if not 1 <= longest <= LONGEST:
         raise ValueError(f"an index is sorted by {LONGEST} words")
     indexed = scratch.put(_index(docs, f"{scratch.root}/index"))
-    files = indexed.filter(F.col("path").isNotNull()).select("shard", "path", F.col("found").alias("size"))
+    files = scratch.put(indexed.filter(F.col("path").isNotNull()).select("shard", "path", F.col("found").alias("size"), "packed"))
     shards = max(1, files.count())
     vocabulary = indexed.filter(F.col("path").isNull())
-    sizes = vocabulary.groupBy("lang").agg(F.sum("found").alias("n"))
+    sizes = scratch.put(vocabulary.groupBy("lang").agg(F.sum("found").alias("n")))
     coded = vocabulary.select("lang", "word", F.expr("shiftleft(shard, 32) | local").alias("code"), "found")
     known = scratch.put(_frequent(coded, ["lang", "word"], least))
     tables = [scratch.put(known.filter("code = gid").select(
         "gid", F.lit(None).cast("long").alias("head"), F.lit(None).cast("long").alias("tail"), "lang",
         F.array("word").alias("words"), "f", F.array("f").alias("heads"), F.array("f").alias("tails")))]
+    scratch.drop(indexed)
     for depth in range(2, longest + 1):
-        known = scratch.put(_frequent(_longer(files, shards, known, depth), ["head", "tail"], least).select("code", "gid", "f", "head", "tail"))
+        before = known
+        known = scratch.put(_frequent(_longer(files, shards, before, depth), ["head", "tail"], least).select("code", "gid", "f", "head", "tail"))
+        scratch.drop(before)
         shorter = tables[-1]
         heads = shorter.select(F.col("gid").alias("head"), "lang", "words", "heads")
         tails = shorter.select(F.col("gid").alias("tail"), F.element_at("words", -1).alias("_last"), "tails")
