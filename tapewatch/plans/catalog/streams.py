@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 from tapewatch.functions.scalars import unpack_vector
 from tapewatch.operators.windows import merge_fragments, window_features, window_stats
 from tapewatch.plans import flow
-from tapewatch.plans.catalog.base import (EVENT_FEATURES, EVENT_STATS, FEATURE_COLUMNS, SIZE, SLIDE, STAT_COLUMNS,
-                                          query)
+from tapewatch.plans.catalog.base import (EVENT_FEATURES, EVENT_STATS, EVENT_STATS_OF, FEATURE_COLUMNS, SIZE, SLIDE,
+                                          STAT_COLUMNS, TRADES, query)
 from tapewatch.plans.catalog.models import _fitted, _differing
 from tapewatch.session import fresh_path
+from tapewatch.sources.published import compact_published, publish_batch, read_published
 from tapewatch.sources.tables import EVENTS_ORDER, events_trades
 from tapewatch.sources.trades import FileSource, encode_trades, trade_stream
 from tapewatch.streaming import run, windows
+from tapewatch.streaming.progress import ProgressTable, read_progress
+from tapewatch.streaming.state import open_windows
 
 DELAY, DELAY_SECONDS = "30 seconds", 30
 WINDOWING = flow.Windowing(SIZE, SLIDE, DELAY)
@@ -69,7 +72,7 @@ def _(spark, sf):
     live = trade_stream(spark, _json_folder(spark, sf))
     run.run_foreach_batch(live, windows.fragment_writer(path, SIZE, SLIDE), f"{path}-checkpoint",
                           interval=None).awaitTermination()
-    return merge_fragments(spark.read.parquet(path), "batch_id")
+    return merge_fragments(read_published(spark, path), "batch_id")
 
 
 @query("stream_scores", f"WITH {EVENT_STATS} SELECT count(*) AS rows, 0::BIGINT AS differing FROM stats WHERE {CLOSED}")
@@ -103,4 +106,97 @@ def _(spark, sf):
     encode_trades(events_trades(spark, sf)).repartition(4).write.text(path)
     live = trade_stream(spark, FileSource(path, max_files_per_trigger=1))
     run.run_for(run.run_foreach_batch(live, windows.fragment_writer(out, SIZE, SLIDE), f"{out}-checkpoint", interval=None), 3600)
-    return spark.read.parquet(out).agg(F.countDistinct("batch_id").alias("batches"), F.sum("trade_count").alias("placed"))
+    return read_published(spark, out).agg(F.countDistinct("batch_id").alias("batches"), F.sum("trade_count").alias("placed"))
+
+
+@query("stream_open_windows", f"WITH {EVENT_STATS} SELECT {STAT_COLUMNS} FROM stats")
+def _(spark, sf):
+    """Closed windows from the sink and open ones from the state are all windows."""
+    path = fresh_path(spark, "windows")
+    live = windows.stream_window_stats(_live_events(spark, sf), SIZE, SLIDE, DELAY, EVENTS_ORDER)
+    run.run_to_parquet(live, path, f"{path}-checkpoint", interval=None).awaitTermination()
+    return spark.read.parquet(path).unionByName(open_windows(spark, f"{path}-checkpoint"))
+
+
+@query("stream_accumulate_open", f"WITH {EVENT_FEATURES} SELECT symbol, window_start, {FEATURE_COLUMNS} FROM feats")
+def _(spark, sf):
+    path = fresh_path(spark, "accumulated")
+    found = flow.accumulate(spark, _json_folder(spark, sf), path, f"{path}-checkpoint", 3600, WINDOWING, interval=None, still_open=True)
+    return found.select("symbol", "window_start", "pct_return", "volatility", "volume_intensity", "price_speed")
+
+
+@query("stream_processing_time", f"WITH {EVENT_STATS} SELECT {STAT_COLUMNS} FROM stats WHERE {CLOSED}")
+def _(spark, sf):
+    """A batch every second until all is done."""
+    path = fresh_path(spark, "timed")
+    live = windows.stream_window_stats(_live_events(spark, sf), SIZE, SLIDE, DELAY, EVENTS_ORDER)
+    timed = run.run_to_parquet(live, path, f"{path}-checkpoint", interval="1 second")
+    timed.processAllAvailable()
+    timed.stop()
+    return spark.read.parquet(path)
+
+
+#: every seventh event of the first quarter of the time comes only after the first half
+LATE_EVENTS = """span AS (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) AS hi FROM events),
+marked AS (SELECT e.*, event_id % 7 = 0 AND epoch_us(ts) < lo + (hi - lo) // 4 AS held FROM events e, span)"""
+
+
+def _late_run(spark, sf, name, listener=None):
+    """Two runs on one checkpoint; the second one begins with events behind the watermark of the first."""
+    trades, inbox, out = events_trades(spark, sf), fresh_path(spark, f"{name}-inbox"), fresh_path(spark, name)
+    at = F.unix_micros("event_time")
+    lo, hi = trades.agg(F.min(at), F.max(at)).first()
+    held = (F.col("event_id") % 7 == 0) & (at < lo + (hi - lo) // 4)
+    early = ~held & (at < lo + (hi - lo) // 2)
+    queries = []
+    for part in (early, ~early):
+        encode_trades(trades.filter(part)).write.mode("append").text(inbox)
+        live = windows.stream_window_stats(trade_stream(spark, FileSource(inbox)), SIZE, SLIDE, DELAY)
+        queries.append(run.run_to_parquet(live, out, f"{out}-checkpoint", interval=None))
+        queries[-1].awaitTermination()
+        if listener:
+            listener.wait(queries[-1])
+    return out, queries
+
+
+@query("stream_late_dropped", f"""WITH {LATE_EVENTS}, {TRADES.replace("FROM events)", "FROM marked WHERE NOT held)")}, {EVENT_STATS_OF}
+SELECT {STAT_COLUMNS} FROM stats WHERE {CLOSED}""")
+def _(spark, sf):
+    """Late events are in no window, as all of theirs were closed."""
+    return spark.read.parquet(_late_run(spark, sf, "late")[0])
+
+
+@query("stream_progress_table", f"""WITH {LATE_EVENTS} SELECT count(*) AS input_rows, 2 AS runs,
+  count(*) FILTER (WHERE held) > 0 AS some_late, true AS totals_agree FROM marked""")
+def _(spark, sf):
+    """Rows and late rows over both runs of one query, from the table and from totals resumed in between."""
+    path = fresh_path(spark, "progress")
+    listener = ProgressTable(spark, path, buffer=2)
+    spark.streams.addListener(listener)
+    try:
+        _, queries = _late_run(spark, sf, "watched", listener)
+    finally:
+        spark.streams.removeListener(listener)
+    resumed = ProgressTable(spark, path)
+    rows, late = resumed.input_rows(queries[-1]), resumed.late_rows(queries[-1])
+    same = (rows, late) == (listener.input_rows(queries[-1]), listener.late_rows(queries[-1]))
+    return (read_progress(spark, path).filter(F.col("query_id") == str(queries[-1].id))
+            .agg(F.sum("input_rows").alias("input_rows"), F.countDistinct("run_id").cast("int").alias("runs"),
+                 (F.sum("late_rows") > 0).alias("some_late"),
+                 ((F.sum("input_rows") == rows) & (F.sum("late_rows") == late) & F.lit(same)).alias("totals_agree")))
+
+
+@query("published_batches", f"WITH {TRADES} SELECT event_id % 5 AS batch_id, count(*) AS rows, round(sum(price), 4) AS total FROM trades GROUP BY 1")
+def _(spark, sf):
+    """Batches of which one is retried, one attempt dies before its commit, and the older ones are compacted."""
+    trades, path = events_trades(spark, sf), fresh_path(spark, "published")
+    of = lambda n: trades.filter(F.col("event_id") % 5 == n)
+    for n in range(4):
+        if n == 1:
+            publish_batch(of(3), path, n)
+        publish_batch(of(n), path, n)
+    of(2).write.parquet(f"{path}/batch_id=4/died")
+    compact_published(spark, path)
+    publish_batch(of(4), path, 4)
+    rows = read_published(spark, path).groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("price"), 4).alias("total"))
+    return rows

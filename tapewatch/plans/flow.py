@@ -20,6 +20,7 @@ from tapewatch.schema import FEATURES, TRIGGER_INTERVAL, WATERMARK_DELAY, WINDOW
 from tapewatch.sources.sinks import overwrite_parquet
 from tapewatch.sources.trades import trade_stream
 from tapewatch.streaming.run import run_for, run_to_parquet
+from tapewatch.streaming.state import open_windows
 from tapewatch.streaming.windows import stream_score, stream_window_stats
 
 log = logging.getLogger(__name__)
@@ -38,12 +39,18 @@ def features_of(trades: DataFrame, windowing: Windowing = Windowing()) -> DataFr
 
 def accumulate(spark: SparkSession, source, path: str, checkpoint: str, seconds: float,
                windowing: Windowing = Windowing(), keep: Sequence[str] = (),
-               interval: str | None = TRIGGER_INTERVAL) -> DataFrame:
-    """Collect features of closed windows from a live source for a while; returns what is there."""
+               interval: str | None = TRIGGER_INTERVAL, still_open: bool = False) -> DataFrame:
+    """Collect features of closed windows from a live source for a while; returns what is there.
+
+    ``still_open`` adds the windows that the watermark has not passed yet, as they are in the state; they are not
+    written, as the next run writes them when they close.
+    """
     trades = trade_stream(spark, source, keep)
     stats = stream_window_stats(trades, windowing.size, windowing.slide, windowing.delay, windowing.order)
-    run_for(run_to_parquet(window_features(stats), path, checkpoint, interval), seconds)
-    return spark.read.parquet(path)
+    features = window_features(stats)
+    run_for(run_to_parquet(features, path, checkpoint, interval), seconds)
+    closed = spark.read.schema(features.schema).parquet(path)
+    return closed.unionByName(window_features(open_windows(spark, checkpoint))) if still_open else closed
 
 
 def label_windows(features: DataFrame, labeled_path: str, model_path: str | None = None,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,15 +52,20 @@ def run_for(query: StreamingQuery, seconds: float) -> bool:
     return ended
 
 
+#: batches of a run that a ProgressLog can name the rates of; a ProgressTable keeps all
+REMEMBERED = 1_000
+
+
 class ProgressLog(StreamingQueryListener):
-    """Late rows and rates of all batches of a session's queries, also those a query itself has forgotten.
+    """Late rows of all batches of a session's queries, and the rates of their last batches, also of those a query
+    itself has forgotten. For long runs use a ``ProgressTable``.
 
     Attach with ``spark.streams.addListener(log)`` before the query starts; events arrive a moment late.
     """
 
     def __init__(self):
         self.late: dict[str, int] = {}
-        self.rates: dict[str, list[tuple[int, int, float, float]]] = {}
+        self.rates: dict[str, deque[tuple[int, int, float, float]]] = {}
 
     def onQueryStarted(self, event):
         pass
@@ -67,7 +73,7 @@ class ProgressLog(StreamingQueryListener):
     def onQueryProgress(self, event):
         p, run_id = event.progress, str(event.progress.runId)
         self.late[run_id] = self.late.get(run_id, 0) + sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
-        self.rates.setdefault(run_id, []).append(
+        self.rates.setdefault(run_id, deque(maxlen=REMEMBERED)).append(
             (p.batchId, p.numInputRows, p.inputRowsPerSecond or 0.0, p.processedRowsPerSecond or 0.0))
 
     def onQueryIdle(self, event):

@@ -13,7 +13,7 @@ from tapewatch.operators.classify import score
 from tapewatch.operators.ordering import ArrivalOrder
 from tapewatch.operators.windows import window_features, window_stats
 from tapewatch.schema import WATERMARK_DELAY, WINDOW_SIZE, WINDOW_SLIDE
-from tapewatch.sources.sinks import append_parquet
+from tapewatch.sources.published import publish_batch
 
 log = logging.getLogger(__name__)
 
@@ -30,7 +30,8 @@ def stream_window_stats(trades: DataFrame, size: str = WINDOW_SIZE, slide: str =
     """One final row per (symbol, window), emitted when the watermark passes the window's end.
 
     A trade is late for the windows that end before the watermark of the batch before its own; it
-    still counts in the windows that overlap them and end later. Windows still open when the stream stops stay in the state and come out after a restart.
+    still counts in the windows that overlap them and end later. Windows still open when the stream stops stay in the state: they come out after a
+    restart, and ``open_windows`` reads them before.
     """
     return window_stats(with_watermark(trades, delay), size, slide, order=order)
 
@@ -48,25 +49,23 @@ def _per_batch(trades: DataFrame, size: str, slide: str, order: ArrivalOrder) ->
 
 def fragment_writer(path: str, size: str = WINDOW_SIZE, slide: str = WINDOW_SLIDE,
                     order: ArrivalOrder = ArrivalOrder()) -> Callable[[DataFrame, int], None]:
-    """Callback that adds each micro-batch's partial windows under ``batch_id=<n>``.
+    """Callback that publishes each micro-batch's partial windows under its ``batch_id``; ``read_published`` reads them.
 
     Late trades are never dropped here. Merge the fragments to get exact windows.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            counts = append_parquet(_per_batch(batch, size, slide, order), path, batch_id)
-            log.info("batch %d: %d windows", batch_id, counts["rows"])
+            log.info("published %s", publish_batch(_per_batch(batch, size, slide, order), path, batch_id).folder)
     return write
 
 
 def fragment_scorer(model: PipelineModel, path: str, size: str = WINDOW_SIZE, slide: str = WINDOW_SLIDE,
                     order: ArrivalOrder = ArrivalOrder()) -> Callable[[DataFrame, int], None]:
-    """Callback that scores each micro-batch's partial windows as they are."""
+    """Callback that scores each micro-batch's partial windows as they are and publishes them."""
     def write(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
             scored = score(_per_batch(batch, size, slide, order), model)
-            counts = append_parquet(scored, path, batch_id, anomalous=F.col("prediction") == 1)
-            log.info("batch %d: %d windows, %d anomalous", batch_id, counts["rows"], counts["anomalous"])
+            log.info("published %s", publish_batch(scored, path, batch_id).folder)
     return write
 
 

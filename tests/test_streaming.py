@@ -2,18 +2,25 @@
 
 import json
 import os
+import subprocess
+import sys
+import threading
 import time
 from datetime import datetime, timezone
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
+from tapewatch.operators import runmetrics
 from tapewatch.operators.classify import load_clusters
 from tapewatch.operators.windows import merge_fragments, window_stats
 from tapewatch.plans import flow
+from tapewatch.sources import published
 from tapewatch.sources.sinks import append_parquet
 from tapewatch.sources.trades import FileSource, KafkaSource, trade_batch, trade_stream
-from tapewatch.streaming import run, windows
+from tapewatch.streaming import run, state, windows
+from tapewatch.streaming.progress import ProgressTable, read_progress
 
 BASE = int(datetime(2024, 5, 1, 12, tzinfo=timezone.utc).timestamp() * 1000)
 COLUMNS = ["symbol", "window_start", "window_end", "price_min", "price_max", "price_avg", "price_variance",
@@ -209,3 +216,171 @@ def test_progress_log_outlives_what_a_query_remembers(spark, folder, tmp_path):
     finally:
         spark.streams.removeListener(log)
         spark.conf.set(key, before)
+
+
+# ---- open windows, progress of long runs, published batches -----------------------------------
+
+def test_closed_and_open_windows_are_all_windows(spark, folder, tmp_path):
+    for i in range(5):
+        folder.add(*[(s, 100.0 + i + j, 25 * i + j) for j in range(5) for s in "AB"])
+    for _ in range(2):  # also after a restart without new data
+        streamed, _ = exact(spark, folder, tmp_path)
+        held = state.open_windows(spark, str(tmp_path / "ck"))
+        assert 0 < held.count() < streamed.count() + held.count()
+        assert rows(streamed.unionByName(held)) == rows(window_stats(trade_batch(spark, folder.source)))
+    folder.add(("A", 1.0, 10_000))
+    streamed, _ = exact(spark, folder, tmp_path)
+    assert state.open_windows(spark, str(tmp_path / "ck")).count() == 2
+
+
+def test_open_windows_reach_training(spark, folder, tmp_path):
+    for i in range(3):
+        folder.add(("A", 1.0 + i, 40 * i), ("A", 2.0 + i, 40 * i + 1))
+    path = lambda name: str(tmp_path / name)
+    closed = flow.accumulate(spark, folder.source, path("a"), path("b"), 300, interval=None)
+    every = flow.accumulate(spark, folder.source, path("a"), path("b"), 300, interval=None, still_open=True)
+    batch = flow.features_of(trade_batch(spark, folder.source))
+    assert closed.count() < every.count() == batch.count()
+    assert sorted(map(str, every.select(*batch.columns).collect())) == sorted(map(str, batch.collect()))
+
+
+def test_state_of_something_else_is_refused(spark, folder, tmp_path):
+    folder.add(("A", 1.0, 1))
+    live = trade_stream(spark, folder.source).groupBy("symbol").count()
+    q = live.writeStream.outputMode("complete").format("noop").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    with pytest.raises(ValueError):
+        state.open_windows(spark, str(tmp_path / "ck"))
+
+
+def fake_progress(query, run_id, batch, late=0):
+    progress = SimpleNamespace(id=query, runId=run_id, name=None, batchId=batch, timestamp="2024-05-01T12:00:00.000Z", numInputRows=3,
+                               batchDuration=5, stateOperators=[SimpleNamespace(numRowsDroppedByWatermark=late)],
+                               sources=[SimpleNamespace(inputRowsPerSecond=1.5, processedRowsPerSecond=None)])
+    return SimpleNamespace(progress=progress)
+
+
+def test_memory_of_a_long_run_does_not_grow(spark, tmp_path):
+    path = str(tmp_path / "progress")
+    log, most = ProgressTable(spark, path, buffer=2_500), 0
+    for batch in range(10_000):
+        log.onQueryProgress(fake_progress("q", "one", batch, late=batch % 2))
+        most = max(most, len(log.rows))
+    query = SimpleNamespace(id="q", runId="one")
+    assert most < 2_500 and not log.rows and len(log.totals) == 1
+    assert read_progress(spark, path).count() == 10_000
+    assert (log.input_rows(query), log.late_rows(query)) == (30_000, 5_000)
+    # a restart does the last batch again; totals and table count it once
+    again = ProgressTable(spark, path)
+    assert (again.input_rows(query), again.late_rows(query)) == (30_000, 5_000)
+    for batch in (9_999, 10_000):
+        again.onQueryProgress(fake_progress("q", "two", batch, late=1))
+    again.onQueryTerminated(SimpleNamespace(runId="two"))
+    assert again.wait(SimpleNamespace(runId="two"), 0)
+    assert (again.input_rows(query), again.late_rows(query)) == (30_003, 5_001)
+    assert read_progress(spark, path).count() == 10_001
+
+
+def test_progress_log_remembers_a_bounded_number_of_batches():
+    log = run.ProgressLog()
+    for batch in range(3 * run.REMEMBERED):
+        event = fake_progress("q", "one", batch, late=1)
+        event.progress.inputRowsPerSecond = event.progress.processedRowsPerSecond = 1.0
+        log.onQueryProgress(event)
+    assert len(log.rates["one"]) == run.REMEMBERED and log.late["one"] == 3 * run.REMEMBERED
+
+
+WATCHED = """
+import sys, json
+sys.path.insert(0, sys.argv[1])
+from pyspark.sql import SparkSession
+from tapewatch.sources.trades import FileSource, trade_stream
+from tapewatch.streaming import run, windows
+from tapewatch.streaming.progress import ProgressTable
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC")
+         .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", "file://" + sys.argv[3])
+         .config("spark.sql.shuffle.partitions", "2").getOrCreate())
+log = ProgressTable(spark, sys.argv[4], buffer=3)
+spark.streams.addListener(log)
+live = windows.stream_window_stats(trade_stream(spark, FileSource(sys.argv[2], max_files_per_trigger=1)))
+q = run.run_to_parquet(live, sys.argv[4] + "-out", sys.argv[4] + "-ck", interval=None)
+q.awaitTermination()
+assert log.wait(q)
+spark.stop()
+"""
+
+
+def test_progress_table_equals_the_event_log(spark, folder, tmp_path):
+    folder.add(("A", 1.0, 70)).add(("A", 2.0, 125)).add(("A", 2.0, 126)).add(("A", 9.0, 75)).add(("A", 3.0, 300))
+    logs, path = tmp_path / "logs", str(tmp_path / "progress")
+    logs.mkdir()
+    subprocess.run([sys.executable, "-c", WATCHED, os.path.dirname(os.path.dirname(os.path.abspath(__file__))), str(folder.path), str(logs), path],
+                   check=True, timeout=300, capture_output=True)
+    columns = ["batch_id", "input_rows", "batch_duration_ms", "late_rows"]
+    logged = runmetrics.stream_progress(runmetrics.read_event_log(spark, str(logs)))
+    table = read_progress(spark, path)
+    assert sorted(map(tuple, table.select(columns).collect())) == sorted(map(tuple, logged.select(columns).collect()))
+    rates = lambda df: sorted((r[0], round(r[1], 6), round(r[2], 6)) for r in df.select("batch_id", "input_rate", "processing_rate").collect())
+    assert rates(table) == rates(logged)
+    assert table.agg(F.sum("late_rows")).first()[0] >= 1
+
+
+def test_readers_see_a_retried_batch_whole(spark, tmp_path):
+    path, seen, stop = str(tmp_path / "t"), [], threading.Event()
+    published.publish_batch(spark.range(5), path, 0)
+    published.publish_batch(spark.range(7), path, 1)
+    before = published.read_published(spark, path)
+
+    def read():
+        while not stop.is_set():
+            seen.append(published.read_published(spark, path).filter("batch_id = 1").count())
+    reader = threading.Thread(target=read)
+    reader.start()
+    for _ in range(4):
+        published.publish_batch(spark.range(9), path, 1)
+        published.publish_batch(spark.range(7), path, 1)
+    stop.set()
+    reader.join()
+    assert seen and set(seen) <= {7, 9}
+    assert before.count() == 12 == published.read_published(spark, path).count()
+
+
+def test_a_batch_without_commit_is_not_there(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(ValueError):
+        published.read_published(spark, path)
+    spark.range(3).write.parquet(f"{path}/batch_id=0/died")
+    assert published.commits(spark, path) == []
+    published.publish_batch(spark.range(2), path, 0)
+    assert published.read_published(spark, path).count() == 2
+    assert published.vacuum(spark, path) == []  # too young
+    assert published.vacuum(spark, path, older_than=0) == ["batch_id=0/died"]
+    assert published.read_published(spark, path).count() == 2
+
+
+def test_compaction_keeps_batches_and_readers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for batch in range(6):
+        published.publish_batch(spark.range(batch + 1), path, batch)
+    count = lambda: {r[0]: r[1] for r in published.read_published(spark, path).groupBy("batch_id").count().collect()}
+    want, reader = {b: b + 1 for b in range(6)}, published.read_published(spark, path)
+    assert published.compact_published(spark, path) is not None and count() == want
+    assert [(c.first, c.last) for c in published.commits(spark, path)] == [(0, 4), (5, 5)]
+    published.publish_batch(spark.range(60), path, 5)  # the last batch is retried
+    published.publish_batch(spark.range(7), path, 6)
+    assert count() == want | {5: 60, 6: 7}
+    assert reader.count() == 21
+    published.compact_published(spark, path)
+    assert len(published.commits(spark, path)) == 2 and count() == want | {5: 60, 6: 7}
+    assert len(published.vacuum(spark, path, older_than=0)) == 8 and count() == want | {5: 60, 6: 7}
+    assert published.compact_published(spark, path, leave=2) is None
+
+
+def test_no_job_reads_back_what_was_published(spark, tmp_path):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("publish", "one batch")
+    try:
+        published.publish_batch(spark.range(5), str(tmp_path / "t"), 0)
+        assert len(tracker.getJobIdsForGroup("publish")) == 1
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
