@@ -9,22 +9,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tapewatch.functions.scalars import LARGEST_CODE, order_code
 from tapewatch.operators.lookup import lookup
 from tapewatch.session import settle
 
 _IN_PARTITION = (1 << 33) - 1
 _LONG, _DECIMAL = (1 << 63) - 1, 10**38 - 1
 _BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+_FLOATING = (T.FloatType, T.DoubleType)
+
+
+def _code(df: DataFrame, column: str) -> Column:
+    """A column as whole numbers in its order."""
+    return order_code(column) if isinstance(df.schema[column].dataType, _FLOATING) else F.col(column)
 
 
 @dataclass(frozen=True)
 class ArrivalOrder:
     """What "first" and "last" mean inside a window: event time, then the tie-break columns.
 
-    Time counts in steps of ``tick_us`` microseconds. Whole-number tie-breaks and the time in the window
-    are packed into one number, a long or a decimal, by what their column types can hold, so that the
-    aggregation is a hash aggregation for any values, null ones (first of all) included. An order that does
-    not fit in 38 digits by type, or has other tie-breaks, is a struct: same rows, sorted aggregation.
+    Time counts in steps of ``tick_us`` microseconds. Whole-number tie-breaks, floating ones by their
+    ``order_code``, and the time in the window are packed into one number, a long or a decimal, by what their
+    column types can hold, so that the aggregation is a hash aggregation for any values, null ones (first of
+    all) included. An order that does not fit in 38 digits by type, or has other tie-breaks, is a struct: same rows,
+    sorted aggregation.
     ``ranges`` narrows what the types say to (least value, number of values) per tie-break.
     """
 
@@ -34,19 +42,22 @@ class ArrivalOrder:
     ranges: tuple[tuple[int, int], ...] | None = None
 
     def measured(self, df: DataFrame) -> ArrivalOrder:
-        """With the ranges that a static table holds: one pass over the (pruned) tie-break columns."""
-        if self._ranges(df) is None:
+        """With the ranges that a static table holds: one pass over the (pruned) tie-break columns. Only orders of whole
+        numbers are narrowed."""
+        if self.ranges is not None or any(type(df.schema[c].dataType) not in _BITS for c in self.tiebreak):
             return self
         aggs = [agg for i, c in enumerate(self.tiebreak) for agg in (F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"))]
         bounds = df.agg(*aggs).first() if aggs else None
         return replace(self, ranges=tuple((bounds[f"lo{i}"] or 0, (bounds[f"hi{i}"] or 0) - (bounds[f"lo{i}"] or 0) + 1)
                                           for i in range(len(self.tiebreak))))
 
-    def _ranges(self, df: DataFrame) -> tuple[tuple[int, int], ...] | None:
+    def _ranges(self, df: DataFrame, columns: Sequence[str] | None = None) -> tuple[tuple[int, int], ...] | None:
         if self.ranges is not None:
             return self.ranges
-        bits = [_BITS.get(type(df.schema[c].dataType)) for c in self.tiebreak]
-        return None if None in bits else tuple((-(1 << (b - 1)), 1 << b) for b in bits)
+        kinds = [type(df.schema[c].dataType) for c in columns or self.tiebreak]
+        if not all(k in _BITS or k in _FLOATING for k in kinds):
+            return None
+        return tuple((-LARGEST_CODE, 2 * LARGEST_CODE + 1) if k in _FLOATING else (-(1 << (_BITS[k] - 1)), 1 << _BITS[k]) for k in kinds)
 
     def step(self, column: Column | str) -> Column:
         """A time as a number of ticks."""
@@ -57,22 +68,25 @@ class ArrivalOrder:
         """The order itself, of rows of any times."""
         return F.struct(self.step(self.time).alias("at"), *self.tiebreak)
 
-    def key(self, df: DataFrame, window_start: Column, span_us: int) -> Column:
-        """Sort key of a row of ``df`` within its window of ``span_us`` microseconds."""
-        if not self.tiebreak:
-            return self.step(self.time)
-        ranges = self._ranges(df)
+    def key(self, df: DataFrame, window_start: Column, span_us: int, time: str | None = None,
+            tiebreak: Sequence[str] | None = None) -> Column:
+        """Sort key of a row of ``df`` within its window of ``span_us`` microseconds; ``time`` and ``tiebreak`` are the
+        columns that hold them, if they go by other names there."""
+        time, tiebreak = time or self.time, tuple(tiebreak or self.tiebreak)
+        if not tiebreak:
+            return self.step(time)
+        ranges = self._ranges(df, tiebreak)
         steps = span_us // self.tick_us + 2
         size = steps
         for _, values in ranges or ():
             size *= values + 1
         if ranges is None or size > _DECIMAL:
-            return self.rank()
+            return F.struct(self.step(time).alias("at"), *tiebreak)
         kind = "long" if size <= _LONG else "decimal(38,0)"
         whole = lambda n: F.expr(f"CAST('{n}' AS {kind})")
-        packed = (self.step(self.time) - self.step(window_start)).cast(kind)
-        for c, (least, values) in zip(self.tiebreak, ranges):
-            code = F.coalesce((F.col(c).cast(kind) + whole(1 - least)).cast(kind), whole(0))
+        packed = (self.step(time) - self.step(window_start)).cast(kind)
+        for c, (least, values) in zip(tiebreak, ranges):
+            code = F.coalesce((_code(df, c).cast(kind) + whole(1 - least)).cast(kind), whole(0))
             packed = (packed * whole(values + 1) + code).cast(kind)
         return packed
 
@@ -188,8 +202,8 @@ def extreme_by(df: DataFrame, keys: Sequence[str], value: str, order: ArrivalOrd
     pick_by, pick = (F.max_by, F.max) if last else (F.min_by, F.min)
     day = F.date_trunc("day", F.col(order.time))
     framed = df.withColumn("_day", day)
-    key = order.key(framed, F.col("_day"), 86_400_000_000)
-    daily = (framed.groupBy(*keys, "_day")
-             .agg(pick_by(value, key).alias(value), pick(order.time).alias("_at")))
+    # a column, so that it is worked out once for all aggregates
+    daily = (framed.withColumn("_arrival", order.key(framed, F.col("_day"), 86_400_000_000)).groupBy(*keys, "_day")
+             .agg(pick_by(value, "_arrival").alias(value), pick(order.time).alias("_at")))
     return (daily.groupBy(*keys)
             .agg(pick_by(value, "_at").alias(value), pick("_at").alias(order.time)))

@@ -1,6 +1,8 @@
 """Order-sensitive operators against plain Python, on skewed data."""
 
+import math
 import random
+import struct
 from datetime import datetime, timedelta
 
 import pytest
@@ -9,7 +11,8 @@ from pyspark.sql import Window
 
 from tapewatch.operators import ordering, quantiles
 from tapewatch.operators.ordering import ArrivalOrder
-from tapewatch.operators.windows import window_stats
+from tapewatch.functions.scalars import order_code
+from tapewatch.operators.windows import merge_fragments, window_fragments, window_stats
 from tapewatch.streaming.windows import BROKER_ORDER
 
 T0 = datetime(2024, 5, 1)
@@ -127,3 +130,51 @@ def test_null_keys_are_keys(spark):
     assert ordering.keyed_index(df, ["symbol"], ["event_time"], "n").count() == 6
     assert {r.id for r in ordering.last_n(df, ["symbol"], ORDER, 2).collect()} == {2, 3, 4, 5}
     assert ordering.trailing_rows(df, ["symbol"], ["event_time"], 2, {"m": F.avg("price")}).count() == 6
+
+
+def test_order_code_sorts_as_doubles_do(spark):
+    rnd = random.Random(9)
+    edges = [0.0, 5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, 1.0, 0.1, float("inf")]
+    edges += [2.0**e for e in range(-1074, 1024, 37)] + [math.nextafter(2.0**e, side) for e in range(-1070, 1023, 41) for side in (0, math.inf)]
+    edges += [struct.unpack("<d", struct.pack("<Q", rnd.getrandbits(63)))[0] for _ in range(3000)] + [67543.21 + i * 0.01 for i in range(500)]
+    values = sorted({s * v for v in edges if not math.isnan(v) for s in (1, -1)})
+    rows = spark.createDataFrame([(v,) for v in values], "x double").select("x", order_code("x").alias("c")).collect()
+    codes = [r.c for r in sorted(rows, key=lambda r: r.x)]
+    assert codes == sorted(set(codes))
+    bits = {v: struct.unpack("<q", struct.pack("<d", abs(v)))[0] for v in values}
+    assert all(r.c == (bits[r.x] if r.x > 0 else -bits[r.x]) for r in rows)
+    last = spark.createDataFrame([(float("nan"),), (None,), (-0.0,)], "x double").select(order_code("x").alias("c")).collect()
+    assert [r.c for r in last] == [max(codes) + 1, None, 0]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("kind", ["double", "float", "long"])
+def test_default_order_aggregates_by_hash(spark, skewed, kind):
+    trades = skewed.select("symbol", "event_time", "id", F.col("price").cast(kind).alias("price"), F.lit(1.0).alias("quantity"))
+    trades = trades.unionByName(trades.withColumn("price", -F.col("price"))).unionByName(trades.limit(5).withColumn("price", F.lit(None).cast(kind)))
+    stats = window_stats(trades, "1 day", "12 hours")
+    assert "HashAggregate" in plan_of(stats) and "SortAggregate" not in plan_of(stats)
+    assert plan_of(stats).count("Exchange hashpartitioning") == 1
+    plain = (trades.withColumn("w", F.window("event_time", "1 day", "12 hours")).groupBy("symbol", "w")
+             .agg(F.min_by("price", F.struct("event_time", "price")).alias("a"), F.max_by("price", F.struct("event_time", "price")).alias("b")))
+    want = sorted((r.symbol, r.w.start, str(r.a), str(r.b)) for r in plain.collect())
+    assert sorted((r.symbol, r.window_start, str(r.price_first), str(r.price_last)) for r in stats.collect()) == want
+
+
+@pytest.mark.parametrize("order", [ArrivalOrder(), ORDER, ArrivalOrder("event_time", ()), BROKER_ORDER, ArrivalOrder("event_time", ("id", "price"))])
+def test_merged_fragments_aggregate_by_hash(spark, skewed, order):
+    trades = skewed.withColumns({"quantity": F.lit(1.0), "batch": F.col("id") % 7, "partition": (F.col("id") % 3).cast("int"), "offset": F.col("id")})
+    merged = merge_fragments(window_fragments(trades, "batch", "1 day", "12 hours", order), "batch", order=order)
+    fits = order.tiebreak != ("id", "price")
+    assert ("SortAggregate" not in plan_of(merged)) == fits
+    rows = lambda df: sorted((r.symbol, r.window_start, r.trade_count, r.price_first, r.price_last, round(r.price_avg, 9)) for r in df.collect())
+    whole = window_stats(trades, "1 day", "12 hours", order=order)
+    if order.tiebreak:
+        assert rows(merged) == rows(whole)
+    spreads = {(r.symbol, r.window_start): r.price_variance for r in whole.collect()}
+    for r in merged.collect():
+        want = spreads[r.symbol, r.window_start]
+        assert r.price_variance == (want if want is None else pytest.approx(want, rel=1e-12))
