@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tapewatch.functions.scalars import unpack_vector
+from tapewatch.operators.quantiles import rank_error, sketch_writer, stream_threshold
 from tapewatch.operators.windows import merge_fragments, window_features, window_stats
 from tapewatch.plans import flow
 from tapewatch.plans.catalog.base import (EVENT_FEATURES, EVENT_STATS, EVENT_STATS_OF, FEATURE_COLUMNS, SIZE, SLIDE,
@@ -200,3 +201,17 @@ def _(spark, sf):
     publish_batch(of(4), path, 4)
     rows = read_published(spark, path).groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("price"), 4).alias("total"))
     return rows
+
+
+@query("stream_threshold", "SELECT 4::BIGINT AS batches, count(*) AS rows, true AS within FROM events")
+def _(spark, sf):
+    """A sketch per batch; merged, their percentile is off by the rank error at most."""
+    folder, path = fresh_path(spark, "sketched-files"), fresh_path(spark, "sketches")
+    trades = events_trades(spark, sf)
+    encode_trades(trades).repartition(4).write.text(folder)
+    live = trade_stream(spark, FileSource(folder, max_files_per_trigger=1))
+    run.run_foreach_batch(live, sketch_writer(path, "price"), f"{path}-checkpoint", interval=None).awaitTermination()
+    found, price, rows, error = stream_threshold(spark, path, 0.95), F.col("price"), F.count(F.lit(1)), rank_error()
+    batches = read_published(spark, path).count()
+    return trades.agg(F.lit(batches).cast("long").alias("batches"), rows.alias("rows"), (
+        (F.count_if(price < found) <= rows * (0.95 + error)) & (F.count_if(price <= found) >= rows * (0.95 - error))).alias("within"))

@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from tapewatch.functions import frames
 from tapewatch.operators import joins, summaries
-from tapewatch.operators.quantiles import exact_percentile, percentile_threshold
+from tapewatch.operators.quantiles import (exact_percentiles, merge_sketches, percentile_threshold, rank_error,
+                                          sketch_percentile, sketch_values)
 from tapewatch.plans.catalog.base import (EVENT_FEATURES, EVENT_STATS, LINE_TRADES, SIZE, SLIDE, TRADES, features,
                                           query, r, stats, table)
 from tapewatch.plans.catalog.models import LABELED_SQL, SCORED_SQL, labeled, scored
 from tapewatch.plans.catalog.windows import ASOF, ASOF_SQL
+from tapewatch.session import settle
 from tapewatch.sources.tables import events_trades, lineitem_trades
 
 
@@ -47,7 +49,7 @@ def _(spark, sf):
   round(quantile_cont(value, 0.5), 6) AS p50 FROM events""")
 def _(spark, sf):
     trades = events_trades(spark, sf).select("price")
-    p95, p50 = (exact_percentile(trades, "price", q) for q in (0.95, 0.5))
+    p95, p50 = exact_percentiles(trades, "price", [0.95, 0.5])
     return spark.range(1).select(F.lit(p95).alias("p95"), F.lit(p50).alias("p50"))
 
 
@@ -55,7 +57,7 @@ def _(spark, sf):
   round(quantile_cont(l_extendedprice, 0.5), 6) AS p50 FROM lineitem""")
 def _(spark, sf):
     prices = table(spark, sf, "lineitem").select("l_extendedprice")
-    p95, p50 = (exact_percentile(prices, "l_extendedprice", q) for q in (0.95, 0.5))
+    p95, p50 = exact_percentiles(prices, "l_extendedprice", [0.95, 0.5])
     return spark.range(1).select(F.lit(p95).alias("p95"), F.lit(p50).alias("p50"))
 
 
@@ -74,6 +76,32 @@ def _(spark, sf):
     return lines.agg(n.alias("rows"), ((F.count_if(price < found) <= n * 0.96) & (F.count_if(price <= found) >= n * 0.94)).alias("within"))
 
 
+def _daily_sketches(spark, sf):
+    """One sketch of the prices of each day, as a table that grows by a row a day."""
+    days = table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("day"), "l_extendedprice")
+    return settle(sketch_values(days, "l_extendedprice", ["day"]), "sketches")
+
+
+@query("percentile_of_merged_sketches", """SELECT count(*) AS rows, count(*) AS sketched, true AS within FROM lineitem""")
+def _(spark, sf):
+    """The rank of what merged daily sketches answer is off by their rank error at most."""
+    sketches, prices = _daily_sketches(spark, sf), table(spark, sf, "lineitem")
+    (found,) = sketch_percentile(sketches, 0.95)
+    (n,) = merge_sketches(sketches).select("n").first()
+    price, rows, error = F.col("l_extendedprice"), F.count(F.lit(1)), rank_error()
+    return prices.agg(rows.alias("rows"), F.lit(n).alias("sketched"), (
+        (F.count_if(price < found) <= rows * (0.95 + error)) & (F.count_if(price <= found) >= rows * (0.95 - error))).alias("within"))
+
+
+@query("percentile_exact_by_sketches", """SELECT round(quantile_cont(l_extendedprice, 0.95), 6) AS p95,
+  round(quantile_cont(l_extendedprice, 0.01), 6) AS p01 FROM lineitem""")
+def _(spark, sf):
+    """Stored sketches spare the first scan."""
+    prices = table(spark, sf, "lineitem").select("l_extendedprice")
+    p95, p01 = exact_percentiles(prices, "l_extendedprice", [0.95, 0.01], accuracy=1_000, sketches=_daily_sketches(spark, sf))
+    return spark.range(1).select(F.lit(p95).alias("p95"), F.lit(p01).alias("p01"))
+
+
 @query("windows_per_symbol", f"WITH {EVENT_STATS} SELECT symbol, count(*) AS windows FROM stats GROUP BY 1")
 def _(spark, sf):
     return summaries.windows_per_symbol(stats(spark, sf))

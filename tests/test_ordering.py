@@ -90,7 +90,7 @@ def test_extreme_by(skewed, last):
 @pytest.mark.parametrize("q", [0.0, 0.05, 0.5, 0.95, 0.999, 1.0])
 @pytest.mark.parametrize("shape", ["spread", "one value holds a third", "few values"])
 def test_exact_percentile(spark, monkeypatch, q, shape):
-    monkeypatch.setattr(quantiles, "_SMALL", 50)  # force the bracketing rounds
+    monkeypatch.setattr(quantiles, "CELLS", 8)  # several rounds
     v = {"spread": F.rand(1) * 1000, "few values": F.floor(F.rand(1) * 3).cast("double"),
          "one value holds a third": F.when(F.rand(2) < 0.33, 500.0).otherwise(F.rand(1) * 1000)}[shape]
     df = spark.range(5000).select(v.alias("v")).union(spark.range(1).select(F.lit(None).cast("double"))).cache()
@@ -178,3 +178,40 @@ def test_merged_fragments_aggregate_by_hash(spark, skewed, order):
     for r in merged.collect():
         want = spreads[r.symbol, r.window_start]
         assert r.price_variance == (want if want is None else pytest.approx(want, rel=1e-12))
+
+
+def test_percentiles_of_extreme_values(spark):
+    values = [-math.inf, -1e308, -5e-324, -0.0, 0.0, 5e-324, 1.0, math.nextafter(1.0, 2), 1e308, math.inf] * 3
+    df = spark.createDataFrame([(v,) for v in [*values, math.nan, None]], "v double")
+    n, ordered = len(values), sorted(values)
+    got = quantiles.exact_percentiles(df, "v", [i / (n - 1) for i in range(n)], accuracy=100)
+    assert got == pytest.approx(ordered, rel=0, abs=0)
+    assert quantiles.exact_percentiles(df.limit(0), "v", [0.5]) is None
+    assert quantiles.exact_percentile(df.filter("isnan(v)"), "v", 0.5) is None
+
+
+def test_two_scans_are_enough(spark, tmp_path):
+    df = spark.range(200_000).select((F.col("id") * 7919 % 200_003).cast("double").alias("v")).repartition(3)
+    scans = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            scans.add(batch.num_rows)
+            yield batch
+    found = quantiles.exact_percentiles(df.mapInArrow(seen, "v double"), "v", [0.95, 0.1])
+    assert found == pytest.approx([df.agg(F.percentile("v", q)).first()[0] for q in (0.95, 0.1)], rel=1e-12)
+    assert scans.value <= 2 * 200_000
+
+
+def test_merged_sketches_keep_their_error(spark):
+    df = spark.range(300_000).select((F.col("id") % 40).alias("day"), F.pow(F.rand(4), 5).alias("v"))
+    df = df.unionByName(spark.createDataFrame([(50, None), (51, math.nan)], "day long, v double")).cache()
+    sketches = quantiles.sketch_values(df, "v", ["day"], size=256).cache()
+    assert sketches.count() == 42 and sketches.filter("n = 0").count() == 2
+    assert quantiles.merge_sketches(sketches).first().n == 300_000
+    for q, v in zip((0.0, 0.05, 0.5, 0.95, 1.0), quantiles.sketch_percentile(sketches, [0.0, 0.05, 0.5, 0.95, 1.0])):
+        below = df.filter((F.col("v") <= v) & ~F.isnan("v")).count() / 300_000
+        assert abs(below - q) <= 2 * quantiles.rank_error(256)
+    assert quantiles.sketch_percentile(sketches.limit(0), 0.5) is None
+    exact = quantiles.exact_percentile(df, "v", 0.95, accuracy=100, sketches=sketches)
+    assert exact == pytest.approx(df.filter(~F.isnan("v")).agg(F.percentile("v", 0.95)).first()[0], rel=1e-12)
