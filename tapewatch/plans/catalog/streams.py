@@ -8,13 +8,15 @@ from tapewatch.functions.scalars import unpack_vector
 from tapewatch.operators.quantiles import rank_error, sketch_writer, stream_threshold
 from tapewatch.operators.windows import merge_fragments, window_features, window_stats
 from tapewatch.plans import flow
-from tapewatch.plans.catalog.base import (EVENT_FEATURES, EVENT_STATS, EVENT_STATS_OF, FEATURE_COLUMNS, SIZE, SLIDE,
-                                          STAT_COLUMNS, TRADES, query)
-from tapewatch.plans.catalog.models import _fitted, _differing
-from tapewatch.session import fresh_path
+from tapewatch.plans.catalog.base import (EVENT_FEATURES, EVENT_STATS, EVENT_STATS_OF, FEATURE_COLUMNS, NULL_TRADES, SIZE,
+                                          SLIDE, STAT_COLUMNS, TRADES, query)
+from tapewatch.plans.catalog.models import LABELED_SQL, _differing, _fitted, labeled
+from tapewatch.plans.catalog.windows import _null_symbols
+from tapewatch.session import fresh_path, settle
 from tapewatch.sources.published import compact_published, publish_batch, read_published
 from tapewatch.sources.tables import EVENTS_ORDER, events_trades
 from tapewatch.sources.trades import FileSource, encode_trades, trade_stream
+from tapewatch.streaming import live as live_views
 from tapewatch.streaming import run, windows
 from tapewatch.streaming.progress import ProgressTable, read_progress
 from tapewatch.streaming.state import open_windows
@@ -215,3 +217,42 @@ def _(spark, sf):
     batches = read_published(spark, path).count()
     return trades.agg(F.lit(batches).cast("long").alias("batches"), rows.alias("rows"), (
         (F.count_if(price < found) <= rows * (0.95 + error)) & (F.count_if(price <= found) >= rows * (0.95 - error))).alias("within"))
+
+
+@query("stream_last_n", f"""WITH {NULL_TRADES}
+SELECT event_id, symbol, round(price, 6) AS price FROM trades
+QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY event_time DESC, event_id DESC) <= 50""")
+def _(spark, sf):
+    """Newest trades kept in state over four batches and a restart."""
+    trades, inbox, path = _null_symbols(spark, sf), fresh_path(spark, "newest-inbox"), fresh_path(spark, "newest")
+    schema = trades.select("symbol", "price", "event_time", "event_id").schema
+    for half in (F.col("event_id") % 2 == 0, F.col("event_id") % 2 == 1):
+        trades.select(schema.names).filter(half).repartition(2).write.mode("append").parquet(inbox)
+        live = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+        newest = live_views.keep_newest(live, 50, EVENTS_ORDER, salts=4)
+        (newest.writeStream.outputMode("update").format("noop").option("checkpointLocation", f"{path}-checkpoint")
+         .trigger(availableNow=True).start().awaitTermination())
+    return live_views.newest_trades(spark, f"{path}-checkpoint", 50, EVENTS_ORDER).select("event_id", "symbol", "price")
+
+
+@query("stream_trades_in_windows", f"""WITH {LABELED_SQL}
+SELECT p.event_id, p.symbol, epoch(p.ws)::BIGINT AS window_start, l.label_binary AS prediction
+FROM placed p JOIN labeled l ON p.symbol = l.symbol AND epoch(p.ws)::BIGINT = l.window_start""")
+def _(spark, sf):
+    """Trades and the predictions of their windows arrive in four steps, each prediction after its window has ended."""
+    trades = events_trades(spark, sf).select("symbol", "event_time", "event_id")
+    flags = settle(labeled(spark, sf).select("symbol", "window_start", "window_end", F.col("label_binary").alias("prediction"),
+                                             F.col("distance_to_centroid").alias("probability")), "flags")
+    inbox, told, path = (fresh_path(spark, n) for n in ("live-trades", "live-predictions", "live-joined"))
+    at = F.unix_micros("event_time")
+    lo, hi = trades.agg(F.min(at), F.max(at)).first()
+    step = (hi - lo) // 4 + 1
+    reached = lambda c, i: F.least(F.floor((F.unix_micros(c) - lo) / step), F.lit(4)) == i
+    for i in range(5):  # a window ends after its last trade
+        trades.filter(reached("event_time", i)).coalesce(1).write.mode("append").parquet(inbox)
+        flags.filter(reached("window_end", i)).coalesce(1).write.mode("append").parquet(told)
+    live = spark.readStream.schema(trades.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    predictions = spark.readStream.schema(flags.schema).option("maxFilesPerTrigger", 1).parquet(told)
+    joined = live_views.stream_trades_in_windows(live, predictions, SIZE, SLIDE, DELAY)
+    run.run_to_parquet(joined, path, f"{path}-checkpoint", interval=None).awaitTermination()
+    return spark.read.parquet(path).select("event_id", "symbol", "window_start", "prediction")

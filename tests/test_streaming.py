@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 import subprocess
 import sys
 import threading
@@ -14,12 +15,16 @@ from pyspark.sql import functions as F
 
 from tapewatch.operators import runmetrics
 from tapewatch.operators.classify import load_clusters
+from tapewatch.operators.joins import trades_in_windows
+from tapewatch.operators.ordering import ArrivalOrder
+from tapewatch.operators.series import last_n_per_symbol
 from tapewatch.operators.windows import merge_fragments, window_stats
 from tapewatch.plans import flow
 from tapewatch.sources import published
 from tapewatch.sources.sinks import append_parquet
 from tapewatch.sources.trades import FileSource, KafkaSource, trade_batch, trade_stream
 from tapewatch.streaming import run, state, windows
+from tapewatch.streaming.live import keep_newest, newest_trades, state_rows, stream_trades_in_windows
 from tapewatch.streaming.progress import ProgressTable, read_progress
 
 BASE = int(datetime(2024, 5, 1, 12, tzinfo=timezone.utc).timestamp() * 1000)
@@ -296,6 +301,7 @@ sys.path.insert(0, sys.argv[1])
 from pyspark.sql import SparkSession
 from tapewatch.sources.trades import FileSource, trade_stream
 from tapewatch.streaming import run, windows
+from tapewatch.streaming.live import keep_newest, newest_trades, state_rows, stream_trades_in_windows
 from tapewatch.streaming.progress import ProgressTable
 spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC")
          .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", "file://" + sys.argv[3])
@@ -384,3 +390,69 @@ def test_no_job_reads_back_what_was_published(spark, tmp_path):
         assert len(tracker.getJobIdsForGroup("publish")) == 1
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+# ---- live views -------------------------------------------------------------------------------
+
+def placed_rows(df):
+    return sorted((r.symbol, r.event_time, r.price, r.window_start, r.window_end, r.prediction) for r in df.collect())
+
+
+@pytest.mark.parametrize("size, slide", [("1 minute", "30 seconds"), ("50 seconds", "20 seconds")])
+def test_trades_meet_predictions_live(spark, folder, tmp_path, size, slide):
+    told = tmp_path / "told"
+    schema = "symbol string, window_start timestamp, window_end timestamp, prediction double, probability double"
+    for i in range(6):
+        folder.add(*[(s, float(i), 60 * i + t) for t in range(0, 60, 7) for s in "AB"])
+    trades = trade_batch(spark, folder.source)
+    every = window_stats(trades, size, slide).select(
+        "symbol", "window_start", "window_end", (F.col("trade_count") % 2).cast("double").alias("prediction"), F.lit(0.5).alias("probability"))
+    every = every.filter("symbol = 'A'").cache()  # B has no predictions
+    end = F.unix_millis("window_end") - BASE
+    for i in range(8):  # the predictions of a step come one step later
+        part = every.filter((end > 60_000 * (i - 1)) & (end <= 60_000 * i)).coalesce(1)
+        part.write.mode("append").parquet(str(told))
+        time.sleep(0.05)
+    live = trade_stream(spark, folder.source)
+    predictions = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(told))
+    out = str(tmp_path / "joined")
+    q = run.run_to_parquet(stream_trades_in_windows(live, predictions, size, slide), out, str(tmp_path / "ck"), interval=None)
+    q.awaitTermination()
+    assert placed_rows(spark.read.parquet(out)) == placed_rows(trades_in_windows(trades, every, size, slide))
+    # 108 trades in two or three windows each went in; only those near the watermark are left
+    assert 0 < state_rows(q) < 150
+
+
+def newest_rows(df):
+    return sorted((str(r.symbol), r.event_time, r.price, r.id) for r in df.collect())
+
+
+def test_newest_trades_after_each_batch_and_a_restart(spark, tmp_path):
+    rnd = random.Random(4)
+    schema = "symbol string, event_time timestamp, price double, id long"
+    order, inbox, ck, seen = ArrivalOrder("event_time", ("id",)), str(tmp_path / "in"), str(tmp_path / "ck"), []
+    for batch in range(5):
+        part = [("HOT" if rnd.random() < 0.7 else rnd.choice(["A", "B", None]),
+                 datetime.fromtimestamp(BASE / 1000 + rnd.randrange(300), timezone.utc).replace(tzinfo=None), rnd.random(),
+                 None if rnd.random() < 0.1 else batch * 1000 + i) for i in range(rnd.choice([3, 200]))]
+        seen += part
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(inbox)
+        live = spark.readStream.schema(schema).parquet(inbox)
+        q = (keep_newest(live, 10, order, salts=3).writeStream.outputMode("update").format("noop")
+             .option("checkpointLocation", ck).trigger(availableNow=True).start())  # each batch is a restart too
+        q.awaitTermination()
+        want = last_n_per_symbol(spark.createDataFrame(seen, schema), 10, order)
+        got = newest_rows(newest_trades(spark, ck, 10, order).fillna(-1, ["id"]))
+        assert got == newest_rows(want.fillna(-1, ["id"]))
+    state = spark.read.format("statestore").option("stateVarName", "newest").load(ck)
+    assert max(r["count"] for r in state.groupBy("key").count().collect()) <= 20
+
+
+def test_idle_symbols_are_forgotten(spark, folder, tmp_path):
+    ck = str(tmp_path / "ck")
+    folder.add(("A", 1.0, 0), ("B", 1.0, 0)).add(("B", 2.0, 100)).add(("B", 3.0, 400)).add(("B", 4.0, 401))
+    q = (keep_newest(trade_stream(spark, folder.source), 5, salts=1, idle="2 minutes").writeStream.outputMode("update").format("noop")
+         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    kept = {(r.symbol, r.price) for r in newest_trades(spark, ck, 5).collect()}
+    assert ("A", 1.0) not in kept and {("B", 3.0), ("B", 4.0)} <= kept
