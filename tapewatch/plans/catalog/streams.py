@@ -15,7 +15,7 @@ from tapewatch.plans.catalog.windows import _null_symbols
 from tapewatch.session import fresh_path, settle
 from tapewatch.sources.published import compact_published, publish_batch, read_published
 from tapewatch.sources.tables import EVENTS_ORDER, events_trades
-from tapewatch.sources.trades import FileSource, encode_trades, trade_stream
+from tapewatch.sources.trades import FileSource, dead_letters, decode_checked, encode_trades, trade_stream, trades_of
 from tapewatch.streaming import live as live_views
 from tapewatch.streaming import run, windows
 from tapewatch.streaming.progress import ProgressTable, read_progress
@@ -256,3 +256,42 @@ def _(spark, sf):
     joined = live_views.stream_trades_in_windows(live, predictions, SIZE, SLIDE, DELAY)
     run.run_to_parquet(joined, path, f"{path}-checkpoint", interval=None).awaitTermination()
     return spark.read.parquet(path).select("event_id", "symbol", "window_start", "prediction")
+
+
+#: what becomes of a message by its number
+BROKEN = """broken AS (SELECT *, CASE WHEN event_id % 11 = 0 THEN 'no JSON object' WHEN event_id % 13 = 0 THEN 'without price'
+  WHEN event_id % 17 = 0 THEN 'without symbol, timestamp' WHEN event_id % 19 = 0 THEN 'not finite: price' END AS reason FROM trades)"""
+
+
+def _messages(spark, sf):
+    """JSON trades with their number, some cut off, some without a field, some with a price that is no number."""
+    number, text = F.col("event_id"), F.col("value")
+    value = (F.when(number % 11 == 0, F.substring(text, 1, 12))
+             .when(number % 13 == 0, F.regexp_replace(text, '"price":', '"cost":'))
+             .when(number % 17 == 0, F.regexp_replace(text, '"symbol":|"timestamp":', '"x":'))
+             .when(number % 19 == 0, F.regexp_replace(text, '"price":[^,]+', '"price":"NaN"')).otherwise(text))
+    return encode_trades(events_trades(spark, sf), keep=["event_id"]).withColumn("value", value)
+
+
+@query("dead_letters", f"WITH {TRADES}, {BROKEN} SELECT event_id, reason, reason = 'no JSON object' AS cut FROM broken WHERE reason IS NOT NULL")
+def _(spark, sf):
+    letters = dead_letters(decode_checked(_messages(spark, sf), keep=["event_id"]))
+    return letters.select("event_id", "reason", (F.length("text") == 12).alias("cut"))
+
+
+@query("checked_trades", f"""WITH {TRADES}, {BROKEN} SELECT event_id, symbol, round(price, 6) AS price, round(quantity, 6) AS quantity
+FROM broken WHERE reason IS NULL AND quantity IS NOT NULL""")
+def _(spark, sf):
+    return trades_of(decode_checked(_messages(spark, sf), keep=["event_id"])).select("event_id", "symbol", "price", "quantity")
+
+
+@query("stream_dead_letters", f"""WITH {TRADES}, {BROKEN} SELECT coalesce(reason, 'a trade') AS what, count(*) AS messages,
+  sum(event_id)::BIGINT AS numbers FROM broken GROUP BY 1""")
+def _(spark, sf):
+    inbox, path = fresh_path(spark, "messages"), fresh_path(spark, "checked")
+    messages = _messages(spark, sf).repartition(4)
+    messages.write.parquet(inbox)
+    live = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    run.run_foreach_batch(live, windows.message_writer(path, ["event_id"]), f"{path}-checkpoint", interval=None).awaitTermination()
+    return (read_published(spark, path).groupBy(F.coalesce("reason", F.lit("a trade")).alias("what"))
+            .agg(F.count(F.lit(1)).alias("messages"), F.sum("event_id").alias("numbers")))

@@ -12,7 +12,8 @@ from tapewatch.plans.catalog.base import (EVENT_FEATURES, EVENT_STATS, LINE_TRAD
                                           query, r, stats, table)
 from tapewatch.plans.catalog.models import LABELED_SQL, SCORED_SQL, labeled, scored
 from tapewatch.plans.catalog.windows import ASOF, ASOF_SQL
-from tapewatch.session import settle
+from tapewatch.session import fresh_path, settle
+from tapewatch.sources.bucketed import write_bucketed
 from tapewatch.sources.tables import events_trades, lineitem_trades
 
 
@@ -292,19 +293,34 @@ def _(spark, sf):
             .select("event_id", "symbol", "price"))
 
 
-@query("overlay_anomalies", f"""WITH {LABELED_SQL},
+OVERLAY_SQL = f"""WITH {LABELED_SQL},
 flags AS (SELECT symbol, window_start, label = 'anomalo' AS is_anomaly, distance_to_centroid FROM labeled
           WHERE trade_count >= 2)
 SELECT s.symbol, s.window_start, round(price_avg, 6) AS price_avg, coalesce(is_anomaly, false) AS is_anomaly,
-  round(distance_to_centroid, 6) AS probability FROM stats s LEFT JOIN flags USING (symbol, window_start)""")
-def _(spark, sf):
-    flagged = labeled(spark, sf).filter("trade_count >= 2").select(
+  round(distance_to_centroid, 6) AS probability FROM stats s LEFT JOIN flags USING (symbol, window_start)"""
+
+
+def _flagged_windows(spark, sf):
+    return labeled(spark, sf).filter("trade_count >= 2").select(
         "symbol", "window_start", F.col("label_binary").alias("prediction"),
         F.col("distance_to_centroid").alias("probability"))
+
+
+@query("overlay_anomalies", OVERLAY_SQL)
+def _(spark, sf):
+    flagged = _flagged_windows(spark, sf)
     return (joins.overlay_anomalies(stats(spark, sf), flagged)
             .select("symbol", "window_start", "price_avg", "is_anomaly", "probability"))
 
 
+@query("overlay_anomalies_bucketed", OVERLAY_SQL)
+def _(spark, sf):
+    """The same from two stored tables that share their buckets."""
+    prices = write_bucketed(stats(spark, sf), fresh_path(spark, "bucketed-windows"), 8)
+    flagged = write_bucketed(_flagged_windows(spark, sf), fresh_path(spark, "bucketed-flags"), 8)
+    return joins.overlay_anomalies(prices, flagged).select("symbol", "window_start", "price_avg", "is_anomaly", "probability")
+
+
 @query("trades_in_windows", f"""WITH {LABELED_SQL}
 SELECT p.event_id, p.symbol, epoch(p.ws)::BIGINT AS window_start, l.label_binary AS prediction
 FROM placed p JOIN labeled l ON p.symbol = l.symbol AND epoch(p.ws)::BIGINT = l.window_start""")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapewatch.functions.scalars import norm_symbol, number, once, text, whole_number
+from tapewatch.functions.scalars import finite, norm_symbol, number, once, text, whole_number
 from tapewatch.operators.lookup import lookup
 from tapewatch.schema import MAX_OFFSETS_PER_TRIGGER, TRADE_SCHEMA
 
@@ -61,12 +61,54 @@ def decode_trades(messages: DataFrame, column: str = "value", keep: Sequence[str
     """JSON text or bytes to trade columns.
 
     Text that is no JSON gives an all-null row, a bad field gives a null field and unknown
-    keys are ignored. ``keep`` passes message columns on, e.g. the broker's ``offset``.
+    keys are ignored; ``decode_checked`` tells such messages apart. ``keep`` passes message columns on, e.g. the broker's ``offset``.
     """
     trade = F.from_json(text(column), TRADE_SCHEMA).alias("trade")
     return messages.select(*keep, trade).select(*keep, "trade.*")
 
 
+#: fields without which a message is no trade
+REQUIRED = ("symbol", "price", "quantity", "timestamp")
+
+
+def decode_checked(messages: DataFrame, column: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """Every message as a trade or as a dead letter, decoded once: the trade's fields, ``reason`` and ``text``.
+
+    ``reason`` is null for a trade. Otherwise it says what is wrong: no text, no JSON object, fields that are missing or
+    unreadable, prices or quantities that are no finite numbers, or text after the object; ``text`` is then the message
+    as it came, ``keep`` its other columns, e.g. the broker's ``offset``. No message is lost.
+    """
+    schema = T.StructType([*TRADE_SCHEMA.fields, T.StructField("_broken", T.StringType())])
+    whole = text(column)
+    parsed = messages.select(*keep, whole.alias("text"),
+                             once(F.from_json(whole, schema, {"columnNameOfCorruptRecord": "_broken"})).alias("_t"))
+    field = lambda name: F.col(f"_t.{name}")
+    lost = F.concat_ws(", ", *[F.when(field(c).isNull(), F.lit(c)) for c in REQUIRED])
+    odd = F.concat_ws(", ", *[F.when(finite(field(c)).isNull(), F.lit(c)) for c in ("price", "quantity")])
+    nothing = [field(c).isNull() for c in TRADE_SCHEMA.fieldNames()]
+    empty = nothing[0]
+    for part in nothing[1:]:
+        empty = empty & part
+    reason = (F.when(F.col("text").isNull(), "no text")
+              .when(F.col("_t").isNull() | (empty & field("_broken").isNotNull()), "no JSON object")
+              .when(lost != "", F.concat(F.lit("without "), lost))
+              .when(odd != "", F.concat(F.lit("not finite: "), odd))
+              .when(field("_broken").isNotNull(), "broken JSON"))
+    return (parsed.withColumn("reason", reason)
+            .select(*keep, *[field(c).alias(c) for c in TRADE_SCHEMA.fieldNames()], "reason",
+                    F.when(F.col("reason").isNotNull(), F.col("text")).alias("text")))
+
+
+def trades_of(checked: DataFrame) -> DataFrame:
+    """The trades of ``decode_checked``, or of a table it was written to, with their event time."""
+    return with_event_time(checked.filter(F.col("reason").isNull()).drop("reason", "text"))
+
+
+def dead_letters(checked: DataFrame) -> DataFrame:
+    """The other messages: what was kept of them, their text and the reason."""
+    return checked.filter(F.col("reason").isNotNull()).drop(*TRADE_SCHEMA.fieldNames())
+
+
 def with_event_time(trades: DataFrame) -> DataFrame:
     return trades.withColumn("event_time", F.timestamp_millis("timestamp"))
 

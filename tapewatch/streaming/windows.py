@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -14,6 +14,7 @@ from tapewatch.operators.ordering import ArrivalOrder
 from tapewatch.operators.windows import window_features, window_stats
 from tapewatch.schema import WATERMARK_DELAY, WINDOW_SIZE, WINDOW_SLIDE
 from tapewatch.sources.published import publish_batch
+from tapewatch.sources.trades import decode_checked
 
 log = logging.getLogger(__name__)
 
@@ -69,6 +70,15 @@ def fragment_scorer(model: PipelineModel, path: str, size: str = WINDOW_SIZE, sl
     return write
 
 
+def message_writer(path: str, keep: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
+    """Callback for raw messages: decodes each once and publishes trades and dead letters in one table, which
+    ``trades_of`` and ``dead_letters`` part again."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            log.info("published %s", publish_batch(decode_checked(batch, keep=keep), path, batch_id).folder)
+    return write
+
+
 def closed_windows(stats: DataFrame, trades: DataFrame, delay_seconds: int) -> DataFrame:
     """Batch windows that a stream over the same trades has emitted by its end."""
     mark = trades.select((F.max(F.unix_micros("event_time")) / 1000).cast("long")
