@@ -4,7 +4,8 @@ Each shard keeps the Burrows-Wheeler transform of its words. The rows that begin
 interval of it; an interval at depth m lies inside that of its first m - 1 words, and its rows go
 one step on into that of its last m - 1 words. So one sweep over the rows extends every phrase to both
 sides at once. Phrases are extended only where both shorter ones are frequent in all shards together,
-and go across shards as the pair of their numbers.
+and go across shards as the pair of their numbers: each shard sends sorted, packed lists to the owners
+of hash buckets, which sum them and answer with the intervals of the frequent ones.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapewatch.llm.common import Scratch, bytes_and_offsets, lean, table
+from tapewatch.llm.common import Scratch, bytes_and_offsets, lean, mix64, table
 from tapewatch.llm.files import Reader, create
 from tapewatch.llm.tokens import split_batch
 from tapewatch.session import parallelism
@@ -25,6 +26,8 @@ from tapewatch.session import parallelism
 LONGEST, LEAST, SHARE, FIRST = 4, 30, 80, 2000
 #: a shard is closed when it has so many words; it bounds the memory of a task and changes no count
 SHARD_WORDS = 1 << 21
+#: words of all texts for which there is a bucket of phrases, if that makes more than there are tasks
+BUCKET_WORDS = 1 << 22
 #: What ends a piece, and what separates words besides.
 ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 _KIND = np.zeros(256, np.uint8)
@@ -149,40 +152,113 @@ def _index(docs: DataFrame, root: str) -> DataFrame:
             .mapInArrow(run, "shard long, local long, lang string, word string, found long, path string, packed long"))
 
 
-def _frequent(found: DataFrame, key: list[str], least: int) -> DataFrame:
-    """Rows of phrases found ``least`` times in all shards, with the total ``f`` and the number ``gid`` of the phrase: the
-    smallest ``code`` that a shard has for it. A phrase has a row per shard."""
-    same = Window.partitionBy(*key)
+def _frequent_words(found: DataFrame, least: int) -> DataFrame:
+    """Rows of words found ``least`` times in all shards, with the total ``f`` and the number ``gid`` of the word: the
+    smallest ``code`` that a shard has for it. A word has a row per shard."""
+    same = Window.partitionBy("lang", "word")
     return (found.withColumn("f", F.sum("found").over(same)).withColumn("gid", F.min("code").over(same))
             .filter(F.col("f") >= least))
 
 
-def _longer(files: DataFrame, shards: int, known: DataFrame, depth: int) -> DataFrame:
-    """``head, tail, code, found``: phrases of ``depth`` words in each shard, by the numbers of both shorter ones."""
+def pack_numbers(*columns: np.ndarray) -> bytes:
+    """Equally long columns of whole numbers as their byte planes, most of which are zero, compressed."""
+    planes = [np.ascontiguousarray(c.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes() for c in columns]
+    return pa.compress(b"".join(planes), "zstd", asbytes=True)
+
+
+def unpack_numbers(data, count: int, columns: int) -> list[np.ndarray]:
+    raw = np.frombuffer(pa.decompress(data, 8 * count * columns, "zstd"), np.uint8).reshape(columns, 8, count)
+    return [np.ascontiguousarray(c.T).view("<i8").ravel() for c in raw]
+
+
+def _offers(files: DataFrame, tasks: int, held: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """``bucket, shard, n, data``: the phrases of ``depth`` words of each shard, by the numbers of both shorter ones. A
+    phrase goes to the bucket of its hash; ``data`` has the numbers, in order, the counts and the intervals."""
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
         for batch in batches:
-            for shard, path, size, packed, held in zip(*[batch.column(i).to_pylist() for i in range(4)], batch.column(4)):
+            for shard, path, size, packed, known in zip(*[batch.column(i).to_pylist() for i in range(4)], batch.column(4)):
                 index = Index(np.frombuffer(pa.decompress(reader.read(path, 0, packed), 4 * size, "zstd"), np.int32))
                 for _ in range(depth - 2):
                     index.deepen()
                 numbers = np.full(index.intervals, -1, np.int64)
-                local, gid = (held.values.field(c).to_numpy() for c in ("local", "gid"))
-                numbers[local] = gid
+                for count, answer in zip(known.values.field("n").to_pylist(), known.values.field("answer")):
+                    interval, gid = unpack_numbers(answer.as_buffer(), count, 2)
+                    numbers[interval] = gid
                 interval, count, head, tail = index.extend(numbers)
-                for i in range(0, len(interval), 1 << 17):
-                    j = i + (1 << 17)
-                    yield pa.record_batch([pa.array(head[i:j]), pa.array(tail[i:j]), pa.array(shard << 32 | interval[i:j]),
-                                           pa.array(count[i:j].astype(np.int32))], ["head", "tail", "code", "found"])
+                del index, numbers
+                bucket = (mix64(mix64(head.view(np.uint64)) ^ tail.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+                order = np.lexsort((tail, head, bucket))
+                ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                for i in np.flatnonzero(np.diff(ends)).tolist():
+                    at = order[ends[i]:ends[i + 1]]
+                    data = pack_numbers(np.diff(head[at], prepend=0), tail[at], count[at], interval[at])
+                    yield pa.record_batch([pa.array([i]), pa.array([shard]), pa.array([len(at)]), pa.array([data], pa.binary())],
+                                          ["bucket", "shard", "n", "data"])
         reader.close()
 
-    # a row per shard, of a bounded number of its phrases
-    held = (known.groupBy(F.shiftright("code", 32).alias("shard"))
-            .agg(F.collect_list(F.struct(F.col("code").bitwiseAND(0xFFFFFFFF).alias("local"), "gid")).alias("held")))
-    tasks = min(shards, 4 * parallelism(files.sparkSession))
     return (files.join(held, "shard").select("shard", "path", "size", "packed", "held").repartition(tasks, "shard")
-            .mapInArrow(run, "head long, tail long, code long, found int"))
+            .mapInArrow(run, "bucket long, shard long, n long, data binary"))
+
+
+def _merge_offers(least: int):
+    """Sums the phrases of a bucket over all shards; rows come sorted by bucket. Gives a row per frequent phrase, and per
+    shard an answer: the intervals there that hold one, with its number."""
+    def solve(bucket: int, offers: list[tuple]) -> Iterator[pa.RecordBatch]:
+        parts = [unpack_numbers(data, n, 4) for _, n, data in offers]
+        head = np.concatenate([np.cumsum(p[0]) for p in parts])
+        tail, count, interval = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3))
+        shard = np.repeat(np.array([o[0] for o in offers], np.int64), [o[1] for o in offers])
+        order = np.lexsort((tail, head))
+        new = (np.diff(head[order], prepend=-1) != 0) | (np.diff(tail[order], prepend=-1) != 0)
+        starts = np.flatnonzero(new)
+        f = np.add.reduceat(count[order], starts)
+        often = f >= least
+        if not often.any():
+            return
+        gid = np.where(often, (bucket << 32) + np.cumsum(often) - 1, -1)
+        first = order[starts[often]]
+        nothing = lambda n, kind=pa.int64(): pa.nulls(n, kind)
+        m = len(first)
+        yield pa.record_batch([pa.array(gid[often]), pa.array(head[first]), pa.array(tail[first]), pa.array(f[often]),
+                               nothing(m), nothing(m), nothing(m, pa.binary())], names)
+        of = np.repeat(gid, np.diff(starts, append=len(order)))
+        held = order[of >= 0]
+        of = of[of >= 0]
+        by_shard = np.lexsort((interval[held], shard[held]))
+        held, of = held[by_shard], of[by_shard]
+        cuts = np.flatnonzero(np.diff(shard[held], prepend=-1))
+        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(held)]):
+            yield pa.record_batch([*[nothing(1)] * 4, pa.array(shard[held[a:a + 1]]), pa.array([b - a]),
+                                   pa.array([pack_numbers(interval[held[a:b]], of[a:b])], pa.binary())], names)
+
+    names = ["gid", "head", "tail", "f", "shard", "n", "answer"]
+
+    @lean
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, offers = -1, []
+        for batch in batches:
+            for bucket, shard, n, data in zip(*[batch.column(i).to_pylist() for i in range(4)]):
+                if bucket != current and offers:
+                    yield from solve(current, offers)
+                    offers = []
+                current = bucket
+                offers.append((shard, n, data))
+        if offers:
+            yield from solve(current, offers)
+    return run
+
+
+def _answers_of_words(known: DataFrame) -> DataFrame:
+    """``shard, n, answer`` of frequent words, in the form that longer phrases have them."""
+    def run(key, frame):
+        import pandas as pd
+        return pd.DataFrame({"shard": [key[0]], "n": [len(frame)], "answer": [pack_numbers(
+            frame["code"].to_numpy(np.int64) & 0xFFFFFFFF, frame["gid"].to_numpy(np.int64))]})
+
+    return (known.select("code", "gid", F.shiftright("code", 32).alias("shard")).groupBy("shard")
+            .applyInPandas(run, "shard long, n long, answer binary"))  # a shard is bounded
 
 
 def phrases(docs: DataFrame, scratch: Scratch, longest: int = LONGEST, least: int = LEAST) -> tuple[list[DataFrame], DataFrame]:
@@ -196,24 +272,31 @@ def phrases(docs: DataFrame, scratch: Scratch, longest: int = LONGEST, least: in
         raise ValueError(f"an index is sorted by {LONGEST} words")
     indexed = scratch.put(_index(docs, f"{scratch.root}/index"))
     files = scratch.put(indexed.filter(F.col("path").isNotNull()).select("shard", "path", F.col("found").alias("size"), "packed"))
-    shards = max(1, files.count())
+    shards, words = files.agg(F.count(F.lit(1)), F.sum("size")).first()
+    shards = max(1, shards)
     vocabulary = indexed.filter(F.col("path").isNull())
     sizes = scratch.put(vocabulary.groupBy("lang").agg(F.sum("found").alias("n")))
     coded = vocabulary.select("lang", "word", F.expr("shiftleft(shard, 32) | local").alias("code"), "found")
-    known = scratch.put(_frequent(coded, ["lang", "word"], least))
+    known = scratch.put(_frequent_words(coded, least))
     tables = [scratch.put(known.filter("code = gid").select(
         "gid", F.lit(None).cast("long").alias("head"), F.lit(None).cast("long").alias("tail"), "lang",
         F.array("word").alias("words"), "f", F.array("f").alias("heads"), F.array("f").alias("tails")))]
-    scratch.drop(indexed)
+    answers = scratch.put(_answers_of_words(known))
+    scratch.drop(indexed, known)
+    tasks = 4 * parallelism(docs.sparkSession)
+    # a bucket is one task's work at a time, so there are more of them the more words there are
+    buckets = max(tasks, (words or 0) // BUCKET_WORDS)
     for depth in range(2, longest + 1):
-        before = known
-        known = scratch.put(_frequent(_longer(files, shards, before, depth), ["head", "tail"], least).select("code", "gid", "f", "head", "tail"))
-        scratch.drop(before)
+        held = answers.groupBy("shard").agg(F.collect_list(F.struct("n", "answer")).alias("held"))  # a row per shard, of its own phrases
+        offers = _offers(files, min(shards, tasks), held, depth, buckets)
+        merged = scratch.put(offers.repartition(max(1, buckets // 4), "bucket").sortWithinPartitions("bucket").mapInArrow(
+            _merge_offers(least), "gid long, head long, tail long, f long, shard long, n long, answer binary"))
+        answers = merged.filter(F.col("answer").isNotNull()).select("shard", "n", "answer")
         shorter = tables[-1]
         heads = shorter.select(F.col("gid").alias("head"), "lang", "words", "heads")
         tails = shorter.select(F.col("gid").alias("tail"), F.element_at("words", -1).alias("_last"), "tails")
         tables.append(scratch.put(
-            known.filter("code = gid").select("gid", "f", "head", "tail").join(heads, "head").join(tails, "tail")
+            merged.filter(F.col("gid").isNotNull()).select("gid", "f", "head", "tail").join(heads, "head").join(tails, "tail")
             .select("gid", "head", "tail", "lang", F.concat("words", F.array("_last")).alias("words"), "f",
                     F.concat("heads", F.array("f")).alias("heads"), F.concat("tails", F.array("f")).alias("tails"))))
     return tables, sizes
