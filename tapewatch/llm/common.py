@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,18 @@ def bounded_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def anonymous(docs: DataFrame, *known: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """``docs`` with its columns but the ``known`` ones under names that mean nothing, and a function that gives a table
+    its original columns back, in their order, without those named in ``but`` and with those in ``more``."""
+    names = {c: c if c in known else f"column_{i}" for i, c in enumerate(docs.columns)}
+    of = lambda c: F.col("`" + c.replace("`", "``") + "`")
+
+    def back(df: DataFrame, but: Sequence[str] = (), more: Sequence[str] = ()) -> DataFrame:
+        return df.select(*[F.col(names[c]).alias(c) for c in docs.columns if c not in but], *more)
+
+    return docs.select(*[of(c).alias(name) for c, name in names.items()]), back
+
+
 class Scratch:
     """Tables of one operator run, in the folder that ``spark.checkpoint.dir`` names.
 

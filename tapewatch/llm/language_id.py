@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapewatch.llm.common import Scratch, as_binary, bytes_and_offsets, lean, table
+from tapewatch.llm.common import Scratch, anonymous, as_binary, bytes_and_offsets, lean, table
 from tapewatch.llm.tokens import split_batch
 
 FEATURES = 4096
@@ -212,9 +212,10 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)  # a few vectors per pair of languages
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score", "_letter")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], has_letter().alias("_letter"))
-    schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField("lang_pred", T.StringType()),
+    inner, back = anonymous(docs, "text")
+    kept = inner.columns
+    rows = inner.withColumn("_letter", has_letter())
+    schema = T.StructType([*inner.schema.fields] + [T.StructField("lang_pred", T.StringType()),
                                                             T.StructField("score", T.DoubleType())])
     at = kept.index("text")
 
@@ -229,20 +230,19 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 yield pa.record_batch([*[part.column(i) for i in range(len(kept))],
                                        pa.array(names[np.where(known, chosen, -1)], pa.string()),
                                        pa.array(np.where(known, score, 0.0))], [*kept, "lang_pred", "score"])
-    return rows.mapInArrow(run, schema)
+    added = ["lang_pred", "score"]
+    return back(rows.mapInArrow(run, schema), added, added)
 
 
 def drop_unidentified(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """``docs`` without the rows whose language is ``und``; fitted on the labelled ones among them.
+    """``docs`` without the rows whose language is ``und``; fitted on the labelled ones among them. All columns stay.
 
     When nothing can be learned, only rows whose text is null or has no letter go.
     """
-    names = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    rows, model = docs.select(*[F.col(f"`{c}`") for c in names]), fit(docs, scratch)
+    (inner, back), model = anonymous(docs, "text"), fit(docs, scratch)
     if not model.languages:
-        return rows.filter(has_letter())
-    return identify(rows, model).filter(
-        F.col("lang_pred") != UNKNOWN).select(*[F.col(f"`{c}`") for c in names])
+        return docs.filter(has_letter())
+    return back(identify(inner, model).filter(F.col("lang_pred") != UNKNOWN))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

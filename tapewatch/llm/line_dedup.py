@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapewatch.llm.common import KeyFilter, Scratch, as_binary, lean, table
+from tapewatch.llm.common import KeyFilter, Scratch, anonymous, as_binary, lean, table
 
 #: lines of the rolling window, and one boundary in so many lines
 WINDOW, SPREAD = 2, 4
@@ -109,18 +109,18 @@ def repeated_chunks(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.put(later.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("number", "digest")).alias("chunks")))
 
 
-def drop_repeated_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """``docs`` without the lines of chunks that occur in an earlier place, and ``lines``, ``lines_removed``.
+def drop_repeated_lines(docs: DataFrame, scratch: Scratch, counts: bool = True) -> DataFrame:
+    """``docs`` without the lines of chunks that occur in an earlier place, and with ``counts`` ``lines``, ``lines_removed``.
 
     Lines end at line feeds. A chunk counts when it has two or more lines; its first place, by id (null
     last) and then by position, stays. Different texts under one id, or without an id, are documents of
     their own, in the order of a hash; rows equal in id and text are one and are treated alike. Null text stays null with no lines; a text whose lines all go is empty. All rows and
-    columns stay; existing columns ``lines`` and ``lines_removed`` are replaced.
+    columns stay; with ``counts`` existing columns ``lines`` and ``lines_removed`` are replaced.
     """
     repeated = repeated_chunks(docs, scratch)
     scratch.keep_only(repeated)
-    kept = [c for c in docs.columns if c not in ("lines", "lines_removed", "_chunks")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept])
+    rows, back = anonymous(docs, "doc_id", "text")
+    kept = rows.columns
     name = [F.col("doc_id").cast("long"), F.xxhash64("text")]
     may = KeyFilter(repeated.select(F.xxhash64("doc_id", "text_key").alias("key")), "key")
     affected = may.may_hold(F.xxhash64(*name))
@@ -131,13 +131,13 @@ def drop_repeated_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
     part = (rows.filter(affected).hint("merge")
             .join(named, name[0].eqNullSafe(F.col("_id")) & (name[1] == F.col("_key")), "left").drop("_id", "_key"))
     at, last = kept.index("text"), len(kept)
-    schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField("lines", T.LongType()),
+    schema = T.StructType([*rows.schema.fields] + [T.StructField("lines", T.LongType()),
                                                             T.StructField("lines_removed", T.LongType())])
 
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, counts, removed = [], [], []
+            texts, sizes, removed = [], [], []
             for text, gone in zip(batch.column(at), batch.column(last)):
                 text = text.as_py()
                 lost = 0
@@ -146,18 +146,19 @@ def drop_repeated_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
                     lines, chunks = long_chunks(text)
                     drop = [(lo, hi) for number, lo, hi, digest in chunks if (number, digest) in names]
                     lost = sum(hi - lo for lo, hi in drop)
-                    counts.append(len(lines))
+                    sizes.append(len(lines))
                     for lo, hi in reversed(drop):
                         del lines[lo:hi]
                     text = "\n".join(lines) if lost else text
                 else:
-                    counts.append(text.count("\n") + 1 if text is not None else 0)
+                    sizes.append(text.count("\n") + 1 if text is not None else 0)
                 texts.append(text)
                 removed.append(lost)
             columns = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(last)]
-            yield pa.record_batch([*columns, pa.array(counts, pa.int64()), pa.array(removed, pa.int64())],
+            yield pa.record_batch([*columns, pa.array(sizes, pa.int64()), pa.array(removed, pa.int64())],
                                   [*kept, "lines", "lines_removed"])
-    return whole.unionByName(part).mapInArrow(run, schema)
+    out, added = whole.unionByName(part).mapInArrow(run, schema), ["lines", "lines_removed"]
+    return back(out, added, added) if counts else back(out)
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

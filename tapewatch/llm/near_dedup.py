@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapewatch.llm.common import KeyFilter, SPACE_BYTES, WORD, Scratch, as_binary, bytes_and_offsets, lean, mix64, table
+from tapewatch.llm.common import KeyFilter, SPACE_BYTES, WORD, Scratch, anonymous, as_binary, bytes_and_offsets, lean, mix64, table
 from tapewatch.llm.components import components
 from tapewatch.llm.tokens import split_batch
 
@@ -358,13 +358,14 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) ->
     stay = scratch.put(named.groupBy("comp").agg(F.min("first").alias("first"))
                        .select(F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key")))
     scratch.keep_only(stay)
+    inner, back = anonymous(docs, "doc_id", "text")
     has_words = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
-    rows = docs.filter(has_words).withColumn("_text_key", F.xxhash64("text"))
+    rows = inner.filter(has_words).withColumn("_text_key", F.xxhash64("text"))
     found = rows.hint("merge").join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
                                     & (F.col("_text_key") == F.col("_key")), "left_semi")
     # rows of one id and one text are in one group
-    found = found.dropDuplicates(["doc_id", "_text_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
-    return found.unionByName(docs.filter(~has_words))
+    found = found.dropDuplicates(["doc_id", "_text_key"]).drop("_text_key")
+    return back(found.unionByName(inner.filter(~has_words)))
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
