@@ -29,8 +29,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Chunks of lines stay in the first document that has them; no document goes."""
-    cut = line_dedup.drop_repeated_lines(docs, Scratch(spark, "pipeline-lines"))
-    return _recount(cut.select(*[F.col(f"`{c}`") for c in docs.columns]))
+    return _recount(line_dedup.drop_repeated_lines(docs, Scratch(spark, "pipeline-lines"), counts=False))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
