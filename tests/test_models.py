@@ -109,3 +109,37 @@ def test_parameters_round_trip(spark, labeled, tmp_path):
 def test_training_without_anomalies_still_fits(labeled):
     model = classify.lr_fit(labeled.drop("prediction").withColumn("label_binary", F.lit(0)))
     assert classify.score(labeled.drop("prediction"), model).filter("prediction = 1").count() == 0
+
+
+def blobs(spark, n=900):
+    import random
+    rnd = random.Random(8)
+    rows = [(rnd.gauss(10 * (i % 3), 1), rnd.gauss(-5 * (i % 3), 1)) for i in range(n)]
+    return spark.createDataFrame(rows, "x double, y double")
+
+
+def test_sweep_equals_the_library(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from tapewatch.operators.cluster import kmeans_fit, silhouette_score, sweep_k
+    df = blobs(spark).cache()
+    found = sweep_k(df, ["x", "y"], (2, 3, 4, 6))
+    vectors = VectorAssembler(inputCols=["x", "y"], outputCol="scaled_features").transform(df)
+    assert found.best == 3 and found.scans == max(found.steps.values()) + 4
+    assert set(found.steps) == {2, 3, 4, 6}
+    for k in found.costs:
+        model = kmeans_fit(vectors, k)
+        assert found.costs[k] <= 1.01 * model.summary.trainingCost
+    model = kmeans_fit(vectors, 3)
+    assert found.costs[3] == pytest.approx(model.summary.trainingCost, rel=1e-3)
+    assert found.scores[3] == pytest.approx(silhouette_score(model.transform(vectors)), rel=1e-6)
+    assert sorted(found.centres[3]) == [pytest.approx(sorted(c.tolist() for c in model.clusterCenters())[i], abs=1e-3) for i in range(3)]
+
+
+def test_sweep_edges(spark):
+    from tapewatch.operators.cluster import sweep_k
+    assert sweep_k(spark.createDataFrame([], "x double"), ["x"]) is None
+    assert sweep_k(spark.createDataFrame([(None,), (float("nan"),)], "x double"), ["x"]) is None
+    # fewer different rows than clusters, and a row that is left out
+    same = sweep_k(spark.createDataFrame([(1.0,), (1.0,), (5.0,), (None,)], "x double"), ["x"], (1, 2, 4))
+    assert same.costs[1] == pytest.approx(32 / 3) and same.costs[2] == same.costs[4] == 0
+    assert same.scores[1] == 0 and same.scores[2] == pytest.approx(2 / 3)
