@@ -164,9 +164,6 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5,
     return spread.select(*[cut.alias(c) if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
 
 
-
-
-
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sizes, targets and the words taken of every document."""
     scratch = Scratch(spark, "op1")
@@ -189,7 +186,7 @@ run AS (SELECT *, s * 2.0::DOUBLE AS cap, s * 2.0::DOUBLE / w AS ratio,
                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 lev AS (SELECT *, (CAST(total AS DOUBLE) * 1.5::DOUBLE - CAST(c AS DOUBLE) * 2.0::DOUBLE) / CAST(ws - wb AS DOUBLE) AS level FROM run),
 tgt AS (SELECT source, s, CASE WHEN ratio <= level THEN cap
-               ELSE w * (SELECT arg_min(level, ratio) FROM lev WHERE NOT ratio <= level) END AS target FROM lev),
+               ELSE w * (SELECT max(level) FROM lev WHERE NOT ratio <= level) END AS target FROM lev),
 bud AS (SELECT *, CASE WHEN s > 0 THEN CAST(floor(target) AS BIGINT) // s ELSE 0 END AS e,
                CAST(floor(target) AS BIGINT) AS b FROM tgt),
 pos AS (SELECT z.*, s, target, e, b - e * s AS rest,
