@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Fields and types of a trade message.
 TRADE_SCHEMA = T.StructType([
     T.StructField("symbol", T.StringType()),
     T.StructField("price", T.DoubleType()),
