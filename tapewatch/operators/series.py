@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapewatch.functions.frames import recent
+from tapewatch.functions.frames import recent, seconds_before
 from tapewatch.operators.lookup import lookup
 from tapewatch.operators.ordering import ArrivalOrder, extreme_by, last_n, trailing_rows
 from tapewatch.schema import KEPT_TRADES_PER_SYMBOL
@@ -27,14 +27,14 @@ def trailing_change(trades: DataFrame, asof: datetime | Column | None = None, se
     """
     if asof is None:
         newest = trades.groupBy("symbol").agg(F.max("event_time").alias("_asof"))
-        inside = recent(lookup(trades, newest, ["symbol"]), F.col("_asof"), seconds)
+        inside, until = recent(lookup(trades, newest, ["symbol"]), F.col("_asof"), seconds), F.col("_asof")
     else:
-        inside = recent(trades, asof, seconds)
-    key = F.struct(order.time, *order.tiebreak)
+        inside, until = recent(trades, asof, seconds), asof
+    inside = inside.withColumn("_arrival", order.key(inside, seconds_before(until, seconds), seconds * 1_000_000))
     first, last = F.col("first_price"), F.col("last_price")
     change = F.when((F.col("trades") >= 2) & (first != 0), (last - first) / first * 100)
     return (inside.groupBy("symbol")
-            .agg(F.min_by("price", key).alias("first_price"), F.max_by("price", key).alias("last_price"),
+            .agg(F.min_by("price", "_arrival").alias("first_price"), F.max_by("price", "_arrival").alias("last_price"),
                  F.count(F.lit(1)).alias("trades"))
             .withColumn("change_pct", change))
 
