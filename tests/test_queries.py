@@ -1,5 +1,9 @@
 """Every named query against DuckDB on the same small tables."""
 
+import os
+import subprocess
+import sys
+
 import compare
 import pytest
 from __spark_entry__ import entry, oracle_sql, queries
@@ -41,3 +45,9 @@ def test_rows_come_in_order(spark, sf, name, keys):
         want = sorted(want, key=lambda r: r[key], reverse=way < 0)
     names = [key for key, _ in keys]
     assert rows and [[r[k] for k in names] for r in rows] == [[r[k] for k in names] for r in want]
+
+
+def test_entry_without_a_library_of_the_document_operators():
+    code = ("import sys; sys.modules['xxhash'] = None; sys.path.insert(0, sys.argv[1]); import __spark_entry__ as e; "
+            "names = set(e.queries()); assert 'window_features' in names and not any(n.startswith('op') or n == 'pipeline' for n in names)")
+    subprocess.run([sys.executable, "-c", code, os.path.dirname(os.path.dirname(os.path.abspath(__file__)))], check=True, timeout=120)
