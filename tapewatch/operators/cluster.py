@@ -151,9 +151,11 @@ def _seed_rows(rows: DataFrame, columns: Sequence[str], seed: int) -> tuple[np.n
     far = squared_distance_to(columns, [row[f"m_{i}"] for i in range(len(columns))])
     chance = F.lit(0.5 / row["n"]) + (far * F.lit(0.5 / (row["n"] * row["v"])) if row["v"] else F.lit(0.5 / row["n"]))
     sample = (rows.withColumn("_p", chance).withColumn("_key", -F.log(1.0 - F.rand(seed)) / F.col("_p"))
-              .orderBy("_key").limit(SEED_ROWS).collect())
-    chances = np.array([r["_p"] for r in sample])
-    return np.array([[r[c] for c in columns] for r in sample], float), 1.0 / np.minimum(1.0, len(sample) * chances)
+              .orderBy("_key").limit(SEED_ROWS + 1).collect())
+    # a row is in when its key is below that of the first row left out; a sample of all rows weighs each once
+    reach = sample.pop()["_key"] if len(sample) > SEED_ROWS else np.inf
+    points = np.array([[r[c] for c in columns] for r in sample], float)
+    return points, 1.0 / -np.expm1(-np.array([r["_p"] for r in sample]) * reach)
 
 
 def _apart(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -168,7 +170,7 @@ def _local_lloyd(points: np.ndarray, weights: np.ndarray, centres: np.ndarray, s
     return float((_apart(points, centres).min(axis=1) * weights).sum()), centres
 
 
-def _seeds(points: np.ndarray, weights: np.ndarray, k: int, rng: np.random.Generator, tries: int = 10) -> np.ndarray:
+def _seeds(points: np.ndarray, weights: np.ndarray, k: int, rng: np.random.Generator, tries: int = 16) -> np.ndarray:
     """Spread-out starting centres: each next one drawn by its squared distance to those before; the best of some tries."""
     found = []
     for _ in range(tries):
