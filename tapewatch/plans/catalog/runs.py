@@ -3,15 +3,17 @@ row; the return flag names the run) and orders (one job per row; the status name
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapewatch.operators import runmetrics as M
 from tapewatch.plans.catalog.base import query, table
-from tapewatch.session import parallelism
+from tapewatch.session import parallelism, settle
 from tapewatch.sources.eventlogs import decode_parts, log_parts
 
 
@@ -216,32 +218,53 @@ def _(spark, sf):
 
 #: lines of a part; a run has as many parts as its lines need
 _PART_LINES = 2_000
+#: runs whose next part a task may have open
+_OPEN_PARTS = 16
+#: files differ in size by some hundred times, so pages and groups of rows are cut by bytes before they hold many
+_FILE_OPTIONS = {"compression": "zstd", "parquet.block.size": 16 << 20, "parquet.block.size.row.check.min": 4,
+                 "parquet.page.size.row.check.min": 4}
 
 
-def _rolled_events(lines: DataFrame) -> DataFrame:
-    """The lines of each run as numbered zstd parts of a folder, some of them merged into a compacted part beside the
-    originals, read back through names and codec."""
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _log_files(lines: DataFrame) -> DataFrame:
+    """``path, content``: the lines of each run as numbered zstd parts of a folder, some of them merged into a compacted
+    part beside the originals. A task packs the lines it has as they come, so none are sorted or moved."""
+    def files(run: str | None, task: int, turn: int, held: list[str]) -> pa.RecordBatch:
         import zstandard
+        # pairs of task and turn have numbers of their own, whatever the number of tasks
+        part = (task + turn) * (task + turn + 1) // 2 + turn + 1
+        name = f"eventlog_v2_{run}/events_{part}_{run}"
+        data = "".join(x + "\n" for x in held).encode()
+        packed = zstandard.compress(data)
+        # part 1 is replaced by a compacted one of its lines, what it left behind is stale; plain parts do occur
+        found = ([(f"{name}.zstd.compact", packed), (f"{name}.zstd", zstandard.compress(data + data))] if part == 1
+                 else [(name, data)] if part % 3 == 0 else [(f"{name}.zstd", packed)])
+        found.append((f"eventlog_v2_{run}/appstatus_{run}", b""))
+        return pa.record_batch([pa.array(["log:/" + p for p, _ in found]), pa.array([c for _, c in found], pa.binary())],
+                               ["path", "content"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, held, turns = TaskContext.get().partitionId(), {}, Counter()
+
+        def close(run: str | None) -> pa.RecordBatch:
+            turns[run] += 1
+            return files(run, task, turns[run] - 1, held.pop(run))
+
         for batch in batches:
-            for run, part, held in zip(*[batch.column(i).to_pylist() for i in range(3)]):
-                name = f"eventlog_v2_{run}/events_{part}_{run}"
-                data = "".join(x + "\n" for x in held).encode()
-                packed = zstandard.compress(data)
-                # part 1 is replaced by a compacted one of its lines, what it left behind is stale; plain parts do occur
-                files = ([(f"{name}.zstd.compact", packed), (f"{name}.zstd", zstandard.compress(data + data))] if part == 1
-                         else [(name, data)] if part % 3 == 0 else [(f"{name}.zstd", packed)])
-                files.append((f"eventlog_v2_{run}/appstatus_{run}", b""))
-                yield pa.record_batch([pa.array(["log:/" + p for p, _ in files]), pa.array([c for _, c in files], pa.binary())],
-                                      ["path", "content"])
-
-    turn = F.row_number().over(Window.partitionBy("run", "_share").orderBy("value")) - 1
-    # shares of a run by a hash of the line, each cut into parts of its own
-    shares = parallelism(lines.sparkSession)
-    numbered = (lines.withColumn("_share", F.pmod(F.xxhash64("value"), F.lit(shares))).withColumn("_turn", turn)
-                .withColumn("part", (F.floor(F.col("_turn") / _PART_LINES) * shares + F.col("_share") + 1).cast("int")))
-    files = numbered.groupBy("run", "part").agg(F.collect_list("value").alias("held")).mapInArrow(pack, "path string, content binary")
-    return M.parse_events(decode_parts(log_parts(files)))
+            for run, line in zip(*[batch.column(i).to_pylist() for i in range(2)]):
+                if run not in held and len(held) == _OPEN_PARTS:
+                    yield close(max(held, key=lambda r: len(held[r])))
+                held.setdefault(run, []).append(line)
+                if len(held[run]) == _PART_LINES:
+                    yield close(run)
+        for run in list(held):
+            yield close(run)
+
+    return lines.select("run", "value").mapInArrow(pack, "path string, content binary")
+
+
+def _rolled_events(lines: DataFrame) -> DataFrame:
+    """The lines of each run, written once as log files and read back through names and codec."""
+    return M.parse_events(decode_parts(log_parts(settle(_log_files(lines), "log_files", **_FILE_OPTIONS))))
 
 
 @query("rolled_job_summary", f"WITH {JOBS_SQL} SELECT * FROM jobs")

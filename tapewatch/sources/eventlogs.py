@@ -12,7 +12,7 @@ import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: bytes that a task decodes at a time
@@ -44,15 +44,17 @@ def log_parts(files: DataFrame, path: str = "path") -> DataFrame:
     """The files of ``files`` that make up the runs, with ``run, part, codec`` beside their other columns.
 
     Marker files go, and so do parts up to the number of their run's last compacted part, but that itself.
-    ``codec`` is empty for a plain file.
+    ``codec`` is empty for a plain file. ``files`` is read twice, once for its paths alone: a run's files, which may
+    carry their content, stay in the tasks they are in, as a run may have any number of them.
     """
     name = F.col(path)
     named = files.filter(~name.rlike(_STATUS)).withColumns({
         "run": run_of(name), "part": part_of(name), "codec": F.regexp_extract(name, _CODEC, 1)})
     compact = name.endswith(".compact")
-    last = F.max(F.when(compact, F.col("part"))).over(Window.partitionBy("run"))
+    # a narrow row per compacted run, of which there are no more than logs
+    last = named.filter(compact).groupBy(F.col("run").alias("_run")).agg(F.max("part").alias("_last"))
     live = F.col("_last").isNull() | (F.col("part") > F.col("_last")) | (compact & (F.col("part") == F.col("_last")))
-    return named.withColumn("_last", last).filter(live).drop("_last")
+    return named.join(F.broadcast(last), F.col("run") == F.col("_run"), "left").filter(live).drop("_run", "_last")
 
 
 def _zstd(data: memoryview) -> Iterator[bytes]:
