@@ -44,7 +44,8 @@ def _task_events(spark, sf):
     return M.parse_events(_task_lines(spark, sf))
 
 
-def _job_lines(spark, sf):
+def _job_lines(spark, sf, tasks=None):
+    """A start and an end per order; ``tasks`` deals the narrow rows of a table of few row groups out beforehand."""
     at = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
     start = F.to_json(F.struct(F.lit("SparkListenerJobStart").alias("Event"), F.col("o_orderkey").alias("Job ID"),
                                at.alias("Submission Time")))
@@ -52,8 +53,9 @@ def _job_lines(spark, sf):
     end = F.to_json(F.struct(F.lit("SparkListenerJobEnd").alias("Event"), F.col("o_orderkey").alias("Job ID"),
                              (at + F.col("o_custkey")).alias("Completion Time"),
                              F.struct(result.alias("Result")).alias("Job Result")))
-    return table(spark, sf, "orders").select(F.col("o_orderstatus").alias("run"),
-                                             F.explode(F.array(start, end)).alias("value"))
+    orders = table(spark, sf, "orders")
+    return (orders.repartition(tasks) if tasks else orders).select(
+        F.col("o_orderstatus").alias("run"), F.explode(F.array(start, end)).alias("value"))
 
 
 def _job_events(spark, sf):
@@ -269,7 +271,7 @@ def _rolled_events(lines: DataFrame) -> DataFrame:
 
 @query("rolled_job_summary", f"WITH {JOBS_SQL} SELECT * FROM jobs")
 def _(spark, sf):
-    return M.job_summary(_rolled_events(_job_lines(spark, sf)))
+    return M.job_summary(_rolled_events(_job_lines(spark, sf, parallelism(spark))))
 
 
 @query("rolled_task_totals", f"WITH {TOTALS_SQL} SELECT * FROM task_totals")

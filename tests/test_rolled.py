@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tapewatch.plans.catalog import runs
+from tapewatch.plans.catalog import QUERIES, runs
 from tapewatch.sources.eventlogs import decode_parts, log_parts
 
 
@@ -53,3 +53,15 @@ def test_more_runs_than_open_parts(spark):
     told = lines(spark, 4_000, [f"app-{i}" for i in range(3 * runs._OPEN_PARTS)], 2)
     back = decode_parts(log_parts(runs._log_files(told))).filter("value <> ''")
     assert back.count() == 4_000 and back.select("value").exceptAll(told.select("value")).count() == 0
+
+
+def test_jobs_of_one_row_group_are_dealt_out(spark, tmp_path):
+    key = F.col("id")
+    spark.range(0, 4_000, 1, 1).select(
+        key.alias("o_orderkey"), (key % 7).alias("o_custkey"), F.lit("F").alias("o_orderstatus"),
+        F.date_add(F.lit("1995-01-01").cast("date"), (key % 9).cast("int")).alias("o_orderdate")).write.parquet(str(tmp_path / "orders.parquet"))
+    sf = str(tmp_path)
+    files = runs._log_files(runs._job_lines(spark, sf, 8))
+    assert files.select(F.spark_partition_id()).distinct().count() == 8
+    (row,) = QUERIES["rolled_job_summary"](spark, sf).collect()
+    assert tuple(row) == ("F", 4_000, 3_600, sum(k % 7 for k in range(4_000) if k % 10))
