@@ -65,3 +65,11 @@ def test_jobs_of_one_row_group_are_dealt_out(spark, tmp_path):
     assert files.select(F.spark_partition_id()).distinct().count() == 8
     (row,) = QUERIES["rolled_job_summary"](spark, sf).collect()
     assert tuple(row) == ("F", 4_000, 3_600, sum(k % 7 for k in range(4_000) if k % 10))
+
+
+def test_totals_of_a_spread_run(spark, sf):
+    events = runs._rolled_events(runs._task_lines(spark, sf))
+    assert min(tasks_of(events).values()) > 1
+    want = runs.M.task_totals(runs._task_events(spark, sf))
+    got = runs.M.task_totals(events)
+    assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
