@@ -73,3 +73,12 @@ def test_totals_of_a_spread_run(spark, sf):
     want = runs.M.task_totals(runs._task_events(spark, sf))
     got = runs.M.task_totals(events)
     assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+
+
+def test_parts_of_a_union_have_names_of_their_own(spark):
+    more = lines(spark, 5_000, ["A"], 3).withColumn("value", F.concat("value", F.lit(" ")))
+    told = lines(spark, 9_000, ["A"], 4).unionByName(more)
+    events = runs._rolled_events(told)
+    assert events.count() == 14_000 and min(tasks_of(events).values()) > 1
+    parts = runs._log_files(told).filter("path not like '%appstatus%'").select("path")
+    assert parts.distinct().count() == parts.count()
