@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tapewatch.operators import runmetrics as M
 from tapewatch.plans.catalog.base import query, table
-from tapewatch.session import parallelism, settle
+from tapewatch.session import deal, parallelism, settle
 from tapewatch.sources.eventlogs import decode_parts, log_parts
 
 
@@ -36,7 +36,7 @@ def _task_lines(spark, sf):
                  F.struct((q * 10).alias("Bytes Read")).alias("Input Metrics"),
                  F.struct((q * 5).alias("Bytes Written")).alias("Output Metrics")).alias("Task Metrics")))
     # the table is one row group; its narrow rows are dealt out before they become wide lines
-    rows = table(spark, sf, "lineitem").repartition(parallelism(spark))
+    rows = deal(table(spark, sf, "lineitem"), parallelism(spark))
     return rows.select(F.col("l_returnflag").alias("run"), line.alias("value"))
 
 
@@ -54,7 +54,7 @@ def _job_lines(spark, sf, tasks=None):
                              (at + F.col("o_custkey")).alias("Completion Time"),
                              F.struct(result.alias("Result")).alias("Job Result")))
     orders = table(spark, sf, "orders")
-    return (orders.repartition(tasks) if tasks else orders).select(
+    return (deal(orders, tasks) if tasks else orders).select(
         F.col("o_orderstatus").alias("run"), F.explode(F.array(start, end)).alias("value"))
 
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tapewatch.plans.catalog import QUERIES, runs
+from tapewatch.session import deal
 from tapewatch.sources.eventlogs import decode_parts, log_parts
 
 
@@ -82,3 +83,17 @@ def test_parts_of_a_union_have_names_of_their_own(spark):
     assert events.count() == 14_000 and min(tasks_of(events).values()) > 1
     parts = runs._log_files(told).filter("path not like '%appstatus%'").select("path")
     assert parts.distinct().count() == parts.count()
+
+
+def test_rows_become_lines_without_a_sort(spark, sf):
+    # dealing rows out in turn sorts all that a task reads, a whole table if it is one row group
+    for told in (runs._task_lines(spark, sf), runs._job_lines(spark, sf, 8)):
+        plan = told._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(_row" in plan and "RoundRobin" not in plan
+
+
+def test_equal_rows_are_dealt_evenly(spark):
+    dealt = deal(spark.range(0, 8_000, 1, 1).select(F.lit("A").alias("run")), 8)
+    assert dealt.columns == ["run"]
+    spread = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(spread) == 8_000 and len(spread) == 8 and max(spread) < 2 * min(spread)
