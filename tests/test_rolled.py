@@ -97,3 +97,12 @@ def test_equal_rows_are_dealt_evenly(spark):
     assert dealt.columns == ["run"]
     spread = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(spread) == 8_000 and len(spread) == 8 and max(spread) < 2 * min(spread)
+
+
+def test_files_of_executors_are_made_without_a_sort(spark, sf):
+    files = runs._log_files(runs._task_lines(spark, sf).unionByName(runs._hardware_lines(spark, sf)))
+    plan = files._jdf.queryExecution().executedPlan().toString()
+    assert not any(step in plan for step in ("RoundRobin", "Sort", "Aggregate"))
+    want = runs.M.executor_totals(runs._task_events(spark, sf).unionByName(runs._hardware_events(spark, sf)))
+    got = runs.M.executor_totals(runs.M.parse_events(decode_parts(log_parts(files))))
+    assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
