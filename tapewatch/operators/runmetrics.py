@@ -43,9 +43,11 @@ EVENT_LOG_SCHEMA = """
 _PROGRESS = "org.apache.spark.sql.streaming.StreamingQueryListener$QueryProgressEvent"
 
 
-def parse_events(lines: DataFrame, column: str = "value", run: str = "run") -> DataFrame:
-    """JSON lines with a run column to typed events, each line parsed once."""
-    return lines.select(run, once(F.from_json(column, EVENT_LOG_SCHEMA)).alias("e")).select(run, "e.*")
+def parse_events(lines: DataFrame, column: str = "value", run: str = "run", bad: str | None = None) -> DataFrame:
+    """JSON lines with a run column to typed events, each line parsed once. ``bad`` names a column that takes the lines
+    that could not be read in full."""
+    schema, options = (f"{EVENT_LOG_SCHEMA}, `{bad}` string", {"columnNameOfCorruptRecord": bad}) if bad else (EVENT_LOG_SCHEMA, {})
+    return lines.select(run, once(F.from_json(column, schema, options)).alias("e")).select(run, "e.*")
 
 
 def read_event_log(spark: SparkSession, path: str | list[str], run: str | None = None) -> DataFrame:
@@ -53,7 +55,10 @@ def read_event_log(spark: SparkSession, path: str | list[str], run: str | None =
     after its machine; by default each log is a run of its own, named by its application. A line that
     was cut off has no event and counts nowhere."""
     lines = event_log_lines(spark, path)
-    return parse_events(lines if run is None else lines.withColumn("run", F.lit(run))).filter(F.col("Event").isNotNull())
+    events = parse_events(lines if run is None else lines.withColumn("run", F.lit(run)), bad="_bad")
+    # what a line cut off before a value holds up to there is read as an event; a whole line with an odd value is one
+    whole = F.col("_bad").isNull() | F.try_parse_json("_bad").isNotNull()
+    return events.filter(F.col("Event").isNotNull() & whole).drop("_bad")
 
 
 def _of(events: DataFrame, kind: str) -> DataFrame:

@@ -203,3 +203,14 @@ def test_codecs(spark, tmp_path, codec, rolling):
 def test_nothing_to_read(spark, tmp_path):
     from tapewatch.sources.eventlogs import event_log_lines
     assert event_log_lines(spark, str(tmp_path)).count() == 0
+
+
+def test_a_line_cut_anywhere_counts_nowhere(spark, tmp_path):
+    line = ('{"Event":"SparkListenerTaskEnd","Stage ID":3,"Stage Attempt ID":0,"Task Info":{"Task ID":5,"Launch Time":100,'
+            '"Finish Time":200,"Accumulables":[{"ID":1}]},"Task Metrics":{"Executor Run Time":50,"Updated Blocks":[]}}')
+    odd = line.replace('"Stage ID":3', '"Stage ID":"three"')
+    (tmp_path / "app").write_text("\n".join([odd, *[line[:n] for n in range(1, len(line) + 1)]]))
+    events = M.read_event_log(spark, str(tmp_path / "app"))
+    assert "_bad" not in events.columns
+    assert sorted(map(str, events.select("Stage ID", "Task Metrics.Executor Run Time").collect())) == [
+        "Row(Stage ID=3, Executor Run Time=50)", "Row(Stage ID=None, Executor Run Time=50)"]
