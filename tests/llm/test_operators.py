@@ -347,6 +347,19 @@ def test_unlinked_documents_stay_whatever_their_id(spark):
     assert Counter((r["doc_id"], r["text"]) for r in stay.collect()) == want
 
 
+def test_shingles_of_a_batch_take_the_memory_of_a_piece():
+    import tracemalloc
+    rnd = random.Random(9)
+    texts = pa.array([" ".join(rnd.choices(["alpha", "be", "gamma", "d"], k=400)) for _ in range(4_000)])
+    assert texts.nbytes > 6 << 20
+    tracemalloc.start()
+    whole = [near_dedup.set_keys(values, at)[0] for _, _, values, at in near_dedup.piece_sets(texts, 5)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 * near_dedup.PIECE_BYTES < 64 << 20
+    assert np.concatenate(whole).tolist() == near_dedup.set_keys(*near_dedup.shingle_sets(texts, 5))[0].tolist()
+
+
 def test_sketches_estimate_similarity():
     rnd = np.random.default_rng(4)
     pool = rnd.integers(1, 1 << 62, 3000).astype(np.uint64)
