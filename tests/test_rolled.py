@@ -99,6 +99,14 @@ def test_equal_rows_are_dealt_evenly(spark):
     assert sum(spread) == 8_000 and len(spread) == 8 and max(spread) < 2 * min(spread)
 
 
+def test_rows_are_dealt_to_no_more_tasks_than_the_writer_streams_to(spark):
+    # beyond that many Spark's shuffle writer holds all that a task reads, a whole table if it is one row group
+    dealt = deal(spark.range(0, 8_000, 1, 1), 240)
+    most = int(spark.conf.get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+    assert dealt.rdd.getNumPartitions() == most < 240
+    assert dealt.distinct().count() == 8_000 and deal(spark.range(9), 8).rdd.getNumPartitions() == 8
+
+
 def test_files_of_executors_are_made_without_a_sort(spark, sf):
     files = runs._log_files(runs._task_lines(spark, sf).unionByName(runs._hardware_lines(spark, sf)))
     plan = files._jdf.queryExecution().executedPlan().toString()
