@@ -200,6 +200,50 @@ def test_pruned_search_finds_what_all_blocks_hold():
         assert above[0].tolist() == [d for d in want if every[d] >= scores[3]]
 
 
+def test_groups_of_queries_find_what_single_scores_hold(monkeypatch):
+    rnd = np.random.default_rng(5)
+    hashes = [np.minimum(rnd.zipf(1.3, rnd.integers(0, 60)), 3000).astype(np.uint64) * np.uint64(7919) for _ in range(700)]
+    hashes += [hashes[3]] * 200  # equal texts tie
+    ids = [None if i % 50 == 7 else 5000 - i for i in range(900)]
+    row = search._index_row(0, hashes, np.array([len(h) for h in hashes]), ids).to_pylist()[0]
+    shard = search.Shard(row, 30.0)
+    bags = [np.unique(rnd.integers(0, len(shard.terms), rnd.integers(1, 40))) for _ in range(60)]
+    bags.append(np.flatnonzero(np.isin(shard.terms, hashes[3])))
+    offsets, at = np.cumsum([0] + [len(b) for b in bags]), np.concatenate(bags)
+    weights = rnd.random(len(at)) ** 3
+    every = [shard._score(at[a:b], weights[a:b]) for a, b in zip(offsets, offsets[1:])]
+    wants = [[d for d in np.lexsort((shard.tie, -x))[:10] if x[d] > 0] for x in every]
+    reached = np.array([x[w[3]] if len(w) > 3 and i % 2 else 0.0 for i, (x, w) in enumerate(zip(every, wants))])
+    for sizes in ({}, {"STRETCH": 64, "GROUP": 7, "POSTINGS": 16, "FEW": 2}, {"WORTH": 1}, {"WORTH": 10**6, "COMMON": 50, "GROUP_TERMS": 100}):
+        with monkeypatch.context() as patch:
+            for name, value in sizes.items():
+                patch.setattr(search, name, value)
+            for least in (np.zeros(len(bags)), reached):
+                query, doc, score = shard.best(offsets, at, weights, 10, least)
+                for i, (x, want) in enumerate(zip(every, wants)):
+                    assert doc[query == i].tolist() == [d for d in want if x[d] >= least[i]]
+                    assert np.array_equal(score[query == i], x[doc[query == i]])
+
+
+def test_postings_of_common_terms_are_not_added_one_by_one(monkeypatch):
+    rnd = np.random.default_rng(6)
+    hashes = [np.unique(rnd.zipf(1.2, 300) % 20_000).astype(np.uint64) for _ in range(2000)]
+    shard = search.Shard(search._index_row(0, hashes, np.array([len(h) for h in hashes]), list(range(2000))).to_pylist()[0], 150.0)
+    bags = [np.searchsorted(shard.terms, np.sort(hashes[i])) for i in range(0, 2000, 5)]
+    at, added = np.concatenate(bags), []
+    add = np.add.at
+
+    class Counted:
+        @staticmethod
+        def at(cells, cell, value):
+            added.append(np.count_nonzero(value))
+            add(cells, cell, value)
+
+    monkeypatch.setattr(search, "ADD", Counted)
+    shard.best(np.cumsum([0] + [len(b) for b in bags]), at, np.ones(len(at)), 10, np.zeros(len(bags)))
+    assert 0 < sum(added) < shard.counts[at].sum() / 8
+
+
 # ---- 3 exact dedup --------------------------------------------------------------------------
 
 @pytest.mark.parametrize("n,universe", [(0, 10), (1, 1), (1, 1 << 40), (1000, 1 << 44), (1000, 1500)])
