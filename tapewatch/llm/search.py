@@ -29,7 +29,7 @@ STRETCH, GROUP = 4096, 1024
 #: and of those that are multiplied at once
 WORTH, COMMON, ROWS = 384, 2048, 1024
 #: lengths of posting lists in a stretch, and queries whose postings are added in turn
-LENGTHS, FEW = np.unique([x << i for i in range(16) for x in (1, 3)]), 128
+LENGTHS, FEW = np.unique([0] + [x << i for i in range(16) for x in (1, 3)]), 128
 ADD = np.add
 #: postings that are added at once, and terms of the queries of a group, about
 POSTINGS, GROUP_TERMS = 1 << 14, 1 << 19
@@ -212,7 +212,7 @@ class _Stretch:
         docs, impact = shard.docs[inside].astype(np.int32) - low, shard._impact(inside)
         self.counts = np.bincount(term, minlength=len(shard.terms))
         begins = np.cumsum(self.counts) - self.counts
-        self.most = np.zeros(len(shard.terms))
+        self.most = np.zeros(len(shard.terms), np.float32)
         held = np.flatnonzero(self.counts)
         if len(held):
             self.most[held] = np.maximum.reduceat(impact, begins[held])
@@ -220,7 +220,7 @@ class _Stretch:
         common = np.flatnonzero(self.counts * WORTH > self.width)
         if len(common) > COMMON:  # the others are added one by one
             common = np.sort(common[np.argpartition(-self.counts[common], COMMON)[:COMMON]])
-        self.row = np.full(len(shard.terms), -1, np.int32)
+        self.row = np.full(len(shard.terms), -1, np.int16)
         self.row[common] = np.arange(len(common))
         self.common_counts = self.counts[common]
         self.matrix = np.zeros((len(common), self.width), np.float32)
@@ -250,13 +250,13 @@ class _Stretch:
     def reach(self, query: np.ndarray, at: np.ndarray, weights: np.ndarray, k: int, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of query and document that may be among the best ``k`` of those that score ``least`` or more."""
         none = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        bound = np.bincount(query, weights=self.most[at] * weights, minlength=len(least)) * (1 + 1e-9)
+        bound = np.bincount(query, weights=self.most[at] * weights, minlength=len(least)) * (1 + 1e-6)
         open_ = np.flatnonzero((bound > 0) & (bound >= least))
         if not len(open_):
             return none
         number = np.full(len(least), -1)
         number[open_] = np.arange(len(open_))
-        here = np.flatnonzero((self.counts[at] > 0) & (number[query] >= 0))
+        here = np.flatnonzero((self.kind[at] > 0) & (number[query] >= 0))
         query, at, weights = number[query[here]], at[here], weights[here]
         row = self.row[at]
         use = np.bincount(row[row >= 0], minlength=len(self.matrix)) * self.common_counts * WORTH > len(open_) * self.width
